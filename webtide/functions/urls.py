@@ -124,49 +124,74 @@ def _without_dots(segments: Column) -> Column:
     return F.when(joined == "", F.lit("/")).otherwise(joined)
 
 
-def resolve(page: Column, href: Column) -> Column:
-    """Address of a link: web addresses stay as they are, others are resolved against the page."""
-    h_scheme, h_host = scheme(href), netloc(href)
-    h_path, h_query, h_frag = _full_path(href), query(href), fragment(href)
-    own_scheme = F.when(h_scheme == "", scheme(page)).otherwise(h_scheme)
+PART_NAMES = ("scheme", "host", "path", "query", "fragment")
+
+
+def parts(c: Column) -> dict[str, Column]:
+    """The five raw parts; `path` still has its ;parameters, and scheme is lower-case."""
+    tidy = _tidy(c)
+    found = {n: F.regexp_extract(tidy, _PARTS, k + 1) for k, n in enumerate(PART_NAMES)}
+    return {**found, "scheme": F.lower(found["scheme"])}
+
 
-    base = F.split(F.regexp_replace(path(page), r"[^/]*\z", ""), "/")
+def resolve_parts(page: Column, b: dict[str, Column], href: Column, h: dict[str, Column]) -> Column:
+    """Address of a link from its own parts `h` and those of its page `b`.
+
+    Web addresses stay as they are, others are resolved against the page.
+    """
+    own_scheme = F.when(h["scheme"] == "", b["scheme"]).otherwise(h["scheme"])
+    base_path = F.regexp_replace(b["path"], r";[^/]*\z", "")
+    base = F.split(F.regexp_replace(base_path, r"[^/]*\z", ""), "/")
     # the last piece of `base` is always empty: drop it, but keep the root of an empty base path
     parents = F.when(F.size(base) > 1, F.slice(base, 1, F.size(base) - 1)).otherwise(base)
-    mixed = F.concat(parents, F.split(h_path, "/"))
+    below = F.split(h["path"], "/")
     # empty inner segments vanish on relative references only
-    dense = F.filter(
-        mixed, lambda s, i: (s != "") | (i == 0) | (i == F.size(mixed) - 1)
+    dense = F.concat(
+        F.slice(parents, 1, 1),
+        F.filter(F.slice(parents, 2, F.size(parents)), lambda s: s != ""),
+        F.filter(F.slice(below, 1, F.size(below) - 1), lambda s: s != ""),
+        F.slice(below, -1, 1),
     )
-    segments = F.when(F.startswith(h_path, F.lit("/")), F.split(h_path, "/")).otherwise(dense)
-
-    b_query = query(page)
-    rest = (
-        F.when(h_host != "", _glue(h_host, F.lit(True), h_path, h_query, h_frag))
-        .when(
-            h_path == "",
-            _glue(
-                netloc(page),
-                netloc(page) != "",
-                _full_path(page),
-                F.when(h_query == "", b_query).otherwise(h_query),
-                h_frag,
-            ),
-        )
-        .otherwise(
-            _glue(netloc(page), netloc(page) != "", _without_dots(segments), h_query, h_frag)
-        )
+    rooted = F.startswith(h["path"], F.lit("/"))
+    plain = rooted & ~F.contains(h["path"], F.lit("/."))
+    segments = F.when(rooted, below).otherwise(dense)
+    path = F.when(plain, h["path"]).otherwise(_without_dots(segments))
+
+    same_page = h["path"] == ""
+    has_host = h["host"] != ""
+    rest = _glue(
+        F.when(has_host, h["host"]).otherwise(b["host"]),
+        has_host | (b["host"] != ""),
+        F.when(has_host, h["path"]).when(same_page, b["path"]).otherwise(path),
+        F.when(~has_host & same_page & (h["query"] == ""), b["query"]).otherwise(h["query"]),
+        h["fragment"],
+    )
+    foreign = (h["scheme"] != "") & (
+        (h["scheme"] != b["scheme"]) | ~h["scheme"].isin(*_RELATIVE)
     )
-    joined = F.concat(own_scheme, F.lit(":"), rest)
-    foreign = (h_scheme != "") & ((h_scheme != scheme(page)) | ~h_scheme.isin(*_RELATIVE))
     return (
         F.when(href.rlike(_WEB), href)
         .when(href == "", page)
         .when(foreign, href)
-        .otherwise(joined)
+        .otherwise(F.concat(own_scheme, F.lit(":"), rest))
     )
 
 
+def resolve(page: Column, href: Column) -> Column:
+    """Address of a link on a page, from two plain columns; parts are worked out once per row."""
+    both = F.struct(
+        *[c.alias(f"b_{n}") for n, c in parts(page).items()],
+        *[c.alias(f"h_{n}") for n, c in parts(href).items()],
+    )
+
+    def joined(s: Column) -> Column:
+        b = {n: s.getField(f"b_{n}") for n in PART_NAMES}
+        h = {n: s.getField(f"h_{n}") for n in PART_NAMES}
+        return resolve_parts(page, b, href, h)
+
+    return F.get(F.transform(F.array(both), joined), F.lit(0))
+
+
 def extension_list(c: Column) -> Column:
     """'.jpg, png' -> ['.jpg', '.png']; case is kept."""
     items = F.filter(F.transform(F.split(c, ","), strip), lambda x: x != "")
