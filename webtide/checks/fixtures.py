@@ -31,6 +31,13 @@ class DuckDialect:
     def epoch(self, x: str) -> str:
         return f"CAST(floor(epoch({x})) AS BIGINT)"
 
+    def once(self, keep: str, columns: dict[str, str], relation: str) -> str:
+        made = ", ".join(f"{x} AS {n}" for n, x in columns.items())
+        return f"SELECT {keep}, {made} FROM {relation}"
+
+    def each(self, n: str) -> str:
+        return f"unnest(range(CAST({n} AS INT)))"
+
 
 class SparkDialect:
     """Spark: tables are Parquet files of one folder."""
@@ -47,6 +54,15 @@ class SparkDialect:
     def epoch(self, x: str) -> str:
         return f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {x})"
 
+    def once(self, keep: str, columns: dict[str, str], relation: str) -> str:
+        """Columns behind a one-row generator: not copied into every predicate above."""
+        made = ", ".join(f"{x} AS {n}" for n, x in columns.items())
+        names = ", ".join(columns)
+        return f"SELECT {keep}, {names} FROM {relation} LATERAL VIEW inline(array(struct({made}))) AS {names}"
+
+    def each(self, n: str) -> str:
+        return f"explode(sequence(0, CAST({n} AS INT) - 1))"
+
 
 def _text(i: str) -> str:
     return f"CAST({i} AS STRING)"
@@ -59,18 +75,25 @@ def _views(d) -> dict[str, str]:
     day = "lpad(" + _text("1 + i % 28") + ", 2, '0')"
     v: dict[str, str] = {}
 
-    v["p0"] = f"""
-      SELECT page_id AS i, url AS raw_url, html, split_part(url, '#', 1) AS cu,
-             split_part(split_part(split_part(url, '/', 3), '?', 1), '#', 1) AS auth
-      FROM {d.table('pages')}"""
-    v["p"] = f"""
-      SELECT i, raw_url, html, auth,
-             CASE WHEN auth LIKE 'www.%' THEN substr(auth, 5) ELSE auth END AS dom,
-             split_part(cu, '/', 1) AS proto, split_part(cu, '/', 4) AS lang,
-             split_part(cu, '/', 1) || '//' || auth || '/' || split_part(cu, '/', 4) || '/' || {i}
-               || substr(cu, CAST(length(split_part(cu, '/', 1)) + 4 + length(auth)
-                                  + length(split_part(cu, '/', 4)) AS INT)) AS url
-      FROM p0"""
+    v["p0"] = d.once(
+        "page_id AS i, url AS raw_url, html",
+        {
+            "cu": "split_part(url, '#', 1)",
+            "proto": "split_part(url, '/', 1)",
+            "auth": "split_part(split_part(split_part(url, '/', 3), '?', 1), '#', 1)",
+            "lang": "split_part(split_part(url, '#', 1), '/', 4)",
+        },
+        d.table("pages"),
+    )
+    v["p"] = d.once(
+        "i, raw_url, html, auth, proto, lang",
+        {
+            "dom": "CASE WHEN auth LIKE 'www.%' THEN substr(auth, 5) ELSE auth END",
+            "url": f"proto || '//' || auth || '/' || lang || '/' || {i} "
+            "|| substr(cu, CAST(length(proto) + 4 + length(auth) + length(lang) AS INT))",
+        },
+        "p0",
+    )
     # every spelling of an address that the URL functions tell apart
     v["fx_urls"] = f"""
       SELECT i, 1 AS k, raw_url AS u FROM p UNION ALL
@@ -142,10 +165,17 @@ def _views(d) -> dict[str, str]:
                    WHEN i % 8 = 3 THEN 'weekly' WHEN i % 8 = 4 THEN 'MONTHLY' WHEN i % 8 = 5 THEN 'yearly'
                    WHEN i % 8 = 6 THEN 'never' ELSE '' END"""
     prio = f"CASE WHEN i % 13 = 0 THEN 'high' ELSE '0.' || {_text('i % 10')} END"
-    v["pm"] = f"""
-      SELECT i, url, auth, dom, proto, replace(url, '&', '&amp;') AS xurl, {lastmod} AS lastmod,
-             {freq} AS freq, {prio} AS prio, proto || '//' || auth AS origin
-      FROM p"""
+    v["pm"] = d.once(
+        "i, url, auth, dom, proto",
+        {
+            "xurl": "replace(url, '&', '&amp;')",
+            "lastmod": lastmod,
+            "freq": freq,
+            "prio": prio,
+            "origin": "proto || '//' || auth",
+        },
+        "p",
+    )
     entry = """'<url><loc> ' || xurl || chr(10) || '</loc><lastmod>' || lastmod || '</lastmod><changefreq>'
                || freq || '</changefreq><priority>' || prio || '</priority></url>'"""
     again = """CASE WHEN i % 4 = 0 THEN '<url><loc>' || xurl || '</loc><lastmod>2024-01-20</lastmod></url>'
@@ -244,8 +274,30 @@ def _views(d) -> dict[str, str]:
     # --- documents and events -----------------------------------------------------------------------
     v["docs"] = f"""
       SELECT doc_id, 'd' || {_text('doc_id')} AS source, text FROM {d.table('documents')}"""
+    v["fx_old_cut"] = f"""
+      SELECT doc_id, source, text, {d.each('ceil(length(text) / 192.0)')} AS k
+      FROM docs WHERE length(text) > 0"""
+    v["fx_chunks_old"] = f"""
+      SELECT doc_id, source, CAST(k AS INT) AS chunk_ix, substr(text, k * 192 + 1, 256) AS text,
+             {d.sha('substr(text, k * 192 + 1, 256)')} AS chunk_sha FROM fx_old_cut"""
+    v["fx_new_text"] = """
+      SELECT source, chunk_ix, CASE WHEN chunk_ix % 7 = 3 THEN text || '!' ELSE text END AS text
+      FROM fx_chunks_old WHERE NOT (doc_id % 4 = 0 AND chunk_ix % 5 = 0) UNION ALL
+      SELECT source, 100000 + chunk_ix, CASE WHEN doc_id % 2 = 0 THEN text ELSE text || '?' END
+      FROM fx_chunks_old WHERE chunk_ix = 1"""
+    v["fx_chunks_new"] = f"""
+      SELECT source, chunk_ix, text, {d.sha('text')} AS chunk_sha FROM fx_new_text"""
+    v["fx_doc_chunks"] = f"""
+      SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN source || '.PDF' ELSE source || '.html' END AS source,
+             CASE WHEN doc_id % 7 = 0 THEN 'a a  a' || repeat(' a', CAST(40 + doc_id % 9 AS INT))
+                  WHEN doc_id % 7 = 1 THEN '(cid:' || {_text('doc_id')} || ')  (cid:7)' || text
+                  WHEN doc_id % 7 = 2 THEN '(cid:1) ' || text
+                  WHEN doc_id % 7 = 3 THEN repeat(' ', CAST(60 + doc_id % 9 AS INT))
+                  WHEN doc_id % 7 = 4 THEN substr(text, 1, CAST(40 + doc_id % 20 AS INT)) ELSE text END AS text
+      FROM docs"""
     v["fx_attempts"] = f"""
-      SELECT 'https://e.example.com/' || {_text('user_id')} AS url, event_id AS attempt_id,
+      SELECT 'https://e.example.com/' || {_text('CAST(floor(event_id / 3) AS BIGINT)')} AS url, event_id AS attempt_id,
+             CAST(1 + event_id % 3 AS INT) AS attempt,
              CASE WHEN event_type IN ('view', 'click') THEN CAST(NULL AS STRING)
                   WHEN event_type = 'error' THEN 'HTTP 404: Not Found'
                   WHEN event_type = 'signup' THEN 'Connection reset' ELSE 'timeout' END AS error

@@ -75,13 +75,15 @@ def _numeric_entities(c: Column) -> Column:
             .otherwise(F.concat(F.lit("&#"), piece))
         )
 
-    decoded = F.array_join(F.transform(pieces, decode), "")
-    return F.when(F.contains(c, F.lit("&#")), decoded).otherwise(c)
+    return F.array_join(F.transform(pieces, decode), "")
 
 
 def unescape(c: Column) -> Column:
     """Five XML entities, &nbsp; and numeric references; the ampersand goes last."""
-    out = _numeric_entities(F.replace(c, F.lit("&#38;"), F.lit("&amp;")))
+    def decoded(t: Column) -> Column:
+        return F.when(F.contains(t, F.lit("&#")), _numeric_entities(t)).otherwise(t)
+
+    out = F.get(F.transform(F.array(F.replace(c, F.lit("&#38;"), F.lit("&amp;"))), decoded), F.lit(0))
     for name, char in _NAMED_ENTITY:
         out = F.replace(out, F.lit(name), F.lit(char))
     return F.replace(out, F.lit("&amp;"), F.lit("&"))

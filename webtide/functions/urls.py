@@ -93,35 +93,41 @@ def url_struct(c: Column) -> Column:
     )
 
 
+def _let(value: Column, body) -> Column:
+    """body(value) with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _glue(host: Column, has_host: Column, whole_path: Column, q: Column, frag: Column) -> Column:
     """'//host/path?query#fragment' with empty parts left out."""
-    rooted = F.when(
-        has_host & (whole_path != "") & ~F.startswith(whole_path, F.lit("/")),
-        F.concat(F.lit("/"), whole_path),
-    ).otherwise(whole_path)
+    slash = has_host & (whole_path != "") & ~F.startswith(whole_path, F.lit("/"))
     return F.concat(
         F.when(has_host, F.concat(F.lit("//"), host)).otherwise(F.lit("")),
-        rooted,
+        F.when(slash, F.lit("/")).otherwise(F.lit("")),
+        whole_path,
         F.when(q != "", F.concat(F.lit("?"), q)).otherwise(F.lit("")),
         F.when(frag != "", F.concat(F.lit("#"), frag)).otherwise(F.lit("")),
     )
 
 
 def _without_dots(segments: Column) -> Column:
-    """Fold '.' and '..' out of path segments."""
-    folded = F.aggregate(
-        segments,
-        F.array().cast("array<string>"),
-        lambda acc, seg: F.when(
-            seg == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0)))
-        )
+    """Fold '.' and '..' out of path segments; never empty."""
+    step = lambda acc, seg: (
+        F.when(seg == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))))
         .when(seg == ".", acc)
-        .otherwise(F.concat(acc, F.array(seg))),
+        .otherwise(F.concat(acc, F.array(seg)))
+    )
+
+    def folded(segs: Column) -> Column:
+        open_end = F.when(
+            F.element_at(segs, -1).isin(".", ".."), F.array(F.lit(""))
+        ).otherwise(F.array().cast("array<string>"))
+        kept = F.aggregate(segs, F.array().cast("array<string>"), step)
+        return F.array_join(F.concat(kept, open_end), "/")
+
+    return _let(
+        _let(segments, folded), lambda p: F.when(p == "", F.lit("/")).otherwise(p)
     )
-    ends_in_dots = F.element_at(segments, -1).isin(".", "..")
-    closed = F.when(ends_in_dots, F.concat(folded, F.array(F.lit("")))).otherwise(folded)
-    joined = F.array_join(closed, "/")
-    return F.when(joined == "", F.lit("/")).otherwise(joined)
 
 
 PART_NAMES = ("scheme", "host", "path", "query", "fragment")
@@ -159,12 +165,16 @@ def resolve_parts(page: Column, b: dict[str, Column], href: Column, h: dict[str,
 
     same_page = h["path"] == ""
     has_host = h["host"] != ""
-    rest = _glue(
-        F.when(has_host, h["host"]).otherwise(b["host"]),
-        has_host | (b["host"] != ""),
-        F.when(has_host, h["path"]).when(same_page, b["path"]).otherwise(path),
-        F.when(~has_host & same_page & (h["query"] == ""), b["query"]).otherwise(h["query"]),
-        h["fragment"],
+    final_path = F.when(has_host, h["path"]).when(same_page, b["path"]).otherwise(path)
+    rest = _let(
+        final_path,
+        lambda p: _glue(
+            F.when(has_host, h["host"]).otherwise(b["host"]),
+            has_host | (b["host"] != ""),
+            p,
+            F.when(~has_host & same_page & (h["query"] == ""), b["query"]).otherwise(h["query"]),
+            h["fragment"],
+        ),
     )
     foreign = (h["scheme"] != "") & (
         (h["scheme"] != b["scheme"]) | ~h["scheme"].isin(*_RELATIVE)

@@ -27,33 +27,45 @@ def page_states(captures: DataFrame) -> DataFrame:
     return captures.select("url", fetch.alias("fetch"))
 
 
+def visit_ends(
+    targets: DataFrame, captures: DataFrame, rules: DataFrame, params: Params
+) -> DataFrame:
+    """(url, fin): blocked by robots, or how the captured visit ended; never captured means failed."""
+    gated = R.gate(targets, rules, params.follow_robots_txt)
+    met = gated.join(page_states(captures), "url", "left")
+    fin = F.when(~F.col("allowed"), F.lit("blocked")).otherwise(F.coalesce("fetch", F.lit("failed")))
+    return met.select("url", fin.alias("fin"))
+
+
 def crawl(
     seeds: DataFrame, captures: DataFrame, packed_scope: DataFrame, rules: DataFrame, params: Params
 ) -> DataFrame:
     """(url, depth, origin, disposition) of every URL the walk visits.
 
     disposition: scraped, blocked, http_error, failed. Links, and how a visit would end, do not depend on
-    depth, so both are worked out once; a level is then two joins and one anti join on `url`. Levels are
-    written tables: the plan of a level never contains the levels before it.
+    depth, so both are worked out once for the whole corpus; a level is then joins on `url` of narrow tables.
+    Levels are written tables: the plan of a level never contains the levels before it.
     """
     scratch = Scratch(seeds.sparkSession)
-    good = captures.filter((F.col("status") == 200) & F.col("error").isNull())
-    if params.only_sitemap:
-        graph = None
-    else:
+    starts = seeds.select("url").distinct()
+    graph, targets = None, starts
+    if not params.only_sitemap:
+        good = captures.filter((F.col("status") == 200) & F.col("error").isNull())
         graph, _ = scratch.save(
             L.edges(L.valid_links(L.extract_hrefs(good), packed_scope, params)), "edges"
         )
-    states, _ = scratch.save(page_states(captures), "states")
+        linked = graph.filter(F.col("kind") == "root").select(F.col("dst_url").alias("url"))
+        targets = starts.unionByName(linked).distinct()
+    ends, _ = scratch.save(visit_ends(targets, captures, rules, params), "ends")
 
-    level = seeds.select("url", F.lit(0).alias("depth"), F.lit("seed").alias("origin")).distinct()
+    level = starts.select("url", F.lit(0).alias("depth"), F.lit("seed").alias("origin"))
     names, total = [], 0
     for depth in count():
         if params.max_pages != -1:
             level = _first_pages(level, params.max_pages - total)
         names.append(f"visited-{depth}")
         settled, stats = scratch.save(
-            _visit(level, states, rules, params),
+            _visit(level, ends),
             names[-1],
             F.count(F.lit(1)).alias("rows"),
             F.count_if((F.col("disposition") == "scraped") & F.col("origin").isin("seed", "link")).alias(
@@ -68,15 +80,13 @@ def crawl(
         level = _next_level(settled, graph, visited, depth + 1, params)
 
 
-def _visit(level: DataFrame, states: DataFrame, rules: DataFrame, params: Params) -> DataFrame:
-    """Robots and the captured outcome decide; PDF and single pages are taken without a visit."""
-    met = R.gate(level, rules, params.follow_robots_txt).join(states, "url", "left")
-    disposition = (
-        F.when(F.col("origin").isin("pdf", "allowed"), F.lit("scraped"))
-        .when(~F.col("allowed"), F.lit("blocked"))
-        .otherwise(F.coalesce("fetch", F.lit("failed")))
+def _visit(level: DataFrame, ends: DataFrame) -> DataFrame:
+    """PDF and single pages are taken as they are, others end as robots and the capture say."""
+    taken = F.col("origin").isin("pdf", "allowed")
+    disposition = F.when(taken, F.lit("scraped")).otherwise(F.coalesce("fin", F.lit("failed")))
+    return level.join(ends, "url", "left").select(
+        "url", "depth", "origin", disposition.alias("disposition")
     )
-    return met.select("url", "depth", "origin", disposition.alias("disposition"))
 
 
 def _next_level(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from webtide.functions import urls
 from webtide.functions.text import drop_opaque, unescape
 from webtide.params import Params
+from webtide.plans.once import computed
 
 # An <a ...> tag up to its href; attribute values are skipped as wholes, so a '>' in quotes does no harm.
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
@@ -36,26 +37,16 @@ def cut_fragments(links: DataFrame) -> DataFrame:
 
 
 def resolve(links: DataFrame) -> DataFrame:
-    """Adds dst_url, dst_domain, dst_path and dst_query. Parts are columns, so each is worked out once."""
-    page, href = F.col("src_url"), F.col("href")
-    cut = links.withColumns(
+    """Adds dst_url, dst_domain, dst_path and dst_query, each worked out once."""
+    full = computed(links, {"dst_url": urls.resolve(F.col("src_url"), F.col("href"))})
+    dst = urls.parts(F.col("dst_url"))
+    return computed(
+        full,
         {
-            **{f"_b_{n}": c for n, c in urls.parts(page).items()},
-            **{f"_h_{n}": c for n, c in urls.parts(href).items()},
-        }
-    )
-    b = {n: F.col(f"_b_{n}") for n in urls.PART_NAMES}
-    h = {n: F.col(f"_h_{n}") for n in urls.PART_NAMES}
-    full = cut.withColumn("dst_url", urls.resolve_parts(page, b, href, h)).drop(
-        *[f"_{side}_{n}" for side in "bh" for n in urls.PART_NAMES]
-    )
-    dst = F.col("dst_url")
-    return full.withColumns(
-        {
-            "dst_domain": urls.normalize_domain(urls.netloc(dst)),
-            "dst_path": urls.path(dst),
-            "dst_query": urls.query(dst),
-        }
+            "dst_domain": urls.normalize_domain(dst["host"]),
+            "dst_path": F.regexp_replace(dst["path"], r";[^/]*\z", ""),
+            "dst_query": dst["query"],
+        },
     )
 
 

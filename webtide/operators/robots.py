@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from webtide.functions import urls
 from webtide.functions.text import SPACE, SPACE_CHARS, strip
+from webtide.plans.once import computed
 
 _LINE_END = r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]"
 _REFRESH = rf"\A#{SPACE}*refresh:{SPACE}*([^{SPACE_CHARS}]+){SPACE}+(\p{{Nd}}+)"
@@ -155,9 +156,13 @@ def gate(pages: DataFrame, rules: DataFrame, follow: bool = True, url: str = "ur
     """
     if not follow:
         return pages.withColumn("allowed", F.lit(True))
-    keyed = pages.withColumn(
-        "_domain", urls.normalize_domain(urls.netloc(F.col(url)))
-    ).withColumn("_path", urls.robots_path(F.col(url)))
+    keyed = computed(
+        pages,
+        {
+            "_domain": urls.normalize_domain(urls.netloc(F.col(url))),
+            "_path": urls.robots_path(F.col(url)),
+        },
+    )
     table = rules.select(F.col("domain").alias("_domain"), F.col("rules").alias("_rules"))
     first = F.get(
         F.filter("_rules", lambda r: F.startswith(F.col("_path"), r.path)), F.lit(0)
@@ -186,9 +191,10 @@ def refresh_intervals(pages: DataFrame, hints: DataFrame, url: str = "url") -> D
             F.struct(F.length("prefix").alias("n"), F.col("interval_s").alias("s"), "prefix")
         ).alias("_hints")
     )
-    keyed = pages.withColumn(
-        "_domain", urls.normalize_domain(urls.netloc(F.col(url)))
-    ).withColumn("_path", urls.path(F.col(url)))
+    keyed = computed(
+        pages,
+        {"_domain": urls.normalize_domain(urls.netloc(F.col(url))), "_path": urls.path(F.col(url))},
+    )
     best = F.array_max(F.filter("_hints", lambda h: F.startswith(F.col("_path"), h.prefix)))
     return (
         keyed.join(packed, "_domain", "left")
