@@ -39,15 +39,15 @@ def sql_good(chunk: str, source: str, min_len: int) -> str:
     )
 
 
-def sql_page(relation: str, body: str, size: int = 1024, overlap: int = 256, min_len: int = 50, url: str = "url", keep: str = "url") -> str:
-    """CTEs ending in `pagec`: url, kept chunks, hash and count of every page of `relation`."""
-    return f"""pagetext AS (SELECT {keep}, {sql_text(body)} AS text FROM {relation}),
-     pagek AS (
+def sql_page(relation: str, body: str, size: int = 1024, overlap: int = 256, min_len: int = 50, url: str = "url", keep: str = "url", name: str = "page") -> str:
+    """CTEs ending in `<name>c`: url, kept chunks, hash and count of every page of `relation`."""
+    return f"""{name}text AS (SELECT {keep}, {sql_text(body)} AS text FROM {relation}),
+     {name}k AS (
       SELECT {keep}, list_filter({sql_chunk_list('text', size, overlap)},
-               lambda c: {sql_good('c', url, min_len)}) AS chunks FROM pagetext),
-     pagec AS (
+               lambda c: {sql_good('c', url, min_len)}) AS chunks FROM {name}text),
+     {name}c AS (
       SELECT *, sha256(array_to_string(chunks, chr(10))) AS content_hash, CAST(len(chunks) AS INT) AS chunk_count
-      FROM pagek)"""
+      FROM {name}k)"""
 
 
 @check("h1_strip_hidden", "SELECT page_id, expected AS html FROM fx_html")

@@ -302,6 +302,14 @@ def _views(d) -> dict[str, str]:
                   WHEN event_type = 'error' THEN 'HTTP 404: Not Found'
                   WHEN event_type = 'signup' THEN 'Connection reset' ELSE 'timeout' END AS error
       FROM {d.table('events')}"""
+    v["fx_page_attempts"] = f"""
+      SELECT url, CAST(1 AS INT) AS attempt, 'timeout' AS error, CAST(NULL AS STRING) AS body FROM p UNION ALL
+      SELECT url, CAST(2 AS INT), CASE WHEN i % 3 = 0 THEN CAST(NULL AS STRING) WHEN i % 3 = 1 THEN 'HTTP 404'
+                                       ELSE 'timeout' END,
+             CASE WHEN i % 3 = 0 THEN html END FROM p UNION ALL
+      SELECT url, CAST(3 AS INT), 'timeout', CAST(NULL AS STRING) FROM p"""
+    v["fx_gone"] = f"""
+      SELECT i, 'https://gone.example.com/' || {i} AS url FROM p WHERE i % 10 = 4"""
     v["fx_log"] = f"""
       SELECT event_id, ts,
              CASE WHEN event_type = 'error' THEN 'error' WHEN event_type = 'signup' THEN 'warning'

@@ -60,7 +60,7 @@ RULES = f"""bare AS (
  kinds AS (
   SELECT *, CASE WHEN raw = '' THEN 'B' WHEN name = 'user-agent' THEN 'U'
                  WHEN name IN ('allow', 'disallow', 'crawl-delay', 'request-rate') THEN 'R' END AS kind FROM nv),
- ent AS (
+ rent AS (
   SELECT *, sum(CASE WHEN kind = 'B' OR (kind = 'U' AND prev <> 'U') THEN 1 ELSE 0 END)
               OVER (PARTITION BY domain ORDER BY line_no) AS entry
   FROM (SELECT *, coalesce(lag(kind) OVER (PARTITION BY domain ORDER BY line_no), 'B') AS prev
@@ -68,14 +68,14 @@ RULES = f"""bare AS (
  entry_flags AS (
   SELECT domain, entry, coalesce(bool_or(val = '*') FILTER (kind = 'U'), false) AS dflt,
          bool_or(contains('{AGENT.split('/')[0].lower()}', lower(val))) FILTER (kind = 'U') AS named,
-         count(*) FILTER (kind = 'R') AS n_rules FROM ent GROUP BY domain, entry),
+         count(*) FILTER (kind = 'R') AS n_rules FROM rent GROUP BY domain, entry),
  chosen AS (
   SELECT domain, arg_min(entry, (CASE WHEN dflt THEN 1000000 ELSE 0 END) + entry) AS entry
   FROM entry_flags WHERE n_rules > 0 AND (dflt OR coalesce(named, false)) GROUP BY domain),
  rules AS (
   SELECT e.domain, e.line_no, e.name = 'allow' OR e.val = '' AS allow,
          regexp_replace(regexp_replace(e.val, '#$', ''), '^([^?#]*)[?]$', '\\1') AS rpath
-  FROM ent e JOIN chosen c USING (domain, entry) WHERE e.name IN ('allow', 'disallow'))"""
+  FROM rent e JOIN chosen c USING (domain, entry) WHERE e.name IN ('allow', 'disallow'))"""
 
 
 def sql_robots_path(u: str) -> str:

@@ -48,10 +48,14 @@ class Session:
 def discover(web: Web, params: Params, rules: DataFrame, lines: DataFrame, scratch: Scratch):
     """(candidates, walked, listed): crawled and listed URLs, merged; `cached` marks pages the walk has read."""
     packed = pack_scope(web.scope)
-    walked = crawl.crawl(web.seeds, web.captures, packed, rules, params)
+    if params.only_sitemap:
+        walked = web.seeds.limit(0).selectExpr("url", "0 AS depth", "'' AS origin", "'' AS disposition")
+    else:
+        walked = crawl.crawl(web.seeds, web.captures, packed, rules, params)
     if params.use_sitemap:
-        # roots are ordered by URL: where two list one page, the last root wins
-        roots = web.seeds.select(F.col("url").alias("root_ix"), F.col("url").alias("root_url")).distinct()
+        # where two roots list one page, the later root wins: in seed order if known, else by URL
+        rank = F.max("seed_ix" if "seed_ix" in web.seeds.columns else "url")
+        roots = web.seeds.groupBy(F.col("url").alias("root_url")).agg(rank.alias("root_ix"))
         places = sitemap.locations(roots, robots.sitemap_lines(lines))
         rows = sitemap.expand(places, web.sitemaps)
         listed, _ = scratch.save(sitemap.last_per_url(rows, "root_ix", "ord", "entry_ix"), "listed")
