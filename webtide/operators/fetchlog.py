@@ -58,15 +58,19 @@ def backoff(fetches: DataFrame, params: Params, width: int = 100_000) -> DataFra
         {"_at_ok": ("_failed", F.col("outcome") == "ok")},
         width,
     ).withColumn("fails", (F.col("_failed") - F.col("_at_ok")).cast("bigint"))
-    waits = failed & ~F.coalesce(F.startswith("reason", F.lit("http_")), F.lit(False))
+    return rows.select("*", *waits(params)).drop("_failed", "_at_ok")
+
+
+def waits(params: Params) -> tuple[Column, Column]:
+    """wait_s and alarm from outcome, reason and fails; plain HTTP errors count but do not wait."""
+    failed = F.col("outcome") == "failed"
+    slow_down = failed & ~F.coalesce(F.startswith("reason", F.lit("http_")), F.lit(False))
     # beyond 60 doublings any wait is at its maximum
-    grown = F.lit(params.backoff_initial_seconds) * F.pow(
+    grown = F.lit(float(params.backoff_initial_seconds)) * F.pow(
         F.lit(2.0), F.least(F.col("fails") - 1, F.lit(60))
     )
-    wait = F.when(waits, F.least(grown, F.lit(float(params.backoff_max_seconds)))).otherwise(0.0)
-    return rows.withColumn("wait_s", wait).withColumn(
-        "alarm", failed & (F.col("fails") >= params.backoff_threshold)
-    ).drop("_failed", "_at_ok")
+    wait = F.when(slow_down, F.least(grown, F.lit(float(params.backoff_max_seconds)))).otherwise(0.0)
+    return wait.alias("wait_s"), (failed & (F.col("fails") >= params.backoff_threshold)).alias("alarm")
 
 
 def number_batches(candidates: DataFrame, batch_size: int, order: str = "url") -> DataFrame:

@@ -1,7 +1,7 @@
 """Versioned tables of a corpus: page state and chunks.
 
-State is small per page and written whole. Chunks are the bulk, so a version only holds what it added and
-the keys of what it removed; reading joins the two. A version counts once its line in `published` is
+State is small per page: a session writes it whole, a micro-batch only the rows it changed. Chunks are the
+bulk, so a version only holds what it added and the keys of what it removed; reading joins the two. A version counts once its line in `published` is
 written, which happens last, so readers never see half a session.
 """
 
@@ -17,7 +17,7 @@ CHUNK_SCHEMA = (
     "source string, chunk_ix int, text string, chunk_sha string, url string, session_id string"
 )
 _REMOVED_SCHEMA = "source string, chunk_sha string"
-_PUBLISHED_SCHEMA = "version int, base boolean, session_id string"
+_PUBLISHED_SCHEMA = "version int, base boolean, whole_state boolean, session_id string"
 
 
 class CorpusStore:
@@ -40,10 +40,18 @@ class CorpusStore:
         return any(line.session_id == session_id for line in self._published())
 
     def read_state(self) -> DataFrame:
-        v = self.version()
-        if not v:
+        """The last whole state, with the rows changed since; the newest row per URL counts."""
+        versions: list[int] = []
+        for line in self._published():
+            versions = [line.version] if line.whole_state else [*versions, line.version]
+        if not versions:
             return self.spark.createDataFrame([], STATE_SCHEMA)
-        return self.spark.read.schema(STATE_SCHEMA).parquet(f"{self.path}/state/{v}")
+        rows = self._read("state", STATE_SCHEMA, versions)
+        if len(versions) == 1:
+            return rows.drop("_v")
+        rest = [c for c in rows.columns if c not in ("url", "_v")]
+        newest = rows.groupBy("url").agg(F.max_by(F.struct(*rest), "_v").alias("s"))
+        return newest.select("url", "s.*")
 
     def _since_base(self) -> list[int]:
         versions: list[int] = []
@@ -87,8 +95,12 @@ class CorpusStore:
         removed: DataFrame | None = None,
         session_id: str = "",
         base: bool = False,
+        whole_state: bool = True,
     ) -> int:
-        """Write the next version; a version that was begun and not finished is overwritten."""
+        """Write the next version; a version that was begun and not finished is overwritten.
+
+        With whole_state=False, `state` holds only the rows that changed.
+        """
         v = self.version() + 1
         state.write.mode("overwrite").parquet(f"{self.path}/state/{v}")
         columns = [f.split()[0] for f in CHUNK_SCHEMA.split(", ")]
@@ -99,6 +111,7 @@ class CorpusStore:
         line = self.spark.range(1).select(
             F.lit(v).cast("int").alias("version"),
             F.lit(base or v == 1).alias("base"),
+            F.lit(whole_state or v == 1).alias("whole_state"),
             F.lit(session_id).alias("session_id"),
         )
         line.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/published/{v}")
