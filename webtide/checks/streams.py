@@ -24,6 +24,7 @@ _PARTS = 4
 
 def arriving(x, df, order: str, base: str):
     """`df` as a stream of files that arrive in `_PARTS` steps, by `order`."""
+    df, _ = Scratch(x.spark).save(df, "arriving")
     # four equal ranges of the order values, appended one after the other
     top = df.agg(F.max(order).alias("top")).first().top
     part = F.floor(F.col(order) * _PARTS / F.lit(top + 1))

@@ -5,14 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The characters Unicode calls white space (Java regex escapes).
+# The characters Unicode calls white space (as a Java regex class, and as plain text).
 SPACE_CHARS = (
     r"\t-\r\x1c-\x20\x85\u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-SPACE = f"[{SPACE_CHARS}]"
+SPACE_TEXT = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+# The first part of the intersection rejects letters and digits after three comparisons.
+SPACE = rf"[[\t-\r\x1c-\x20\x85-\u3000]&&[{SPACE_CHARS}]]"
+_ODD_SPACE = rf"[[\t-\r\x1c-\x1f\x85-\u3000]&&[{SPACE_CHARS}]]"
 
-# The look-behinds keep a long inner run of blanks linear: a match can only begin where a run begins.
-_OUTER_SPACE = rf"\A{SPACE}++|(?<!{SPACE}){SPACE}++\z"
+# Runs of white space that are not one plain blank already.
+_TO_COLLAPSE = rf"\x20{SPACE}++|{_ODD_SPACE}{SPACE}*+"
 
 _OPAQUE_BLOCK = (
     r"(?is)<!--.*?(?:-->|\z)"
@@ -32,7 +39,7 @@ _NAMED_ENTITY = (
 
 def strip(c: Column) -> Column:
     """Drop Unicode white space at both ends."""
-    return F.regexp_replace(c, _OUTER_SPACE, "")
+    return F.btrim(c, F.lit(SPACE_TEXT))
 
 
 def content_hash(c: Column) -> Column:
@@ -97,7 +104,7 @@ def drop_opaque(html: Column) -> Column:
 def html_to_text(html: Column) -> Column:
     """Visible text of a page: one blank per tag, entities decoded, blanks collapsed."""
     bare = F.regexp_replace(drop_opaque(html), _TAG, " ")
-    return strip(F.regexp_replace(unescape(bare), f"{SPACE}+", " "))
+    return strip(F.regexp_replace(unescape(bare), _TO_COLLAPSE, " "))
 
 
 # Every character of a page falls into exactly one of these tokens, so token lengths give positions.
@@ -177,14 +184,14 @@ def strip_hidden(html: Column) -> Column:
     return F.when(may_hide, kept).otherwise(html)
 
 
-_GROUP = 64
+_GROUP = 16
 
 
 def chunks(text: Column, size: int, overlap: int) -> Column:
     """Fixed windows of `size` code points, each starting `size - overlap` after the last one.
 
     A window is emitted while it is the first or reaches past the overlap of the one before. Windows are
-    cut out of groups of 64, so that finding a position never means walking the whole text again.
+    cut out of groups of 16, so that finding a position never means walking the whole text again.
     """
     if size < 1 or not 0 <= overlap < size:
         raise ValueError("need 0 <= overlap < size")
@@ -211,16 +218,16 @@ def chunks(text: Column, size: int, overlap: int) -> Column:
 
 
 # Two glyph placeholders of a PDF reader in a row.
-_CID_RUN = rf"\(cid:\p{{Nd}}+\){SPACE}*\(cid:\p{{Nd}}+\)"
+_CID_RUN = rf"\(cid:\p{{Nd}}++\){SPACE}*+\(cid:\p{{Nd}}++\)"
+# One character only; gives up at the first other one.
+_REPEATED = rf"(?s)\A{SPACE}*+([^{SPACE_CHARS}])\1*+{SPACE}*+\z"
 
 
 def is_good_chunk(chunk: Column, source: Column, min_length: int) -> Column:
     """Long enough and, for PDF sources, neither one repeated character nor a run of glyph codes."""
-    squeezed = strip(F.replace(chunk, F.lit(" "), F.lit("")))
-    repeated = (squeezed != "") & (
-        F.replace(squeezed, F.substring(squeezed, 1, 1), F.lit("")) == ""
-    )
-    pdf_junk = F.endswith(F.lower(source), F.lit(".pdf")) & (repeated | chunk.rlike(_CID_RUN))
+    repeated = F.replace(chunk, F.lit(" "), F.lit("")).rlike(_REPEATED)
+    glyphs = F.contains(chunk, F.lit("(cid:")) & chunk.rlike(_CID_RUN)
+    pdf_junk = F.endswith(F.lower(source), F.lit(".pdf")) & (repeated | glyphs)
     return (F.length(chunk) >= min_length) & ~F.coalesce(pdf_junk, F.lit(False))
 
 

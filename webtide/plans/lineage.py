@@ -23,6 +23,11 @@ def shared_dir(spark: SparkSession) -> str:
     return base
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 class Scratch:
     """Written tables of one job. They outlive executors, and cut the plan where they are read again."""
 

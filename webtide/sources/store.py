@@ -7,11 +7,11 @@ written, which happens last, so readers never see half a session.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtide.operators.sync import STATE_SCHEMA
+from webtide.plans.lineage import path_exists
 
 CHUNK_SCHEMA = (
     "source string, chunk_ix int, text string, chunk_sha string, url string, session_id string"
@@ -25,12 +25,11 @@ class CorpusStore:
         self.spark, self.path = spark, path.rstrip("/")
 
     def _published(self) -> list:
-        try:
-            lines = self.spark.read.schema(_PUBLISHED_SCHEMA).parquet(f"{self.path}/published/*")
-            # one line per session, not data
-            return lines.orderBy("version").collect()
-        except AnalysisException:
+        if not path_exists(self.spark, f"{self.path}/published"):
             return []
+        lines = self.spark.read.schema(_PUBLISHED_SCHEMA).parquet(f"{self.path}/published/*")
+        # one line per session, not data
+        return lines.orderBy("version").collect()
 
     def version(self) -> int:
         lines = self._published()

@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -52,9 +51,9 @@ def start_alarms(
 
     def each(batch: DataFrame, batch_id: int) -> None:
         carry_schema = f"{schema}, open_fails bigint"
-        try:
+        if batch_id:
             carried = spark.read.schema(carry_schema).parquet(f"{path}/carry/{batch_id - 1}")
-        except AnalysisException:
+        else:
             carried = spark.createDataFrame([], carry_schema)
         counted = count_batch(batch, carried, keys).persist()
         try:

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from webtide.operators import content, fetchlog, sync
 from webtide.params import Params
+from webtide.plans.lineage import Scratch
 from webtide.sources.captures import latest
 from webtide.sources.store import CorpusStore
 
@@ -25,9 +26,13 @@ def ingest_batch(
     last = latest(captures, "seq").withColumn("allowed", F.lit(True))
     good = fetchlog.classify(last).filter(F.col("outcome") == "ok").select("url", "body")
     chunked = content.page_chunks(content.page_texts(good, params), params)
-    keys = chunked.select("url")
-    known = store.read_state().join(keys, "url", "left_semi")
-    pages = sync.decide(chunked, known)
+    # the text work is done once; everything below reads its result
+    scratch = Scratch(captures.sparkSession)
+    made, _ = scratch.save(chunked, "made")
+    known, _ = scratch.save(
+        store.read_state().join(made.select("url"), "url", "left_semi"), "known"
+    )
+    pages = sync.decide(made, known)
 
     new = content.chunk_rows(pages.filter(F.col("decision") != "skip"), session_id)
     sources = pages.filter(F.col("decision") == "partial").select(F.col("url").alias("source"))
@@ -50,11 +55,7 @@ def start_ingest(
     """Run over all captures that are there, then stop; call again for what arrives later."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        try:
-            ingest_batch(batch, store, params, session_id, now, f"{session_id}/{batch_id}")
-        finally:
-            batch.unpersist()
+        ingest_batch(batch, store, params, session_id, now, f"{session_id}/{batch_id}")
 
     return (
         stream.writeStream.foreachBatch(each)
