@@ -158,7 +158,7 @@ def sql_walk(max_depth: int, seeds: str = "SELECT url FROM fx_homes") -> str:
       UNION
       SELECT e.dst_url, r.depth + 1, CASE e.kind WHEN 'root' THEN 'link' ELSE e.kind END
       FROM reach r JOIN ends d ON d.url = r.url AND d.fin = 'scraped' JOIN edges e ON e.src_url = r.url
-      WHERE r.origin IN ('seed', 'link') AND r.depth < 20{bound}),
+      WHERE r.origin IN ('seed', 'link') AND r.depth < 40{bound}),
      walk AS (
       SELECT w.url, w.depth, w.origin, CASE WHEN w.origin IN ('pdf', 'allowed') THEN 'scraped' ELSE d.fin END AS disposition
       FROM (SELECT url, min(depth) AS depth, arg_min(origin, depth * 10 +
