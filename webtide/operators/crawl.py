@@ -47,6 +47,9 @@ def crawl(
     Levels are written tables: the plan of a level never contains the levels before it.
     """
     scratch = Scratch(seeds.sparkSession)
+    # written, so that their size is known and decides between broadcast and shuffle
+    packed_scope, _ = scratch.save(packed_scope, "scope")
+    rules, _ = scratch.save(rules, "rules")
     starts = seeds.select("url").distinct()
     graph, targets = None, starts
     if not params.only_sitemap:

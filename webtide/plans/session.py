@@ -105,9 +105,17 @@ def fetch(marked: DataFrame, web: Web, rules: DataFrame, params: Params) -> Data
 
 
 def ingest(fetched: DataFrame, state: DataFrame, params: Params) -> DataFrame:
-    """Pages fetched in full, as chunks with hash, count and decision."""
-    good = fetched.filter(F.col("outcome") == "ok").select("url", "body")
-    return sync.decide(content.page_chunks(content.page_texts(good, params), params), state)
+    """Every fetched page with outcome and, where it is ok, hash, count and decision; chunks only if needed.
+
+    One pass: bodies are shuffled by `url` once, when they meet the candidates; cutting text moves nothing,
+    and the state is joined on the same key. Bodies and unchanged chunks are never written.
+    """
+    good = F.col("outcome") == "ok"
+    texts = content.page_texts(fetched.withColumn("body", F.when(good, F.col("body"))), params)
+    decided = sync.decide(content.page_chunks(texts, params), state)
+    decision = F.when(good, F.col("decision"))
+    wanted = decision.isin("full", "partial")
+    return decided.withColumn("chunks", F.when(wanted, F.col("chunks"))).withColumn("decision", decision)
 
 
 def retry(failed: DataFrame, web: Web, params: Params) -> DataFrame:
@@ -147,10 +155,10 @@ def run_session(
         one = marked.agg(F.count(F.lit(1)).alias("n")).select(text.alias("message"))
         return _stop_early(web, one, sync.touch(web.state, touched, session_id, now))
 
-    fetched, _ = scratch.save(fetch(marked, web, rules, params), "fetched")
-    pages, _ = scratch.save(ingest(fetched, web.state, params), "pages")
+    tested, _ = scratch.save(ingest(fetch(marked, web, rules, params), web.state, params), "pages")
+    pages = tested.filter(F.col("outcome") == "ok")
     failed = (
-        fetched.filter(F.col("outcome") == "failed").select("url").unionByName(walk_failed).distinct()
+        tested.filter(F.col("outcome") == "failed").select("url").unionByName(walk_failed).distinct()
     )
     tried, _ = scratch.save(retry(failed, web, params), "tried")
     recovered = tried.filter(F.col("result") == "recovered")
