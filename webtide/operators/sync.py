@@ -62,7 +62,7 @@ def upsert(state: DataFrame, pages: DataFrame, session_id: str, now: Column) ->
 
 def touch(state: DataFrame, keys: DataFrame, session_id: str, now: Column) -> DataFrame:
     """Time and session only; unknown URLs stay unknown."""
-    return transition(state, _no_content(keys, "touch"), session_id, now)
+    return transition(state, no_content(keys, "touch"), session_id, now)
 
 
 def delete(state: DataFrame, keys: DataFrame) -> DataFrame:
@@ -71,10 +71,10 @@ def delete(state: DataFrame, keys: DataFrame) -> DataFrame:
 
 def count_miss(state: DataFrame, keys: DataFrame, session_id: str, now: Column) -> DataFrame:
     """One more miss for the given URLs; nothing else changes."""
-    return transition(state, _no_content(keys, "miss"), session_id, now)
+    return transition(state, no_content(keys, "miss"), session_id, now)
 
 
-def _no_content(keys: DataFrame, action: str) -> DataFrame:
+def no_content(keys: DataFrame, action: str) -> DataFrame:
     return keys.select(
         "url",
         F.lit(None).cast("string").alias("content_hash"),

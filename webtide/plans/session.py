@@ -20,7 +20,7 @@ class Web:
     """The captured web and what is known from before.
 
     seeds(url), scope(domain, kind, prefix), robots(domain, proto, status, text), sitemaps(sitemap_url,
-    status, text), captures(url, status, error, body), heads(url, status, last_modified, error),
+    status, text), captures(url, status, error, body; one row per URL, see `captures.latest`), heads(url, status, last_modified, error),
     attempts(url, attempt, error, body), state and chunks as `CorpusStore` keeps them.
     """
 
@@ -79,23 +79,24 @@ def _in_scope(merged: DataFrame, packed: DataFrame) -> DataFrame:
     return joined.filter(F.col("in_crawl") | F.col("_known").isNotNull()).drop("_domain", "_known")
 
 
-def mark(candidates: DataFrame, listed: DataFrame, web: Web) -> DataFrame:
-    """Adds disposition: lastmod_skip, unchanged or update. Page bodies are not touched."""
+def mark(candidates: DataFrame, listed: DataFrame, web: Web, rules: DataFrame, params: Params) -> DataFrame:
+    """Adds disposition (lastmod_skip, unchanged or update) and allowed. Page bodies are not touched."""
     first = freshness.lastmod_filter(candidates, listed, web.state)
     tested = freshness.head_filter(first.withColumnRenamed("disposition", "_first"), web.heads, web.state)
     skip = F.col("_first") == "lastmod_skip"
-    return tested.withColumn(
+    marked = tested.withColumn(
         "disposition", F.when(skip, F.col("_first")).otherwise(F.col("disposition"))
     ).drop("_first")
+    return robots.gate(marked, rules, params.follow_robots_txt)
 
 
-def fetch(marked: DataFrame, web: Web, rules: DataFrame, params: Params) -> DataFrame:
-    """Outcome and body for every page to update. Pages the walk has read are taken as they are."""
-    wanted = marked.filter(F.col("disposition") == "update").select("url", "cached")
-    got = web.captures.select("url", "status", "error", "body", F.lit(True).alias("_got"))
-    met = robots.gate(wanted, rules, params.follow_robots_txt).join(got, "url", "left")
-    lost = F.when(F.col("_got").isNull(), F.lit("not captured")).otherwise(F.col("error"))
-    judged = fetchlog.classify(met.withColumn("error", lost))
+def fetch(wanted: DataFrame, captures: DataFrame) -> DataFrame:
+    """Outcome and body for every captured page to update. Pages the walk has read are taken as they are.
+
+    An inner join, so that few wanted pages can be broadcast or filter the captures before bodies move.
+    """
+    got = captures.select("url", "status", "error", "body")
+    judged = fetchlog.classify(wanted.join(got, "url"))
     return judged.select(
         "url",
         F.when(F.col("cached"), F.lit("ok")).otherwise(F.col("outcome")).alias("outcome"),
@@ -104,6 +105,16 @@ def fetch(marked: DataFrame, web: Web, rules: DataFrame, params: Params) -> Data
     )
 
 
+def not_captured(wanted: DataFrame, captures: DataFrame) -> DataFrame:
+    """Outcome of pages to update that have no capture."""
+    lost = wanted.join(captures.select("url"), "url", "left_anti")
+    return lost.select(
+        "url",
+        F.when(F.col("allowed"), F.lit("failed")).otherwise(F.lit("ignored")).alias("outcome"),
+        F.when(F.col("allowed"), F.lit("not captured")).alias("reason"),
+    )
+
+
 def ingest(fetched: DataFrame, state: DataFrame, params: Params) -> DataFrame:
     """Every fetched page with outcome and, where it is ok, hash, count and decision; chunks only if needed.
 
@@ -139,7 +150,7 @@ def run_session(
 
     is_ = lambda d: F.count_if(F.col("disposition") == d)
     marked, found = scratch.save(
-        mark(candidates, listed, web),
+        mark(candidates, listed, web, rules, params),
         "marked",
         F.count(F.lit(1)).alias("all"),
         is_("update").alias("update"),
@@ -155,10 +166,17 @@ def run_session(
         one = marked.agg(F.count(F.lit(1)).alias("n")).select(text.alias("message"))
         return _stop_early(web, one, sync.touch(web.state, touched, session_id, now))
 
-    tested, _ = scratch.save(ingest(fetch(marked, web, rules, params), web.state, params), "pages")
+    wanted = marked.filter(F.col("disposition") == "update").select("url", "cached", "allowed")
+    tested, _ = scratch.save(ingest(fetch(wanted, web.captures), web.state, params), "pages")
     pages = tested.filter(F.col("outcome") == "ok")
+    lost = not_captured(wanted, web.captures)
     failed = (
-        tested.filter(F.col("outcome") == "failed").select("url").unionByName(walk_failed).distinct()
+        tested.select("url", "outcome")
+        .unionByName(lost.select("url", "outcome"))
+        .filter(F.col("outcome") == "failed")
+        .select("url")
+        .unionByName(walk_failed)
+        .distinct()
     )
     tried, _ = scratch.save(retry(failed, web, params), "tried")
     recovered = tried.filter(F.col("result") == "recovered")
@@ -197,8 +215,8 @@ def run_session(
             {"action": F.lit("store"), "content_hash": F.lit(sync.RETRIED), "chunk_count": F.lit(0)}
         )),
         (3, with_decision("full", "partial").withColumn("action", F.lit("store"))),
-        (2, sync._no_content(with_decision("skip"), "touch")),
-        (1, sync._no_content(touched, "touch")),
+        (2, sync.no_content(with_decision("skip"), "touch")),
+        (1, sync.no_content(touched, "touch")),
         (0, stale.withColumns(
             {"content_hash": F.lit(None).cast("string"), "chunk_count": F.lit(None).cast("int")}
         )),

@@ -38,7 +38,7 @@ def ingest_batch(
     sources = pages.filter(F.col("decision") == "partial").select(F.col("url").alias("source"))
     old = store.read_chunks().join(sources, "source", "left_semi")
     stored = pages.filter(F.col("decision") != "skip").withColumn("action", F.lit("store"))
-    touched = sync._no_content(pages.filter(F.col("decision") == "skip"), "touch")
+    touched = sync.no_content(pages.filter(F.col("decision") == "skip"), "touch")
     actions = stored.select("url", "content_hash", "chunk_count", "action").unionByName(touched)
     store.publish(
         sync.transition(known, actions, session_id, now),
