@@ -48,3 +48,10 @@ def _(spark, sf_dir):
     path = f"{Scratch(spark).base}/tokens"
     tokens.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return tokens.digests(tokens.read_tokens(spark, path))
+
+
+@query("op5_simhash")
+def _(spark, sf_dir):
+    from webtide.llm import simhash
+
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
