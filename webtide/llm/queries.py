@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from webtide.llm import mixing
+from webtide.llm.mixing import Mix
 
 _SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
@@ -55,3 +59,56 @@ def _(spark, sf_dir):
     from webtide.llm import simhash
 
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+SHARDS = 40
+
+
+@query("op2_sharding")
+def _(spark, sf_dir):
+    from webtide.llm import sharding
+
+    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+MIX = Mix(
+    weights={
+        "domain": {"web": 4, "books": 3, "forum": 2, "news": 3},
+        "lang": {"en": 5, "de": 2, "fr": 2, "es": 2},
+    }
+)
+#: The tables' sources are numbered; their domains go by the number.
+_DOMAIN_NAMES = ("web", "books", "forum", "news")
+
+
+def domain_of(source: Column) -> Column:
+    number = F.try_to_number(F.regexp_extract(source, r"([0-9]+)$", 1), F.lit("999999999")).cast("int")
+    return F.get(F.array(*map(F.lit, _DOMAIN_NAMES)), number % len(_DOMAIN_NAMES))
+
+
+_DOMAIN_SQL = "(['web', 'books', 'forum', 'news'])[1 + CAST(nullif(regexp_extract(source, '([0-9]+)$', 1), '') AS INT) % 4]"
+
+
+@query("op3_mixing", mixing.sql(_DOMAIN_SQL, MIX))
+def _(spark, sf_dir):
+    chosen = mixing.choose(table(spark, sf_dir, "documents"), domain_of(F.col("source")), MIX)
+    return chosen.select("_doc.doc_id", "_mix.*")
+
+
+URL_RULES = (
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+)
+
+
+@query("op4_url_filter")
+def _(spark, sf_dir):
+    from webtide.llm import urlblock
+
+    return urlblock.judge(table(spark, sf_dir, "pages"), URL_RULES)
