@@ -112,3 +112,17 @@ def _(spark, sf_dir):
     from webtide.llm import urlblock
 
     return urlblock.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@query("op7_pii")
+def _(spark, sf_dir):
+    from webtide.llm import pii
+
+    return pii.digest(pii.find(table(spark, sf_dir, "documents")))
+
+
+@query("op9_merkle")
+def _(spark, sf_dir):
+    from webtide.llm import merkle
+
+    return merkle.compare(table(spark, sf_dir, "documents"))
