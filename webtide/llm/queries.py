@@ -126,3 +126,10 @@ def _(spark, sf_dir):
     from webtide.llm import merkle
 
     return merkle.compare(table(spark, sf_dir, "documents"))
+
+
+@query("op8_decontamination")
+def _(spark, sf_dir):
+    from webtide.llm import decontam
+
+    return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
