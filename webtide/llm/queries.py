@@ -133,3 +133,12 @@ def _(spark, sf_dir):
     from webtide.llm import decontam
 
     return decontam.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op10_langid")
+def _(spark, sf_dir):
+    from webtide.llm import langid
+
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.learn(docs))
+    return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
