@@ -142,3 +142,11 @@ def _(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     found = langid.predict(docs, langid.learn(docs))
     return found.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_line_dedup")
+def _(spark, sf_dir):
+    from webtide.llm import linedup
+
+    found = linedup.deletions(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("deleted").alias("n_deleted"), "deleted", "runs")
