@@ -140,13 +140,16 @@ def near_links(distinct: DataFrame, scratch: Scratch, pairwise: int = PAIRWISE)
     compared within a task, and members of still larger ones are linked by `_around`, exactly as well.
     """
     entry = ["choice", "bytes"]
+    tasks = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    distinct = distinct.repartition(tasks)  # a few bytes per row until here, 70 rows from here
     counted = _entries(distinct).groupBy(*entry).agg(
         F.count(F.lit(1)).alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")
     )
     shared, _ = scratch.save(counted.filter(F.col("n") > 1), "entries")
     two = shared.filter((F.col("n") == 2) & _near("a", "b")).select("a", "b").distinct()
     more = shared.filter(F.col("n") > 2).select(*entry, "n")
-    members, _ = scratch.save(_entries(distinct).join(more, entry), "members")
+    # as a merge join at every size: its hot entries can be split, and its cost follows the input
+    members, _ = scratch.save(_entries(distinct).join(more.hint("merge"), entry), "members")
     few = members.filter(F.col("n") <= pairwise).select(*entry, "fp")
     sorted_ = few.select(F.col("choice").cast("bigint").alias("choice"), "bytes", "fp").repartition(*entry)
     within = sorted_.sortWithinPartitions(*entry).mapInArrow(_links_within, "a BIGINT, b BIGINT")
