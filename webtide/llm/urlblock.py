@@ -92,6 +92,8 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame, e
     linked = page_edges(known.filter(F.col("url").isNotNull()))
     if edges is not None:
         linked = linked.unionByName(edges.toDF("a", "b"))
+    targets = linked.select(F.col("b").alias("a"), plain(F.col("b")).alias("b"))
+    linked = linked.unionByName(targets).distinct()
     linked, _ = scratch.save(linked.filter(F.col("a").isNotNull() & F.col("b").isNotNull()), "edges")
     group, _ = scratch.save(components(linked, scratch), "groups")
     nodes = known.select("url").unionByName(group.select(F.col("node").alias("url"))).filter(F.col("url").isNotNull()).distinct()
