@@ -115,8 +115,8 @@ def posteriors(model: Model, scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     size = np.diff(at)
     per_text = -(-size // _BLOCK)
     n = int(per_text.sum())
-    if not n:
-        return np.zeros((0, k))
+    if not n or not k:
+        return np.zeros((n_words, k))
     first_block = np.concatenate([[0], np.cumsum(per_text)[:-1]])
     number = np.arange(n) - np.repeat(first_block, per_text)
     begin = np.repeat(at[:-1], per_text) + number * _BLOCK
