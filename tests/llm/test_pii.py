@@ -1,0 +1,93 @@
+"""Personal data against the plain patterns, on documents, on made-up cases and on random text."""
+
+import hashlib
+import random
+import re
+
+import pytest
+
+from webtide.llm import pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def luhn(d):
+    s = [int(c) for c in d[::-1]]
+    return (sum(s[::2]) + sum(x * 2 - 9 * (x > 4) for x in s[1::2])) % 10 == 0
+
+
+def base(text):
+    out = []
+    for rank, (kind, p) in enumerate(PLAIN.items()):
+        for m in re.finditer(p, text or ""):
+            d = re.sub("[^0-9]", "", m[0])
+            ok = {
+                "email": True,
+                "ip": all(int(x) <= 255 for x in m[0].split(".")) if kind == "ip" else False,
+                "card": 14 <= len(d) <= 19 and luhn(d),
+                "phone": 10 <= len(d) <= 15,
+            }[kind]
+            if ok:
+                out.append((m.start(), rank, f"{kind}:{m.start()}:{m.end()}"))
+    return [x[2] for x in sorted(out)]
+
+
+def check(spark, texts):
+    rows = list(enumerate(texts))
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'k' AS spans", "1 AS email_match")
+    got = {r.doc_id: r for r in pii.digest(pii.find(df)).collect()}
+    for i, text in rows:
+        want = base(text)
+        r = got[i]
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), (text or "")[:200]
+        assert [x for x in r.spans.split(",") if x and x.split(":")[0] in PLAIN] == want
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == tuple(sum(x.startswith(k) for x in want) for k in PLAIN)
+    return got
+
+
+def test_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("text").collect()
+    check(spark, [r.text for r in rows])
+
+
+def test_cases(spark):
+    texts = [
+        None, "", "a@b.c_d@e.f g@h.i.j", "x a@b a@b@c.d %@a-.b", "1.2.3.4.5.6.7.8 0255.1.1.1 256.1.1.1 1.2.3",
+        "4111 1111 1111 1111 4111-1111-1111-1112 5500000000000004", "+1 (555) 123-4567 +1((((( +12345 ++1 23456789012",
+        "é" * 5 + " + a@b.cd 😀 10.0.0.1", "9" * 9000, "a" * 9000 + "@", "1.1.1." * 4000, "a@b." * 3000 + "c", "- 1 - 2 3-4" * 50,
+        "x@y.z " * 5000,
+    ]
+    check(spark, texts)
+
+
+def test_random(spark):
+    r = random.Random(2)
+    check(spark, ["".join(r.choice("ab@@..--++__ 0123459()%é") for _ in range(r.randint(0, 80))) for _ in range(1500)])
+
+
+def test_confirmed_and_nearby(spark):
+    texts = [
+        "my iban is DE89 3704 0044 0532 0130 00 thanks", "DE88370400440532013000", "ssn: 123-45-6789", "part 123-45-6789",
+        "GB82WEST12345698765432 and XX00",
+    ]
+    got = check(spark, texts)
+    assert [got[i].spans for i in range(5)] == ["iban:11:38", "", "ssn:5:16", "", "iban:0:22"]
+    found = {r.doc_id: r.spans for r in pii.find(spark.createDataFrame([(1, "mail a@b.cd"), (2, "so a@b.cd")], "doc_id long, text string")).collect()}
+    assert found[1][0].score > found[2][0].score
+
+
+def test_empty_and_repeated(spark):
+    assert pii.find(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+    got = pii.digest(pii.find(spark.createDataFrame([(None, "a@b.cd")] * 3, "doc_id long, text string"))).collect()
+    assert [r.n_email for r in got] == [1, 1, 1]
+
+
+@pytest.mark.parametrize("n", [1, 127, 128, 129, 1000])
+def test_places_of_many(spark, n):
+    text = " ".join(f"u{i}@h.io" for i in range(n))
+    check(spark, [text])
