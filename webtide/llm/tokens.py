@@ -9,7 +9,6 @@ document starts at base + local_start, so no running total ever crosses a task.
 from __future__ import annotations
 
 import os
-import re
 from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
@@ -33,10 +32,14 @@ _ARROW = pa.schema(
     ]
 )
 #: Bytes of text encoded at a time; half the number of pieces that a worker remembers.
-_SLICE, _CACHE = 4 << 20, 300_000
+_SLICE, _CACHE = 4 << 20, 400_000
 _STOPS = (".", ",", "!", "?", ";", ":")
 
 
+class _Odd(Exception):
+    """A space before white space or at the end: the text has to be encoded in one go."""
+
+
 class _Pieces(dict):
     """Ids of " " + piece, worked out when first asked for. Holds the pieces of late and, in `old`, of before."""
 
@@ -45,6 +48,8 @@ class _Pieces(dict):
         self.ids_of, self.old = ids_of, {}
 
     def __missing__(self, piece: str) -> bytes:
+        if not piece or piece[0].isspace():
+            raise _Odd
         ids = self.old.pop(piece, None)
         if ids is None:
             ids = self.ids_of(piece)
@@ -72,8 +77,7 @@ class Encoder:
         if self._whole.normalizer is not None or not isinstance(self._whole.pre_tokenizer, ByteLevel):
             raise ValueError("a byte-level BPE without normalizer is needed")
         self._cut, self._model = self._whole.pre_tokenizer.pre_tokenize_str, self._whole.model.tokenize
-        added = sorted(t.content for t in self._whole.get_added_tokens_decoder().values())
-        self._odd = re.compile("|".join([r" (?:\s|$)", *map(re.escape, added)])).search
+        self._added = [t.content for t in self._whole.get_added_tokens_decoder().values()]
         self._after_space = _Pieces(self._spaced)
 
     def _ids(self, piece: str) -> bytes:
@@ -89,10 +93,13 @@ class Encoder:
 
     def __call__(self, text: str) -> bytes:
         """Unsigned 32-bit ids of the text, least byte first."""
-        if self._odd(text):
-            return array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
         first, *rest = text.split(" ")
-        return (self._ids(first) if first else b"") + b"".join(map(self._after_space.__getitem__, rest))
+        try:
+            if any(a in text for a in self._added):
+                raise _Odd
+            return (self._ids(first) if first else b"") + b"".join(map(self._after_space.__getitem__, rest))
+        except _Odd:
+            return array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
 
 
 @lru_cache(maxsize=2)
