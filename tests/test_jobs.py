@@ -10,8 +10,9 @@ from webtide.operators import content, fetchlog, links, sync
 from webtide.params import Params
 from webtide.plans.order import running, with_global_index
 from webtide.plans.session import Web, run_session
-from webtide.sources.store import CorpusStore
-from webtide.streaming.alarms import count_batch, next_carry
+from webtide.sources.store import CorpusStore, PublishConflict
+from webtide.streaming.alarms import count_batch, next_carry, start_alarms
+from webtide.streaming.ingest import start_ingest
 
 
 def test_global_index(spark):
@@ -21,15 +22,17 @@ def test_global_index(spark):
     assert got == {w: i + 1 for i, w in enumerate(sorted(words))}
 
 
-@pytest.mark.parametrize("width", [1, 3, 7, 1000])
-def test_running_blocks(spark, width):
-    rng = random.Random(width)
+@pytest.mark.parametrize("blocks", [1, 3, 7, 40])
+def test_running_blocks(spark, blocks):
+    """Sparse order values, NULL keys and a NULL order: every row is there, and a hot key has several blocks."""
+    rng = random.Random(blocks)
     rows = []
-    for run in ("hot", "cold"):
-        for seq in range(200 if run == "hot" else 9):
-            rows.append((run, 1, seq, rng.choice(["ok", "failed", "failed", "ignored"]), "timeout"))
+    for run in ("hot", "cold", None):
+        for k in range(200 if run == "hot" else 9):
+            seq = None if run is None and k == 0 else 1706745600000 + 977 * k * k
+            rows.append((run, 1 if run else None, seq, rng.choice(["ok", "failed", "failed", "ignored"]), "timeout"))
     df = spark.createDataFrame(rows, "run_id string, batch_no int, seq long, outcome string, reason string")
-    got = {(r.run_id, r.seq): r.fails for r in fetchlog.backoff(df, Params(), width).collect()}
+    got = {(r.run_id, r.seq): r.fails for r in fetchlog.backoff(df, Params(), blocks).collect()}
     want, fails = {}, {}
     for run, _, seq, outcome, _ in rows:
         n = fails.get(run, 0)
@@ -78,7 +81,7 @@ def test_store_versions(spark, tmp_path):
     # a text that was removed and comes back is there again
     store.publish(changed, chunks(("a", 5, "x")), session_id="three", whole_state=False)
     # begun and never published: invisible
-    chunks(("z", 0, "z")).write.parquet(f"{tmp_path}/added/4")
+    chunks(("z", 0, "z")).write.parquet(f"{tmp_path}/added/part=4-x")
     want = [("a", 0, "x2"), ("a", 5, "x"), ("b", 0, "y"), ("b", 1, "x")]
     read = lambda: sorted((r.source, r.chunk_ix, r.text) for r in store.read_chunks().collect())
     assert read() == want
@@ -222,3 +225,55 @@ def test_hooks_are_transforms(spark):
 def test_params(bad):
     with pytest.raises(ValueError):
         Params(**bad)
+
+
+def test_running_splits_a_hot_key(spark):
+    df = spark.range(20000).selectExpr("'h' AS run_id", "id * 86400000 AS seq", "1 AS one")
+    out = running(df, ["run_id"], "seq", {"total": F.col("one")}, blocks=8)
+    assert out.agg(F.max("total"), F.count("*")).first()[:] == (20000, 20000)
+    scan = [line for line in out._jdf.queryExecution().toString().splitlines() if "Window" in line]
+    assert any("_block" in line for line in scan)
+
+
+def test_no_fetch_without_outcome(spark):
+    rows = [(u, s, e, b, a) for u, (s, e, b, a) in enumerate([(None, None, "x", True), (None, None, None, None), (200, None, "word " * 40, None), (500, None, "", True), (None, "timeout", None, None), (200, None, "y" * 50, False)])]
+    df = spark.createDataFrame(rows, "i int, status int, error string, body string, allowed boolean")
+    got = {r.i: (r.outcome, r.reason) for r in fetchlog.classify(df).collect()}
+    assert None not in {o for o, _ in got.values()} and len(got) == 6
+    assert got[0] == got[1] == ("failed", "http_unknown") and got[4] == ("failed", "timeout") and got[5][0] == "ignored"
+
+
+def test_two_publishers(spark, tmp_path):
+    one, two = CorpusStore(spark, str(tmp_path)), CorpusStore(spark, str(tmp_path))
+    two.version = lambda: 0  # has looked before the other one published
+    empty = one.read_chunks()
+    state = lambda u: sync.upsert(one.read_state(), spark.createDataFrame([(u, "h", 1)], "url string, content_hash string, chunk_count int"), "s", F.timestamp_seconds(F.lit(1)))
+    one.publish(state("a"), empty, session_id="first")
+    with pytest.raises(PublishConflict):
+        two.publish(state("b"), empty, session_id="second")
+    assert [r.url for r in one.read_state().collect()] == ["a"] and not one.has_session("second")
+
+
+def test_two_sources_of_one_session(spark, tmp_path):
+    """Each has its own checkpoint, where batch ids begin at 0; nothing of the second is taken for known."""
+    store = CorpusStore(spark, f"{tmp_path}/store")
+    now = F.timestamp_seconds(F.lit(1706745600))
+    schema = "url string, seq long, status int, error string, body string"
+    for k in range(2):
+        rows = [(f"https://e.com/{k}-{i}", i, 200, None, page([f"{k}{i}{w}" for w in WORDS])) for i in range(6)]
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in{k}")
+        for _ in range(2):  # a restart changes nothing
+            stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in{k}")
+            start_ingest(stream, store, PARAMS, "s", now, f"{tmp_path}/cp{k}").awaitTermination()
+    assert store.read_state().count() == 12 and store.version() == 2
+
+
+def test_two_alarm_queries_on_one_path(spark, tmp_path):
+    schema = "host string, seq long, outcome string, reason string"
+    for k in range(2):
+        rows = [(None if k else "h", i, "failed", "timeout") for i in range(4)]
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/in{k}")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in{k}")
+        start_alarms(stream, str(tmp_path), Params(), ["host"], f"{tmp_path}/cp{k}").awaitTermination()
+    got = spark.read.parquet(f"{tmp_path}/alarms/*").collect()
+    assert sorted((r.host or "", r.fails) for r in got) == [("", 1), ("", 2), ("", 3), ("", 4), ("h", 1), ("h", 2), ("h", 3), ("h", 4)]

@@ -18,7 +18,7 @@ REASON = f"""CASE WHEN NOT allowed THEN NULL
     WHEN error IS NOT NULL AND {_LIMITED} THEN '429_rate_limit'
     WHEN error IS NOT NULL THEN left(error, 200) WHEN status = 429 THEN '429_rate_limit'
     WHEN status = 200 AND {SQL_EMPTY} THEN 'empty_content' WHEN status = 200 THEN NULL
-    ELSE 'http_' || CAST(status AS STRING) END"""
+    ELSE 'http_' || coalesce(CAST(status AS STRING), 'unknown') END"""
 
 
 @check(

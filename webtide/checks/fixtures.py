@@ -232,7 +232,7 @@ def _views(d) -> dict[str, str]:
                         ELSE 'Mon, ' || {day} || ' Jan 2024 00:00:00 GMT' END"""
     v["fx_captures"] = f"""
       SELECT i, url, 'r' || {_text('i % 3')} AS run_id, CAST(floor(i / 50) AS BIGINT) + 1 AS batch_no, i AS seq,
-             {status} AS status, {ctype} AS content_type, {modified} AS last_modified, {error} AS error,
+             CASE WHEN i % 53 <> 7 THEN {status} END AS status, {ctype} AS content_type, {modified} AS last_modified, {error} AS error,
              CASE WHEN i % 29 = 13 THEN substr(html, 1, 60)
                   WHEN i % 31 = 17 THEN '<html><body>please solve this CAPTCHA ' || anchors || '</body></html>'
                   WHEN i % 3 = 0 THEN replace(html, '</body>', anchors || {hidden} || '</body>')
@@ -319,7 +319,8 @@ def _views(d) -> dict[str, str]:
                AS line
       FROM {d.table('events')}"""
     v["fx_fetches"] = f"""
-      SELECT 'h' || {_text('user_id % 7')} AS run_id, user_id % 3 AS batch_no, event_id AS seq, event_id,
+      SELECT CASE WHEN user_id % 11 <> 5 THEN 'h' || {_text('user_id % 7')} END AS run_id,
+             CASE WHEN user_id % 13 <> 4 THEN user_id % 3 END AS batch_no, event_id AS seq, event_id,
              user_id, ts,
              CASE WHEN event_type = 'view' THEN 'ok' WHEN event_type = 'signup' THEN 'ignored'
                   ELSE 'failed' END AS outcome,
@@ -327,7 +328,7 @@ def _views(d) -> dict[str, str]:
                   WHEN event_type = 'click' THEN 'timeout' ELSE CAST(NULL AS STRING) END AS reason
       FROM {d.table('events')}"""
     v["fx_results"] = f"""
-      SELECT 'run' || {_text('user_id % 4')} AS run_id, CAST(floor(event_id / 50) AS BIGINT) AS batch_no,
+      SELECT CASE WHEN user_id % 9 <> 2 THEN 'run' || {_text('user_id % 4')} END AS run_id, CAST(floor(event_id / 50) AS BIGINT) AS batch_no,
              CASE WHEN event_type IN ('view', 'click') THEN 'ingested' WHEN event_type = 'error' THEN 'failed'
                   ELSE 'skipped' END AS result
       FROM {d.table('events')}"""

@@ -12,26 +12,33 @@ from webtide.plans.order import running, with_global_index
 
 
 def outcome(body: str = "body") -> Column:
-    """ok, ignored, or failed with a reason; needs allowed, error, status and the body."""
+    """ok, ignored, or failed with a reason; needs allowed, error, status and the body.
+
+    Never NULL: without a status the reason is http_unknown, and without a verdict of the gate a page is allowed.
+    """
     message = F.lower("error")
     limited = F.contains(message, F.lit("429")) | F.contains(message, F.lit("too many"))
     status = F.col("status")
     reason = (
-        F.when(~F.col("allowed"), F.lit("ignored"))
+        F.when(~_allowed(), F.lit("ignored"))
         .when(F.col("error").isNotNull() & limited, F.lit("429_rate_limit"))
         .when(F.col("error").isNotNull(), F.substring("error", 1, 200))
         .when(status == 429, F.lit("429_rate_limit"))
         .when((status == 200) & is_empty_content(F.col(body)), F.lit("empty_content"))
         .when(status == 200, F.lit("ok"))
-        .otherwise(F.concat(F.lit("http_"), status.cast("string")))
+        .otherwise(F.concat(F.lit("http_"), F.coalesce(status.cast("string"), F.lit("unknown"))))
     )
     return reason
 
 
+def _allowed() -> Column:
+    return F.coalesce(F.col("allowed"), F.lit(True))
+
+
 def classify(fetches: DataFrame) -> DataFrame:
     """Adds outcome ('ok', 'ignored', 'failed') and reason (NULL unless failed)."""
     rows = fetches.withColumn("_r", outcome())
-    failed = ~F.col("_r").isin("ok", "ignored") | F.col("error").isNotNull() & F.col("allowed")
+    failed = ~F.col("_r").isin("ok", "ignored") | F.col("error").isNotNull() & _allowed()
     return (
         rows.withColumn("outcome", F.when(failed, F.lit("failed")).otherwise(F.col("_r")))
         .withColumn("reason", F.when(failed, F.col("_r")))
@@ -39,7 +46,7 @@ def classify(fetches: DataFrame) -> DataFrame:
     )
 
 
-def backoff(fetches: DataFrame, params: Params, width: int = 100_000) -> DataFrame:
+def backoff(fetches: DataFrame, params: Params, blocks: int | None = None) -> DataFrame:
     """Adds fails (length of the failure run), wait_s and alarm, per run and batch in order of seq.
 
     The run length is the number of failures so far less the number there was at the last success, so two
@@ -56,7 +63,7 @@ def backoff(fetches: DataFrame, params: Params, width: int = 100_000) -> DataFra
         "seq",
         {"_failed": failed.cast("bigint")},
         {"_at_ok": ("_failed", F.col("outcome") == "ok")},
-        width,
+        blocks,
     ).withColumn("fails", (F.col("_failed") - F.col("_at_ok")).cast("bigint"))
     return rows.select("*", *waits(params)).drop("_failed", "_at_ok")
 

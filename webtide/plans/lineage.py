@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +29,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with this text; False if there is one already, which then stays as it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        out = files.create(place, False)
+    except Py4JJavaError:
+        if files.exists(place):
+            return False
+        raise
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 class Scratch:
     """Written tables of one job. They outlive executors, and cut the plan where they are read again."""
 

@@ -1,23 +1,33 @@
 """Versioned tables of a corpus: page state and chunks.
 
 State is small per page: a session writes it whole, a micro-batch only the rows it changed. Chunks are the
-bulk, so a version only holds what it added and the keys of what it removed; reading joins the two. A version counts once its line in `published` is
-written, which happens last, so readers never see half a session.
+bulk, so a version only holds what it added and the keys of what it removed; reading joins the two. A version
+counts once its line in `published` is written, which happens last, so readers never see half a session. The line
+is created only if there is none yet, and every attempt writes folders of its own: of two publishers at once
+one gets `PublishConflict` and can decide again on the new state.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtide.operators.sync import STATE_SCHEMA
-from webtide.plans.lineage import path_exists
+from webtide.plans.lineage import create_file, path_exists
 
 CHUNK_SCHEMA = (
     "source string, chunk_ix int, text string, chunk_sha string, url string, session_id string"
 )
 _REMOVED_SCHEMA = "source string, chunk_sha string"
-_PUBLISHED_SCHEMA = "version int, base boolean, whole_state boolean, session_id string"
+_PUBLISHED_SCHEMA = "version int, base boolean, whole_state boolean, session_id string, part string"
+_VERSION = r"^([0-9]+)-"
+
+
+class PublishConflict(RuntimeError):
+    """Somebody else has published this version meanwhile."""
 
 
 class CorpusStore:
@@ -27,8 +37,8 @@ class CorpusStore:
     def _published(self) -> list:
         if not path_exists(self.spark, f"{self.path}/published"):
             return []
-        lines = self.spark.read.schema(_PUBLISHED_SCHEMA).parquet(f"{self.path}/published/*")
-        # one line per session, not data
+        lines = self.spark.read.schema(_PUBLISHED_SCHEMA).json(f"{self.path}/published")
+        # one line per version, not data
         return lines.orderBy("version").collect()
 
     def version(self) -> int:
@@ -40,9 +50,9 @@ class CorpusStore:
 
     def read_state(self) -> DataFrame:
         """The last whole state, with the rows changed since; the newest row per URL counts."""
-        versions: list[int] = []
+        versions: list[str] = []
         for line in self._published():
-            versions = [line.version] if line.whole_state else [*versions, line.version]
+            versions = [line.part] if line.whole_state else [*versions, line.part]
         if not versions:
             return self.spark.createDataFrame([], STATE_SCHEMA)
         rows = self._read("state", STATE_SCHEMA, versions)
@@ -52,20 +62,17 @@ class CorpusStore:
         newest = rows.groupBy("url").agg(F.max_by(F.struct(*rest), "_v").alias("s"))
         return newest.select("url", "s.*")
 
-    def _since_base(self) -> list[int]:
-        versions: list[int] = []
+    def _since_base(self) -> list[str]:
+        versions: list[str] = []
         for line in self._published():
-            versions = [line.version] if line.base else [*versions, line.version]
+            versions = [line.part] if line.base else [*versions, line.part]
         return versions
 
-    def _read(self, kind: str, schema: str, versions: list[int]) -> DataFrame:
-        out = None
-        for v in versions:
-            part = self.spark.read.schema(schema).parquet(f"{self.path}/{kind}/{v}").withColumn(
-                "_v", F.lit(v)
-            )
-            out = part if out is None else out.unionByName(part)
-        return out
+    def _read(self, kind: str, schema: str, parts: list[str]) -> DataFrame:
+        """All versions as one scan, whose plan does not grow with their number; `_v` is a row's version."""
+        reader = self.spark.read.schema(f"{schema}, part string").option("basePath", f"{self.path}/{kind}")
+        rows = reader.parquet(*[f"{self.path}/{kind}/part={p}" for p in parts])
+        return rows.withColumn("_v", F.regexp_extract("part", _VERSION, 1).cast("int")).drop("part")
 
     def read_chunks(self) -> DataFrame:
         """Chunks added since the last full copy and not removed in a later version."""
@@ -96,24 +103,29 @@ class CorpusStore:
         base: bool = False,
         whole_state: bool = True,
     ) -> int:
-        """Write the next version; a version that was begun and not finished is overwritten.
+        """Write the next version; what was begun and not finished stays invisible.
 
-        With whole_state=False, `state` holds only the rows that changed.
+        With whole_state=False, `state` holds only the rows that changed. Raises `PublishConflict` if another
+        publisher was faster.
         """
         v = self.version() + 1
-        state.write.mode("overwrite").parquet(f"{self.path}/state/{v}")
+        part = f"{v}-{uuid.uuid4().hex}"
+        at = lambda kind: f"{self.path}/{kind}/part={part}"
+        state.write.parquet(at("state"))
         columns = [f.split()[0] for f in CHUNK_SCHEMA.split(", ")]
-        added.select(*columns).write.mode("overwrite").parquet(f"{self.path}/added/{v}")
+        added.select(*columns).write.parquet(at("added"))
         if removed is None:
             removed = self.spark.createDataFrame([], _REMOVED_SCHEMA)
-        removed.select("source", "chunk_sha").write.mode("overwrite").parquet(f"{self.path}/removed/{v}")
-        line = self.spark.range(1).select(
-            F.lit(v).cast("int").alias("version"),
-            F.lit(base or v == 1).alias("base"),
-            F.lit(whole_state or v == 1).alias("whole_state"),
-            F.lit(session_id).alias("session_id"),
-        )
-        line.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/published/{v}")
+        removed.select("source", "chunk_sha").write.parquet(at("removed"))
+        line = {
+            "version": v,
+            "base": base or v == 1,
+            "whole_state": whole_state or v == 1,
+            "session_id": session_id,
+            "part": part,
+        }
+        if not create_file(self.spark, f"{self.path}/published/{v}.json", json.dumps(line)):
+            raise PublishConflict(f"version {v} has been published by somebody else")
         return v
 
     def compact(self) -> int:

@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from webtide.operators.fetchlog import waits
 from webtide.params import Params
-from webtide.plans.order import running
+from webtide.plans.order import match, running
+from webtide.streaming.batches import start_batches
 
 
 def count_batch(batch: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -27,7 +28,8 @@ def count_batch(batch: DataFrame, carried: DataFrame, keys: Sequence[str]) -> Da
         "seq",
         {"_failed": (F.col("outcome") == "failed").cast("bigint"), "_oks": ok.cast("bigint")},
         {"_at_ok": ("_failed", ok)},
-    ).join(carried, list(keys), "left")
+    )
+    rows = match(rows, carried, keys, "left")
     before = F.when(F.col("_oks") == 0, F.coalesce("open_fails", F.lit(0))).otherwise(F.lit(0))
     return rows.withColumn(
         "fails", (F.col("_failed") - F.col("_at_ok") + before).cast("bigint")
@@ -37,7 +39,7 @@ def count_batch(batch: DataFrame, carried: DataFrame, keys: Sequence[str]) -> Da
 def next_carry(counted: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
     """(keys, open_fails) after the batch; keys it did not touch keep their number."""
     ends = counted.groupBy(*keys).agg(F.max_by("fails", "seq").alias("_end"))
-    return carried.join(ends, list(keys), "full").select(
+    return match(carried, ends, keys, "full").select(
         *keys, F.coalesce("_end", "open_fails").alias("open_fails")
     )
 
@@ -45,27 +47,27 @@ def next_carry(counted: DataFrame, carried: DataFrame, keys: Sequence[str]) -> D
 def start_alarms(
     stream: DataFrame, path: str, params: Params, keys: Sequence[str], checkpoint: str
 ) -> StreamingQuery:
-    """Write failed rows with fails, wait_s and alarm under `path`/alarms, one folder per micro-batch."""
+    """Write failed rows with fails, wait_s and alarm under `path`/alarms, one folder per query and micro-batch.
+
+    The query's id is kept in its checkpoint: a batch that runs again replaces its own folder, and a query with
+    another checkpoint neither reads nor overwrites anything of this one's.
+    """
     spark = SparkSession.getActiveSession()
     schema = ", ".join([f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys])
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def each(batch: DataFrame, query_id: str, batch_id: int) -> None:
         carry_schema = f"{schema}, open_fails bigint"
+        at = lambda kind, n: f"{path}/{kind}/{query_id}-{n}"
         if batch_id:
-            carried = spark.read.schema(carry_schema).parquet(f"{path}/carry/{batch_id - 1}")
+            carried = spark.read.schema(carry_schema).parquet(at("carry", batch_id - 1))
         else:
             carried = spark.createDataFrame([], carry_schema)
         counted = count_batch(batch, carried, keys).persist()
         try:
             failed = counted.filter(F.col("outcome") == "failed")
-            failed.select("*", *waits(params)).write.mode("overwrite").parquet(f"{path}/alarms/{batch_id}")
-            next_carry(counted, carried, keys).write.mode("overwrite").parquet(f"{path}/carry/{batch_id}")
+            failed.select("*", *waits(params)).write.mode("overwrite").parquet(at("alarms", batch_id))
+            next_carry(counted, carried, keys).write.mode("overwrite").parquet(at("carry", batch_id))
         finally:
             counted.unpersist()
 
-    return (
-        stream.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    return start_batches(stream, each, checkpoint)

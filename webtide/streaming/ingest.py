@@ -11,6 +11,7 @@ from webtide.params import Params
 from webtide.plans.lineage import Scratch
 from webtide.sources.captures import latest
 from webtide.sources.store import CorpusStore
+from webtide.streaming.batches import start_batches
 
 
 def ingest_batch(
@@ -52,14 +53,12 @@ def ingest_batch(
 def start_ingest(
     stream: DataFrame, store: CorpusStore, params: Params, session_id: str, now: Column, checkpoint: str
 ) -> StreamingQuery:
-    """Run over all captures that are there, then stop; call again for what arrives later."""
+    """Run over all captures that are there, then stop; call again for what arrives later.
 
-    def each(batch: DataFrame, batch_id: int) -> None:
-        ingest_batch(batch, store, params, session_id, now, f"{session_id}/{batch_id}")
+    Several sources may feed one session, each with its own checkpoint: a batch is known by its query's id too.
+    """
 
-    return (
-        stream.writeStream.foreachBatch(each)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
+    def each(batch: DataFrame, query_id: str, batch_id: int) -> None:
+        ingest_batch(batch, store, params, session_id, now, f"{session_id}/{query_id}/{batch_id}")
+
+    return start_batches(stream, each, checkpoint)
