@@ -277,3 +277,11 @@ def test_two_alarm_queries_on_one_path(spark, tmp_path):
         start_alarms(stream, str(tmp_path), Params(), ["host"], f"{tmp_path}/cp{k}").awaitTermination()
     got = spark.read.parquet(f"{tmp_path}/alarms/*").collect()
     assert sorted((r.host or "", r.fails) for r in got) == [("", 1), ("", 2), ("", 3), ("", 4), ("h", 1), ("h", 2), ("h", 3), ("h", 4)]
+
+
+def test_text_is_worked_out_once(spark):
+    """A filter on what comes out of the text does not copy the text pipeline below itself."""
+    pages = spark.createDataFrame([("u", "<p>x</p>")], "url string, body string")
+    made = content.page_chunks(content.page_texts(pages, Params()), Params())
+    times = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace")
+    assert times(made.filter(F.col("chunk_count") > 0)) <= times(made)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
-from webtide.checks.content import sql_page
+from webtide.checks.content import sql_chunk_list, sql_good, sql_page, sql_text
 from webtide.checks.fetches import REASON
 from webtide.checks.fixtures import AGENT, BASE_TS, DAY, NOW_TS
 from webtide.checks.links import sql_walk
 from webtide.checks.registry import check
-from webtide.checks.robots import SITEMAPS, sql_robots_path
+from webtide.checks.robots import GATE, LINES, RULES, SITEMAPS, sql_robots_path
 from webtide.checks.scalars import sql_domain, sql_http_epoch, sql_part
 from webtide.checks.sitemaps import LAST, entries_cte
 from webtide.functions.text import content_hash
@@ -17,6 +19,7 @@ from webtide.operators import content, sync
 from webtide.params import Params
 from webtide.plans.lineage import Scratch
 from webtide.plans.session import Session, Web, run_session
+from webtide.sources import seeds
 
 PARAMS = Params(user_agent=AGENT, ingest_pdf=True, remove_delay=2)
 NOW_SESSION = "s2"
@@ -263,22 +266,57 @@ def _(x):
     return session(x).summary
 
 
-@check("g6_early_exit")
+@check(
+    "g6_early_exit",
+    f"""WITH {LINES}, {RULES}, tested AS (SELECT i, 0 AS k, url AS u FROM p), {GATE},
+          said AS (
+            SELECT 'Error: no valid starting URLs in plugin settings.' AS message UNION ALL
+            SELECT 'No pages scraped. ' || count(*) || ' failed (0.0 min).' FROM gate WHERE allowed UNION ALL
+            SELECT 'All ' || count(*) || ' pages unchanged (0.0 min).' FROM fx_captures c JOIN gate g ON g.i = c.i
+            WHERE allowed AND status = 200 AND error IS NULL)
+        SELECT CAST(0 AS BIGINT) AS ingested, CAST(0 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS failed,
+               CAST(0 AS BIGINT) AS removed, CAST(0 AS BIGINT) AS recovered, message FROM said""",
+)
 def _(x):
-    """Both ways to stop early: nothing found at all, and nothing to update."""
+    """The three ways to stop early, each over all pages: no valid seed, nothing found, nothing to update."""
     now = F.timestamp_seconds(F.lit(NOW_TS))
-    empty = web(x)
-    empty.captures = empty.captures.limit(0)
-    empty.sitemaps = empty.sitemaps.limit(0)
-    nothing = run_session(empty, PARAMS, NOW_SESSION, now).summary
-    still = web(x)
-    listed = still.sitemaps.limit(0)
-    still.sitemaps = listed
-    still.heads = still.state.select(
-        "url", F.lit(503).alias("status"), F.lit(None).cast("string").alias("last_modified"),
-        F.lit(None).cast("string").alias("error"),
+    scratch = Scratch(x.spark)
+    kept = lambda df, name: scratch.save(df, name)[0]
+    every = kept(x.fx_captures.select("url", "status", "content_type", "last_modified", "error", "body"), "every")
+    base = web(x)
+    base.seeds = every.select("url")
+    base.sitemaps = base.sitemaps.withColumn("status", F.lit(500))
+
+    bad = seeds.seed_list(x.sql("SELECT i AS setting, 'localhost, ,not an address' AS raw FROM p"))
+    no_seed = replace(base, seeds=bad.select("url"))
+    broken = replace(base, captures=every.withColumn("error", F.lit("Read timed out")))
+    # every page is known, and asking for its date fails
+    known = every.select(
+        "url", F.lit("h").alias("content_hash"), F.lit(1).alias("chunk_count"),
+        F.timestamp_seconds(F.lit(BASE_TS)).alias("last_seen"), F.lit("s0").alias("session_id"), F.lit(0).alias("miss_count"),
     )
-    walked = still.captures.join(still.state.select("url"), "url", "left_semi")
-    still.captures, still.seeds = walked, walked.filter("status = 200").select("url")
-    still.scope = still.scope.filter("kind = 'none'")
-    return nothing.unionByName(run_session(still, PARAMS, NOW_SESSION, now).summary)
+    heads = every.select("url", F.lit(503).alias("status"), F.lit(None).cast("string").alias("last_modified"), F.lit(None).cast("string").alias("error"))
+    still = replace(base, captures=every, state=known, heads=heads, scope=base.scope.filter("kind = 'none'"))
+    said = [run_session(w, PARAMS, NOW_SESSION, now).summary for w in (no_seed, broken, still)]
+    return said[0].unionByName(said[1]).unionByName(said[2])
+
+
+_HOOKED = "replace(html, '</title>', ' hooked</title>')"
+
+
+@check(
+    "x1_hooks",
+    f"""WITH hooked AS (SELECT i, url, {sql_text(_HOOKED)} AS text FROM p),
+          said AS (SELECT i, url, replace(text, 'hooked', 'THE HOOKED') AS text FROM hooked),
+          cut AS (SELECT i, list_filter({sql_chunk_list('text', 1024, 256)}, lambda c: {sql_good('c', 'url', 50)}) AS chunks FROM said)
+        SELECT i, array_to_string(list_filter(chunks, lambda c: contains(c, 'HOOKED')), chr(10)) AS kept FROM cut""",
+)
+def _(x):
+    """Parser, document and chunk hooks are transforms between the stages."""
+    parser = lambda df: df.withColumn("html", F.replace("html", F.lit("</title>"), F.lit(" hooked</title>")))
+    document = lambda df: df.withColumn("text", F.replace("text", F.lit("hooked"), F.lit("THE HOOKED")))
+    chunk = lambda df: df.withColumn("chunks", F.filter("chunks", lambda c: F.contains(c, F.lit("HOOKED"))))
+    params = Params()
+    pages = x.sql("SELECT i, url, html FROM p").transform(parser)
+    texts = content.page_texts(pages, params, "html").transform(document)
+    return content.page_chunks(texts, params).transform(chunk).select("i", F.array_join("chunks", "\n").alias("kept"))

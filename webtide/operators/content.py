@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from webtide.functions import text as T
 from webtide.params import Params
+from webtide.plans.once import computed
 
 
 def page_texts(pages: DataFrame, params: Params, body: str = "body") -> DataFrame:
@@ -14,7 +15,8 @@ def page_texts(pages: DataFrame, params: Params, body: str = "body") -> DataFram
     html = F.col(body)
     if params.ignore_display_none:
         html = T.strip_hidden(html)
-    return pages.withColumn("text", T.html_to_text(html)).drop(body)
+    rest = pages.withColumn("_html", html).drop("text", body)
+    return computed(rest, {"text": T.html_to_text(F.col("_html"))}).drop("_html")
 
 
 def page_chunks(pages: DataFrame, params: Params, source: str = "url") -> DataFrame:
@@ -24,7 +26,7 @@ def page_chunks(pages: DataFrame, params: Params, source: str = "url") -> DataFr
         cut, lambda c: T.is_good_chunk(c, F.col(source), params.min_chunk_length)
     )
     return (
-        pages.withColumn("chunks", kept)
+        computed(pages, {"chunks": kept})
         .drop("text")
         .withColumn("content_hash", T.content_hash(F.array_join("chunks", "\n")))
         .withColumn("chunk_count", F.size("chunks"))

@@ -15,6 +15,10 @@ from webtide.sources.robots_files import pick_robots
 from webtide.sources.seeds import pack_scope
 
 
+# Texts of sessions that stop early; the others are in `_nothing_found` and `run_session`.
+NO_SEEDS = "Error: no valid starting URLs in plugin settings."
+
+
 @dataclass
 class Web:
     """The captured web and what is known from before.
@@ -143,6 +147,9 @@ def run_session(
     web: Web, params: Params, session_id: str, now: Column, minutes: str = "0.0"
 ) -> Session:
     """All stages in order. The tables other stages read again are written once in the shared folder."""
+    if web.seeds.isEmpty():
+        message = web.seeds.sparkSession.range(1).select(F.lit(NO_SEEDS).alias("message"))
+        return _stop_early(web, message, web.state)
     scratch = Scratch(web.seeds.sparkSession)
     lines = robots.directive_lines(pick_robots(web.robots))
     rules, _ = scratch.save(robots.rule_tables(lines, params.user_agent), "rules")
