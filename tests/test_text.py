@@ -28,6 +28,7 @@ def test_html_to_text(spark):
         "a&nbsp;&nbsp;b\n\t c": "a b c",
         "&amp;lt; &#38;gt; &#128512; &#0; &#xD800;": "&lt; &gt; \U0001f600 � �",
         "1 < 2 and 3 > 2": "1 < 2 and 3 > 2",
+        "a &#x26;lt;b &amp;eacute; caf&eacute; &#000000065; &#146; &hellip;&nosuch; &": "a &lt;b &eacute; caf\u00e9 A \u2019 \u2026&nosuch; &",
         '<a title="x>y">k</a>': "k",
         "<script>never closed": "",
         "&#; &#x; &#12": "&#; &#x; &#12",
@@ -49,6 +50,8 @@ def test_strip_hidden(spark):
         f"a{hid}<!-- </div> --><script>'</div>'</script>b</div>c": "ac",
         f"a{hid}never closed": "a",
         "<DIV STYLE='DISPLAY:NONE'>a</DIV>b": "b",
+        '<div title="use style=display:none here">a</div>': '<div title="use style=display:none here">a</div>',
+        "<div id=x title='a>b'style='display:none'>a</div>b": "b",
         "<div hidden>a</div><div data-style='display:none'>b</div>": "<div hidden>a</div><div data-style='display:none'>b</div>",
         "</div></div><div style='dis play:none'>x</div>y": "</div></div>y",
         "<divx style='display:none'>a</divx>": "<divx style='display:none'>a</divx>",
@@ -57,6 +60,19 @@ def test_strip_hidden(spark):
     assert run(spark, text.strip_hidden, cases) == list(cases.values())
 
 
+def test_references_like_the_standard_library(spark):
+    import html
+    import random
+
+    r = random.Random(8)
+    parts = ["&amp;", "&lt;", "&eacute;", "&#233;", "&#xE9;", "&#146;", "&copy;", "a", ";", "& ", "lt;", "#38;", "&#0065;", "&quot;"]
+    cases = ["".join(r.choice(parts) for _ in range(8)) for _ in range(400)]
+    # the library also reads some names without their end
+    cases = [c for c in cases if not __import__("re").search(r"&#?[a-z0-9]+(?![a-z0-9]*;)", c, 2)]
+    assert len(cases) > 100
+    assert run(spark, text.unescape, cases) == [html.unescape(c) for c in cases]
+
+
 @pytest.mark.parametrize("size,overlap", [(5, 2), (4, 0), (7, 6), (1, 0), (3, 1)])
 def test_chunks(spark, size, overlap):
     values = ["", "a", "abcde", "abcdefghij", "\U0001f600" * 11, "x" * 6 + "yz", "0123456789" * 97]

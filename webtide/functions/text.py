@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,13 +30,8 @@ _OPAQUE_BLOCK = (
 )
 _TAG = r"""<[/!?a-zA-Z](?:"[^"]*+"|'[^']*+'|[^'">])*+>"""
 
-_NAMED_ENTITY = (
-    ("&nbsp;", " "),
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-)
+# Names that this project reads in its own way, or that HTML 4 did not have.
+_NAMED_ENTITY = (("nbsp", " "), ("apos", "'"))
 
 
 def strip(c: Column) -> Column:
@@ -47,9 +44,19 @@ def content_hash(c: Column) -> Column:
     return F.sha2(c, 256)
 
 
+# What the standard library knows: HTML's named characters, and the characters that the numbers 128 to 159 mean.
+_NAMES = {n: chr(c) for n, c in name2codepoint.items()} | dict(_NAMED_ENTITY)
+_WINDOWS = {c: bytes([c]).decode("cp1252", "ignore") or chr(c) for c in range(0x80, 0xA0)}
+
+
+def _lookup(table: dict, key: Column) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for pair in table.items() for x in pair]), key)
+
+
 def _code_point(digits: Column, base: int) -> Column:
     """UTF-8 character of a code point; characters no text can hold become U+FFFD."""
-    code = F.conv(digits, base, 10).cast("bigint")
+    short = F.regexp_replace(digits, r"\A0+", "")
+    code = F.coalesce(F.conv(F.substring(short, 1, 8), base, 10).cast("bigint"), F.lit(0))
     b = lambda x: F.lpad(F.hex(x), 2, "0")
     tail = lambda shift: b(F.shiftright(code, shift).bitwiseAND(F.lit(63)) + 128)
     utf8 = (
@@ -59,41 +66,43 @@ def _code_point(digits: Column, base: int) -> Column:
         .otherwise(F.concat(b(F.shiftright(code, 18) + 240), tail(12), tail(6), tail(0)))
     )
     bad = (
-        (F.length(digits) > 8)
+        (F.length(short) > 8)
         | (code <= 0)
         | (code > 0x10FFFF)
         | code.between(0xD800, 0xDFFF)
     )
-    return F.when(bad, F.lit("\ufffd")).otherwise(F.decode(F.unhex(utf8), "UTF-8"))
+    plain = F.decode(F.unhex(utf8), "UTF-8")
+    windows = _lookup(_WINDOWS, code.cast("int"))
+    return F.when(bad, F.lit("\ufffd")).when(code.between(0x80, 0x9F), windows).otherwise(plain)
+
 
+def _references(c: Column) -> Column:
+    """Replace character references by cutting at every '&': each later piece starts with its own name or number.
 
-def _numeric_entities(c: Column) -> Column:
-    """Replace &#...; by cutting at every '&#': each later piece starts with its own digits."""
-    pieces = F.split(c, "&#")
+    One pass, so what a reference stands for is never read as part of another one.
+    """
+    pieces = F.split(c, "&")
 
     def decode(piece: Column, ix: Column) -> Column:
-        hexa = F.regexp_extract(piece, r"\A[xX]([0-9a-fA-F]+);", 1)
-        deci = F.regexp_extract(piece, r"\A([0-9]+);", 1)
+        hexa = F.regexp_extract(piece, r"\A#[xX]([0-9a-fA-F]+);", 1)
+        deci = F.regexp_extract(piece, r"\A#([0-9]+);", 1)
+        named = _lookup(_NAMES, F.regexp_extract(piece, r"\A([a-zA-Z][a-zA-Z0-9]*);", 1))
         rest = F.substr(piece, F.locate(";", piece) + 1)
         return (
             F.when(ix == 0, piece)
             .when(hexa != "", F.concat(_code_point(hexa, 16), rest))
             .when(deci != "", F.concat(_code_point(deci, 10), rest))
-            .otherwise(F.concat(F.lit("&#"), piece))
+            .when(named.isNotNull(), F.concat(named, rest))
+            .otherwise(F.concat(F.lit("&"), piece))
         )
 
     return F.array_join(F.transform(pieces, decode), "")
 
 
 def unescape(c: Column) -> Column:
-    """Five XML entities, &nbsp; and numeric references; the ampersand goes last."""
-    def decoded(t: Column) -> Column:
-        return F.when(F.contains(t, F.lit("&#")), _numeric_entities(t)).otherwise(t)
-
-    out = F.get(F.transform(F.array(F.replace(c, F.lit("&#38;"), F.lit("&amp;"))), decoded), F.lit(0))
-    for name, char in _NAMED_ENTITY:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return F.replace(out, F.lit("&amp;"), F.lit("&"))
+    """HTML's named and numeric character references that end with ';'; &nbsp; is a plain blank."""
+    decoded = lambda t: F.when(F.contains(t, F.lit("&")), _references(t)).otherwise(t)
+    return F.get(F.transform(F.array(c), decoded), F.lit(0))
 
 
 def drop_opaque(html: Column) -> Column:
@@ -116,7 +125,11 @@ _TOKEN = (
     r"|</div[^>]*>"
     r"|[^<]++|<"
 )
-_STYLE = r"""(?is)\A<div(?=[\s/]).*?[\s"'/]style\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+# Attributes before `style` are skipped as wholes: a value that speaks of style is none.
+_STYLE = (
+    r"""(?is)\A<div(?:[\s/]*+(?!style[\s=/>])[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+"""
+    r"""[\s/]*+style\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+)
 
 
 def _is_hidden_div(token: Column) -> Column:
