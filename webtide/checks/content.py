@@ -16,7 +16,8 @@ PARAMS = Params()
 def sql_text(html: str) -> str:
     tag = r"""<[/!?a-zA-Z](?:"[^"]*"|''[^'']*''|[^''">])*>"""
     out = f"regexp_replace({sql_drop_opaque(html)}, '{tag}', ' ', 'g')"
-    for name, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&amp;", "&")):
+    # the named characters that occur in the given pages; HTML's other names are tested in test_text.py
+    for name, char in (("&nbsp;", " "), ("&middot;", "\u00b7"), ("&copy;", "\u00a9"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "''"), ("&amp;", "&")):
         out = f"replace({out}, '{name}', '{char}')"
     return sql_strip(f"regexp_replace({out}, '{SPACE}+', ' ', 'g')")
 
