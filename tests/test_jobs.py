@@ -6,7 +6,7 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from webtide.operators import content, fetchlog, links, sync
+from webtide.operators import content, fetchlog, links, sitemap, sync
 from webtide.params import Params
 from webtide.plans.order import running, with_global_index
 from webtide.plans.session import Web, run_session
@@ -285,3 +285,39 @@ def test_text_is_worked_out_once(spark):
     made = content.page_chunks(content.page_texts(pages, Params()), Params())
     times = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("regexp_replace")
     assert times(made.filter(F.col("chunk_count") > 0)) <= times(made)
+
+
+def test_broken_xml_kinds(spark):
+    """Text after the root, a second root and an undeclared prefix make a document broken: no dates, no children."""
+    url = "<url><loc>https://e.com/a</loc><lastmod>2024-01-01</lastmod></url>"
+    ns = 'xmlns="http://www.sitemaps.org/schemas/sitemap/0.9"'
+    good = [f"<urlset {ns}>{url}</urlset>", f'<?xml version="1.0"?>\n<!-- x -->\n<urlset>{url}</urlset>\n<!-- y -->\n',
+            f'<urlset xmlns:i="u">{url.replace("</loc>", "</loc><i:image/>")}</urlset>']
+    bad = [f"<urlset>{url}</urlset>more", f"<urlset>{url}</urlset><urlset>{url}</urlset>", f"<urlset>{url.replace('</loc>', '</loc><i:image/>')}</urlset>",
+           f"<urlset>{url}"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(good + bad)], "i int, text string")
+    rows = sitemap.entries(sitemap.parse(df)).collect()
+    assert {r.i for r in rows} == set(range(7))
+    assert {r.i for r in rows if r.lastmod is not None} == {0, 1, 2}
+
+
+def test_sitemaps_are_parsed_once(spark):
+    """Fifty roots of one host share an index: entries come per root, or once for the last root."""
+    index = "<sitemapindex><sitemap><loc>https://e.com/m.xml</loc></sitemap></sitemapindex>"
+    leaf = "<urlset>" + "".join(f"<url><loc>https://e.com/{i}</loc></url>" for i in range(20)) + "</urlset>"
+    captured = spark.createDataFrame([("https://e.com/i.xml", 200, index), ("https://e.com/m.xml", 200, leaf)], "sitemap_url string, status int, text string")
+    places = spark.range(50).selectExpr("id AS root_ix", "0 AS ord", "'https://e.com/i.xml' AS sitemap_url")
+    every = sitemap.expand(places, captured)
+    last = sitemap.expand(places, captured, last_root_only=True)
+    assert every.count() == 1000 and last.count() == 20 and {r.root_ix for r in last.collect()} == {49}
+    key = ["root_ix", "ord", "entry_ix"]
+    pick = lambda rows: sorted(tuple(r) for r in sitemap.last_per_url(rows, *key).collect())
+    assert pick(every) == pick(last)
+
+
+def test_latest_capture(spark):
+    rows = [("a", 1, "x"), ("a", 3, "z"), ("a", 2, "y"), ("b", None, "n"), ("c", 5, "p"), ("c", 5, "q"), (None, 1, "u")]
+    df = spark.createDataFrame(rows, "url string, seq int, body string")
+    from webtide.sources.captures import latest
+
+    assert sorted(((r.url or ""), r.seq, r.body) for r in latest(df, "seq").collect()) == [("", 1, "u"), ("a", 3, "z"), ("b", None, "n"), ("c", 5, "q")]

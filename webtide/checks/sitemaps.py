@@ -106,11 +106,11 @@ EXPAND = f"""tops AS (
   SELECT root_ix, array_to_string(ord, '.') AS place, ord, o.text FROM firsts f JOIN okdocs o USING (sitemap_url))"""
 
 
-def expanded(x):
+def expanded(x, last_root_only=False):
     tops = x.sql(
         "SELECT i AS root_ix, 0 AS ord, proto || '//' || auth || '/index-' || CAST(i AS STRING) || '.xml' AS sitemap_url FROM p"
     )
-    return M.expand(tops, x.fx_sitemap)
+    return M.expand(tops, x.fx_sitemap, last_root_only)
 
 
 @check("m4_sitemap_index", _sql_out("gotten", "root_ix, place", f"RECURSIVE {EXPAND}, "))
@@ -129,7 +129,7 @@ LAST = """lastper AS (
     f"WITH RECURSIVE {EXPAND}, {entries_cte('gotten', 'root_ix, ord')}, {LAST} SELECT loc, lastmod_s, priority::DOUBLE AS priority FROM lastper",
 )
 def _(x):
-    rows = M.last_per_url(expanded(x), "root_ix", "ord", "entry_ix")
+    rows = M.last_per_url(expanded(x, last_root_only=True), "root_ix", "ord", "entry_ix")
     return rows.select(
         "loc",
         F.coalesce(F.unix_seconds("lastmod"), F.lit(-1).cast("bigint")).alias("lastmod_s"),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from webtide.functions import dates, urls
@@ -22,7 +22,9 @@ _XML_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": "_broken",
 }
+# Fixed value: what is taken from a document that is no XML.
 _LOC = rf"<loc>{SPACE}*(https?://[^<]+?){SPACE}*</loc>"
+_ROOT = r"\A\ufeff?\s*(?:<!DOCTYPE[^>]*>\s*)?<([A-Za-z_][\w.:-]*)"
 _NUMBER = r"\A[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
 
 
@@ -47,11 +49,22 @@ def locations(roots: DataFrame, declared: DataFrame) -> DataFrame:
     )
 
 
+def _well_formed(text: Column) -> Column:
+    """What the reader lets pass and XML does not: text around the root, a second root, an undeclared prefix."""
+    bare = F.regexp_replace(text, r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>", "")
+    root = F.regexp_extract(bare, _ROOT, 1)
+    whole = bare.rlike(rf"(?s){_ROOT}[^>]*(?<=/)>\s*\z") | bare.rlike(rf"(?s){_ROOT}[\s>].*</\1\s*>\s*\z")
+    once = F.regexp_count(bare, F.concat(F.lit("</"), root, F.lit(r"\s*>"))) <= 1
+    used = F.array_distinct(F.regexp_extract_all(bare, F.lit(r"<([A-Za-z_][\w.-]*):"), F.lit(1)))
+    declared = F.regexp_extract_all(bare, F.lit(r"xmlns:([\w.-]+)\s*="), F.lit(1))
+    return whole & once & (F.size(F.array_except(used, F.array_append(declared, "xml"))) == 0)
+
+
 def parse(docs: DataFrame) -> DataFrame:
     """Adds `entries` and `children` arrays to rows with `text`; broken XML falls back to its <loc> parts."""
     keep = [c for c in docs.columns if c != "text"]
     xml = docs.select(*keep, "text", F.from_xml("text", _XML, _XML_OPTIONS).alias("x"))
-    broken = F.col("x._broken").isNotNull() | F.col("x").isNull()
+    broken = F.col("x._broken").isNotNull() | F.col("x").isNull() | ~_well_formed(F.col("text"))
     none = F.lit(None).cast("string")
     fallback = F.transform(
         F.regexp_extract_all("text", F.lit(_LOC), F.lit(1)),
@@ -81,33 +94,37 @@ def entries(parsed: DataFrame) -> DataFrame:
     ).filter(F.startswith("loc", F.lit("http")))
 
 
-def expand(places: DataFrame, captured: DataFrame) -> DataFrame:
-    """Entries of all sitemaps reachable from `places`, each sitemap read once per root.
+def expand(places: DataFrame, captured: DataFrame, last_root_only: bool = False) -> DataFrame:
+    """Entries of all sitemaps reachable from `places`, each sitemap once per root.
 
-    Level by level: read the documents of a level, keep their entries, and go on with the sub-sitemaps not
-    seen before. `ord` is the path of positions that led to an entry, so it sorts as nested lists do. A
-    sitemap listed at several depths is read at the least one.
+    Every captured document is parsed once, however many roots list it; the walk, level by level, moves only the
+    names of sitemaps and sub-sitemaps, and entries come in at its end. `ord` is the path of positions that led to
+    an entry, so it sorts as nested lists do. A sitemap listed at several depths is read at the least one.
+    With `last_root_only` a sitemap's entries come once, for the last root that reaches it: enough where the
+    last entry of a URL wins.
     """
     scratch = Scratch(places.sparkSession)
+    docs, _ = scratch.save(parse(fetched_sitemaps(captured.select("sitemap_url").distinct(), captured)), "docs")
+    children = docs.select("sitemap_url", F.posexplode("children").alias("pos", "child"))
+    named = children.select("sitemap_url", "pos", strip(F.col("child")).alias("child"))
+    graph, _ = scratch.save(named.filter(F.col("child") != ""), "children")
     seen_key = ["root_ix", "sitemap_url"]
     level = _first(places.select("root_ix", F.array(F.col("ord").cast("int")).alias("ord"), "sitemap_url"))
-    levels, read = [], []
+    levels: list[str] = []
     for depth in count():
         levels.append(f"level-{depth}")
         frontier, stats = scratch.save(level, levels[-1])
-        read.append(f"docs-{depth}")
-        docs, _ = scratch.save(parse(fetched_sitemaps(frontier, captured)), read[-1])
+        reached = scratch.read(frontier, *levels)
         if not stats["rows"]:
-            return entries(scratch.read(docs, *read))
-        below = docs.select(
-            "root_ix", F.col("ord").alias("up"), F.posexplode("children").alias("pos", "child")
-        ).select(
-            "root_ix",
-            F.concat("up", F.array("pos")).alias("ord"),
-            strip(F.col("child")).alias("sitemap_url"),
+            break
+        below = frontier.join(graph, "sitemap_url").select(
+            "root_ix", F.concat("ord", F.array("pos")).alias("ord"), F.col("child").alias("sitemap_url")
         )
-        seen = scratch.read(frontier, *levels).select(*seen_key)
-        level = _first(below.filter(F.col("sitemap_url") != "")).join(seen, seen_key, "left_anti")
+        level = _first(below).join(reached.select(*seen_key), seen_key, "left_anti")
+    if last_root_only:
+        last = F.max(F.struct("root_ix", "ord")).alias("last")
+        reached = reached.groupBy("sitemap_url").agg(last).select("sitemap_url", "last.*")
+    return entries(reached.join(docs, "sitemap_url"))
 
 
 def _first(rows: DataFrame) -> DataFrame:

@@ -61,7 +61,7 @@ def discover(web: Web, params: Params, rules: DataFrame, lines: DataFrame, scrat
         rank = F.max("seed_ix" if "seed_ix" in web.seeds.columns else "url")
         roots = web.seeds.groupBy(F.col("url").alias("root_url")).agg(rank.alias("root_ix"))
         places = sitemap.locations(roots, robots.sitemap_lines(lines))
-        rows = sitemap.expand(places, web.sitemaps)
+        rows = sitemap.expand(places, web.sitemaps, last_root_only=True)
         listed, _ = scratch.save(sitemap.last_per_url(rows, "root_ix", "ord", "entry_ix"), "listed")
     else:
         listed = web.seeds.limit(0).selectExpr("url AS loc", "CAST(NULL AS TIMESTAMP) AS lastmod")

@@ -13,13 +13,19 @@ def content_type(df: DataFrame) -> DataFrame:
 
 
 def latest(captures: DataFrame, *order: str) -> DataFrame:
-    """Last capture per URL; copies are combined before they are shuffled."""
+    """Last capture per URL. Which one that is comes from narrow rows; bodies are joined to it, never sorted in groups.
+
+    Of captures alike in URL and order one is taken, the greatest by its other columns.
+    """
+    at = F.struct(*order)
+    counted = captures.groupBy("url", at.alias("_at")).agg(F.count(F.lit(1)).alias("_n"))
+    last = counted.groupBy(F.col("url").alias("_url")).agg(F.max(F.struct("_at", "_n")).alias("_last"))
+    same = F.col("url").eqNullSafe(F.col("_url")) & at.eqNullSafe(F.col("_last._at"))
+    found = captures.join(last, same).withColumn("_n", F.col("_last._n")).drop("_url", "_last")
     rest = [c for c in captures.columns if c != "url"]
-    return (
-        captures.groupBy("url")
-        .agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("last"))
-        .select("url", "last.*")
-    )
+    # only ties, which are rare, are grouped with their bodies
+    tied = found.filter(F.col("_n") > 1).groupBy("url").agg(F.max(F.struct(*rest)).alias("_one"))
+    return found.filter(F.col("_n") == 1).drop("_n").unionByName(tied.select("url", "_one.*"))
 
 
 def contents(candidates: DataFrame, captures: DataFrame) -> DataFrame:
