@@ -13,6 +13,7 @@ from webtide.checks.scalars import SQL_EMPTY
 from webtide.checks.session import _DECIDE, KNOWN, NOW_SESSION, PARAMS, known_chunks, known_state
 from webtide.params import Params
 from webtide.plans.lineage import Scratch
+from webtide.plans.upkeep import complete_session
 from webtide.sources import logs
 from webtide.sources.store import CorpusStore
 from webtide.streaming.alarms import start_alarms
@@ -39,9 +40,7 @@ _NEWC = f"""okcap AS (
   SELECT url, body FROM fx_captures WHERE status = 200 AND error IS NULL AND NOT {SQL_EMPTY})"""
 
 
-@check(
-    "st1_stream_ingest",
-    f"""WITH webok AS (SELECT url, body FROM fx_captures WHERE status = 200 AND error IS NULL),
+_INGESTED = f"""WITH webok AS (SELECT url, body FROM fx_captures WHERE status = 200 AND error IS NULL),
         {_NEWC}, {sql_page('webok', 'body')}, {KNOWN},
         done AS (SELECT n.*, {_DECIDE} AS decision FROM pagec n JOIN okcap USING (url) LEFT JOIN kstate s ON s.url = n.url)
         SELECT coalesce(s.url, d.url) AS url,
@@ -50,11 +49,29 @@ _NEWC = f"""okcap AS (
           CASE WHEN d.url IS NULL THEN s.last_seen_s ELSE {NOW_TS} END AS last_seen_s,
           CASE WHEN d.url IS NULL THEN s.session_id ELSE '{NOW_SESSION}' END AS session_id,
           CASE WHEN d.url IS NULL THEN s.miss_count ELSE 0 END AS miss_count
-        FROM kstate s FULL JOIN done d ON d.url = s.url""",
+        FROM kstate s FULL JOIN done d ON d.url = s.url"""
+
+
+@check("st1_stream_ingest", _INGESTED)
+def _(x):
+    return _state(ingested(x))
+
+
+def _state(store: CorpusStore):
+    return store.read_state().withColumn("last_seen_s", F.unix_seconds("last_seen")).drop("last_seen")
+
+
+@check(
+    "st1_complete_session",
+    f"""SELECT url, content_hash, chunk_count, last_seen_s, session_id,
+          CAST(CASE WHEN session_id = '{NOW_SESSION}' THEN miss_count ELSE miss_count + 1 END AS INT) AS miss_count
+        FROM ({_INGESTED}) WHERE session_id = '{NOW_SESSION}' OR miss_count + 1 < {PARAMS.remove_delay}""",
 )
 def _(x):
-    state = ingested(x).read_state()
-    return state.withColumn("last_seen_s", F.unix_seconds("last_seen")).drop("last_seen")
+    """The streamed session is declared complete: what it has not met is missing or removed."""
+    store = ingested(x)
+    complete_session(store, NOW_SESSION, PARAMS, F.timestamp_seconds(F.lit(NOW_TS)))
+    return _state(store)
 
 
 def ingested(x) -> CorpusStore:

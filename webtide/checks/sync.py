@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from webtide.checks.fixtures import NOW_TS
 from webtide.checks.registry import check
 from webtide.operators import sync as S
+from webtide.plans.lineage import Scratch
+from webtide.plans.upkeep import delete_sources
+from webtide.sources.store import CorpusStore
 
 
 def now():
@@ -170,6 +173,23 @@ def _(x):
     return S.without_sources(x.fx_chunks_old, _sources(x)).select("source", "chunk_ix", "chunk_sha")
 
 
+@check(
+    "d10_delete_job",
+    f"""WITH gone AS ({_SRC} UNION ALL SELECT loc FROM fx_listed)
+        SELECT 'state' AS kind, url AS name, CAST(1 AS BIGINT) AS n FROM fx_state WHERE url NOT IN (FROM gone) UNION ALL
+        SELECT 'chunks', source, count(*) FROM fx_chunks_old WHERE source NOT IN (FROM gone) GROUP BY source""",
+)
+def _(x):
+    """What a store still holds after the job."""
+    store = CorpusStore(x.spark, f"{Scratch(x.spark).base}/store")
+    old = x.fx_chunks_old.withColumns({"url": F.col("source"), "session_id": F.lit("s")})
+    store.publish(x.state, old)
+    delete_sources(store, _sources(x).unionByName(x.fx_listed.select(F.col("loc").alias("source"))))
+    count = F.count(F.lit(1)).alias("n")
+    left = store.read_chunks().groupBy(F.lit("chunks").alias("kind"), F.col("source").alias("name")).agg(count)
+    return left.unionByName(store.read_state().select(F.lit("state").alias("kind"), F.col("url").alias("name"), F.lit(1).cast("bigint").alias("n")))
+
+
 @check(
     "d11_keep_set",
     "SELECT url FROM fx_state UNION SELECT loc FROM fx_listed UNION SELECT url FROM fx_attempts",
