@@ -69,7 +69,7 @@ def _next_ranks(ranks: DataFrame, step: int, scratch: Scratch, name: str) -> tup
     pairs, _ = scratch.save(ranks.join(further, ["key", "seq"]), f"{name}-pairs")
     shared = pairs.groupBy("rank", "then").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     # only distinct pairs are sorted: a line in a third of all documents is one row here
-    numbered = with_global_index(shared.select("rank", "then"), ["rank", "then"])
+    numbered, _ = scratch.save(with_global_index(shared.select("rank", "then"), ["rank", "then"]), f"{name}-order")
     found, seen = scratch.save(pairs.join(numbered, ["rank", "then"]).select("key", "seq", F.col("ix").alias("rank")), name)
     return found, seen["rows"]
 
@@ -81,7 +81,9 @@ def repeated_windows(docs: DataFrame, min_words: int, scratch: Scratch) -> tuple
         rows.mapInArrow(_cut(min_words), _LINES), "lines", F.max(F.greatest("ahead", "behind")).alias("deepest")
     )
     # a line that occurs once ends every run; equal rows count once
-    shared = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("id")
+    repeated = lines.groupBy("id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    # written, so that the join with it is dealt out by itself and a very common line can be split
+    shared, _ = scratch.save(repeated.select("id"), "shared")
     active, _ = scratch.save(lines.join(shared, "id", "left_semi").dropDuplicates(["key", "seq"]), "active")
     windows = (
         active.filter(F.col("ahead") > 0).select("key", "doc_id", "seq", F.col("ahead").alias("size"))
@@ -106,7 +108,8 @@ def repeated_windows(docs: DataFrame, min_words: int, scratch: Scratch) -> tuple
     # an interval: same size and same ranks at both ends
     place = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key", "seq")
     first = whole.groupBy("size", "rank", "then").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
-    met = whole.join(first.filter(F.col("n") > 1), ["size", "rank", "then"])
+    several, _ = scratch.save(first.filter(F.col("n") > 1), "intervals")
+    met = whole.join(several, ["size", "rank", "then"])
     later, _ = scratch.save(met.filter(place > F.col("first")).select("key", "seq", "size").distinct(), "later")
     return lines, later
 
