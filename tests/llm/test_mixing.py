@@ -10,8 +10,9 @@ from webtide.llm.mixing import Mix
 DOCS = "/root/testdata/sf0.001/documents.parquet"
 
 
-@pytest.mark.parametrize("share", [0, 100, 600, 2500, 9000])
-def test_sql(spark, share):
+@pytest.mark.parametrize("share,most", [(0, 50_000), (600, 50_000), (600, 0), (2500, 50_000), (9000, 0)])
+def test_sql(spark, monkeypatch, share, most):
+    monkeypatch.setattr(mixing, "_BROADCAST", most)  # both ways to meet the plan
     mix = Mix(share=share, epochs=3, weights={"domain": {"web": 7, "books": 0, "news": 1}, "lang": {"en": 1, "de": 9}})
     chosen = mixing.choose(spark.read.parquet(DOCS), queries.domain_of(F.col("source")), mix)
     got = sorted(tuple(r) for r in chosen.select("_doc.doc_id", "_mix.*").collect())

@@ -76,3 +76,20 @@ def test_all_registered():
     names = set(queries.queries())
     assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)}
     assert set(queries.oracle_sql()) <= names
+
+
+def test_empty_and_odd_rows(spark):
+    """No documents at all, and documents with nulls, repeated rows and a very long text, pass all stages."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    none = docs.limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        none = stage(spark, none, SF)
+        assert none.count() == 0
+    odd = [(None, "the of and this with", None, None, None), (-1, None, "en", "src1", 0), (-2, "", None, "src1", 0), (-3, "the of " * 30000, "en", "odd", 1)]
+    odd += [(-4, "and this is the same text as that one", "en", "src2", 1)] * 2
+    rows = docs.limit(80).unionByName(spark.createDataFrame(odd, docs.schema))
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        rows = spark.createDataFrame(stage(spark, rows, SF).collect(), docs.schema)
+        ids = Counter(r.doc_id for r in rows.collect())
+        assert not ids.keys() & {-1, -2}
+    assert ids[-4] <= 2 and corpus_pipeline.STAGES[4][1](spark, rows, SF).count() == sum(ids.values())

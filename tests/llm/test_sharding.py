@@ -48,9 +48,9 @@ def test_against_brute_force(spark, shards):
 
 
 def test_limited_movement(spark):
-    """One shard more, with 10 % of room to spare: most rows stay; with none to spare, more move, but not most."""
+    """One shard more of forty moves a few hundredths of the rows, with room to spare and without."""
     docs = spark.range(20000).selectExpr("id AS doc_id", "CAST(NULL AS STRING) AS text")
-    for slack, bound in ((0.25, 0.10), (0.0, 0.40)):
+    for slack, bound in ((0.25, 0.05), (0.0, 0.10)):
         place = [{r.doc_id: r.shard for r in sharding.assign(docs, n, slack=slack).collect()} for n in (40, 41)]
         moved = sum(place[0][i] != place[1][i] for i in place[0]) / 20000
         assert 1 / 41 * 0.5 < moved < bound
