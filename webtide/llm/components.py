@@ -13,8 +13,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataF
 
     `edges` has two columns of one sortable type; loops, repeated and null ends are ignored. Each round hangs
     the neighbours of a node under its smallest neighbour: first the larger ones, then the smaller ones. Minima
-    are combined within tasks and joined back, so a node with a third of all edges is never one group; a join
-    with such a node can be split. The rounds end when every tree is a star, after about log² of the longest
+    are combined within tasks, written and joined back, so a node with a third of all edges is never one group, and
+    adaptive execution can split its join (with the aggregation still below it, it could not). The rounds end when every tree is a star, after about log² of the longest
     path; each writes its edges to the shared folder, so plans stay short and lost executors cost one round.
     """
     a, b = edges.columns
@@ -25,7 +25,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataF
     turn = 0
     while seen["n"]:
         turn += 1
-        hung = _small_star(_large_star(now))
+        hung = _small_star(_large_star(now, scratch, f"{name}{turn}-large"), scratch, f"{name}{turn}-small")
         now, found = scratch.save(hung, f"{name}{turn}", *mark)
         if found == seen:
             break
@@ -36,18 +36,20 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "stars") -> DataF
     )
 
 
-def _large_star(pairs: DataFrame) -> DataFrame:
+def _large_star(pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """Larger neighbours of a node go under the smallest of the node and its neighbours. u > v throughout."""
     both = pairs.unionByName(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    minima = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least, _ = scratch.save(minima, name)
     # (u, v) with v larger than u is the reverse of a stored pair
     up = pairs.select(F.col("v").alias("u"), F.col("u").alias("v"))
     return up.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(pairs: DataFrame) -> DataFrame:
+def _small_star(pairs: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """A node and its smaller neighbours go under the smallest of these."""
-    least = pairs.groupBy("u").agg(F.min("v").alias("m"))
+    pairs, _ = scratch.save(pairs, f"{name}-pairs")  # read twice
+    least, _ = scratch.save(pairs.groupBy("u").agg(F.min("v").alias("m")), name)
     moved = pairs.join(least, "u").filter(F.col("v") != F.col("m"))
     hung = moved.select(F.col("v").alias("u"), F.col("m").alias("v"))
     return hung.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
