@@ -18,6 +18,8 @@ from webtide.plans.lineage import Scratch
 
 LEVELS = ("domain", "lang", "source")
 NONE = "none"
+#: Most leaves whose plan (some 100 bytes each) is broadcast.
+_BROADCAST = 50_000
 
 
 @dataclass(frozen=True)
@@ -90,6 +92,11 @@ def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
     return leaves.join(known.withColumnRenamed("total", "budget"), list(LEVELS))
 
 
+def _counted(plan: DataFrame, rows: int) -> DataFrame:
+    """One row per leaf: broadcast up to a size that has been counted, beyond it joined as Spark sees fit."""
+    return F.broadcast(plan) if rows <= _BROADCAST else plan
+
+
 def choose(docs: DataFrame, domain: Column, mix: Mix, tokens: Column | None = None) -> DataFrame:
     """`docs` with domain (null: "none"), tokens and copies, as columns of `_mix`; rows without copies are gone.
 
@@ -118,10 +125,13 @@ def choose(docs: DataFrame, domain: Column, mix: Mix, tokens: Column | None = No
         F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(F.lit(0)).alias("whole"),
         F.when(F.col("tokens") > 0, F.expr("budget % tokens")).otherwise(F.lit(0)).alias("rest"),
     )
-    plan, _ = scratch.save(plan, "plan")
+    plan, size = scratch.save(plan, "plan")
+    leaves = size["rows"]
 
     turn = F.md5(F.concat_ws(":", F.lit(mix.seed), F.col("whole"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    ordered = narrow.join(plan.filter(F.col("rest") > 0), list(LEVELS)).withColumn("block", F.substring(turn, 1, 3))
+    ordered = narrow.join(_counted(plan.filter(F.col("rest") > 0), leaves), list(LEVELS)).withColumn(
+        "block", F.substring(turn, 1, 3)
+    )
     blocks = ordered.groupBy(*LEVELS, "block").agg(F.sum("tokens").alias("n"), F.max("rest").alias("rest"))
     upto = Window.partitionBy(*LEVELS).orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
     # one block per leaf, 4,096 rows per leaf in the window
@@ -134,14 +144,16 @@ def choose(docs: DataFrame, domain: Column, mix: Mix, tokens: Column | None = No
 
     names = docs.columns
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), leaf.alias("l")).select("_doc", "l.*")
-    met = rows.join(ends, list(LEVELS)).withColumn("turn", turn)
+    met = rows.join(_counted(ends, leaves), list(LEVELS)).withColumn("turn", turn)
     met = met.withColumn("block", F.substring("turn", 1, 3))
     inside = F.when(F.col("rest") == 0, F.lit("out")).when(F.col("block") < F.col("last"), F.lit("in")).when(
         F.col("block") == F.col("last"), F.lit("edge")
     ).otherwise(F.lit("out"))
     met = met.withColumn("where", inside)
     row = Window.partitionBy(*LEVELS).orderBy("turn", "doc_id", "tokens").rowsBetween(Window.unboundedPreceding, -1)
-    edge = met.filter(F.col("where") == "edge").withColumn(
+    # dealt out anew, so that only these rows need their leaf together and the join above can be split
+    last = met.filter(F.col("where") == "edge").repartition(*LEVELS, "block")
+    edge = last.withColumn(
         "taken", (F.col("before") + F.coalesce(F.sum("tokens").over(row), F.lit(0)) < F.col("rest")).cast("int")
     )
     clear = met.filter(F.col("where") != "edge").withColumn("taken", (F.col("where") == "in").cast("int"))
