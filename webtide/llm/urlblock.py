@@ -98,12 +98,16 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str, str]] | DataFrame, e
     group, _ = scratch.save(components(linked, scratch), "groups")
     nodes = known.select("url").unionByName(group.select(F.col("node").alias("url"))).filter(F.col("url").isNotNull()).distinct()
     decided, _ = scratch.save(apply_rules(nodes, law), "decided")
-    named = decided.join(group.withColumnsRenamed({"node": "url"}), "url", "left")
+    # an address without aliases is its own group
+    joined = decided.join(group.withColumnsRenamed({"node": "url"}), "url", "left")
+    named = joined.withColumn("component", F.coalesce("component", "url"))
     acts = (
-        named.filter(F.col("action").isNotNull() & F.col("component").isNotNull())
+        named.filter(F.col("action").isNotNull())
         .groupBy("component")
         .agg(F.max((F.col("action") == "allow").cast("int")).alias("allowed"))
     )
+    # written, so that the join with a very large group can be split
+    acts, _ = scratch.save(acts, "acts")
     method = F.when(F.col("allowed") == 0, F.lit("block")).otherwise(F.lit("allow"))
     verdicts = named.join(acts, "component", "left").select(
         "url", "host", "path", "rule", F.coalesce("action", method).alias("verdict")
