@@ -60,6 +60,18 @@ class _Pieces(dict):
         return ids
 
 
+class _Mapped(dict):
+    """The byte-level form of a character, asked of the tokenizer once."""
+
+    def __init__(self, cut: Callable) -> None:
+        super().__init__()
+        self.cut = cut
+
+    def __missing__(self, char: str) -> str:
+        self[char] = form = "".join(word for word, _ in self.cut(char))
+        return form
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, which works out each distinct piece between spaces once.
 
@@ -78,17 +90,20 @@ class Encoder:
             raise ValueError("a byte-level BPE without normalizer is needed")
         self._cut, self._model = self._whole.pre_tokenizer.pre_tokenize_str, self._whole.model.tokenize
         self._added = [t.content for t in self._whole.get_added_tokens_decoder().values()]
-        self._after_space = _Pieces(self._spaced)
+        self._after_space, self._mapped = _Pieces(self._spaced), _Mapped(self._cut)
+        self._stops = {s: self._ids(s) for s in _STOPS}
 
     def _ids(self, piece: str) -> bytes:
         return array("I", [t.id for word, _ in self._cut(piece) for t in self._model(word)]).tobytes()
 
     def _spaced(self, piece: str) -> bytes:
-        """Ids of " " + piece. ASCII letters, with a stop or not, are words by themselves; their space is "Ġ"."""
-        word, stop = (piece[:-1], piece[-1:]) if piece[-1:] in _STOPS else (piece, "")
-        if word.isascii() and word.isalpha():
-            found = self._model("Ġ" + word)
-            return array("I", [t.id for t in (found + self._model(stop) if stop else found)]).tobytes()
+        """Ids of " " + piece. Latin letters, with a stop or not, are words by themselves; their space is "Ġ"."""
+        word, stop = piece[:-1], piece[-1]
+        if stop in self._stops and word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+            return self._after_space[word] + self._stops[stop]
+        if piece.isalpha() and (piece.isascii() or max(piece) < "\u0250"):
+            form = piece if piece.isascii() else "".join(map(self._mapped.__getitem__, piece))
+            return array("I", [t.id for t in self._model("Ġ" + form)]).tobytes()
         return self._ids(" " + piece)
 
     def __call__(self, text: str) -> bytes:
