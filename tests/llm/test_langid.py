@@ -89,3 +89,27 @@ def test_nothing_to_learn(spark):
     df = spark.createDataFrame([(1, "abc", None), (3, "def", None)], "doc_id long, text string, lang string")
     got = langid.predict(df, langid.learn(df)).collect()
     assert [(r.lang_pred, r.score) for r in got] == [("und", 0.0)] * 2
+
+
+def test_label_without_words(spark, docs, model):
+    """A label that only texts without letters have is no language; the others are learned as if it were not there."""
+    odd = [(i, text, "zxx") for i, text in enumerate(["", "12 34", "!? …", "٣٤ — 5", "000"] * 20, 10**6)]
+    more = docs.select("doc_id", "text", "lang").unionByName(spark.createDataFrame(odd, "doc_id long, text string, lang string"))
+    assert "zxx" not in langid.sample(more, SMALL)[1]
+    got = langid.learn(more, SMALL)
+    assert got.languages == model.languages and np.array_equal(got.weights, model.weights) and model.weights.any()
+    texts, labels = langid.sample(docs, SMALL)
+    got = langid.fit([*texts, "12"], [*labels, "zxx"], SMALL)
+    assert got.languages == model.languages and np.array_equal(got.weights, model.weights)
+
+
+def test_long_labelled_texts(spark):
+    """A language whose documents are all longer than `chars` is learned from passages of them."""
+    settings = langid.Training(per_language=20, chars=300, steps=30)
+    long = [(i, "7 " * 400 + "kuru sani talo mida " * 300, "xa") for i in range(40)]
+    rows = spark.createDataFrame(long + [(i, "bore gliv strum nask", "xb") for i in range(100, 140)], "doc_id long, text string, lang string")
+    texts, labels = langid.sample(rows, settings)
+    assert set(labels) == {"xa", "xb"} and all(len(x) <= 300 for x in texts)
+    assert all(x.startswith("kuru") for x, y in zip(texts, labels) if y == "xa")
+    got = langid.predict(rows, langid.fit(texts, labels, settings)).collect()
+    assert all(r.lang_pred == ("xa" if r.doc_id < 100 else "xb") for r in got)

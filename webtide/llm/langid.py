@@ -24,8 +24,9 @@ UNKNOWN = "und"
 class Training:
     """Bounds of the sample and of the fit.
 
-    per_language: documents of each language in the sample, taken by hash of doc_id, whole; chars: those with more
-    characters are not drawn, so the sample has a fixed size. lexicon: most frequent words of each language.
+    per_language: documents of each language in the sample, taken by hash of doc_id; chars: of longer ones so many
+    characters are learned from, from the first letter on, so the sample has a fixed size. lexicon: most frequent words
+    of each language.
     """
 
     per_language: int = 150
@@ -180,12 +181,18 @@ def letters_only(w: Words) -> Words:
 
 
 def fit(texts: list[str], labels: list[str], settings: Training = Training()) -> Model:
-    """Model from labelled texts: averaged gradients of the likelihood of code-switched sequences, AdaGrad steps."""
+    """Model from labelled texts: averaged gradients of the likelihood of code-switched sequences, AdaGrad steps.
+
+    Texts without words teach nothing; a label that has no others is not among the languages.
+    """
     rng = np.random.default_rng(settings.seed)
+    w = letters_only(split(pa.array(texts, pa.string()), LETTERS))
+    worded = np.flatnonzero(np.diff(w.at) > 0).tolist()
+    if len(worded) < len(texts):
+        return fit([texts[i] for i in worded], [labels[i] for i in worded], settings)
     languages = sorted(set(labels))
     k = len(languages)
     label = np.array([languages.index(x) for x in labels], np.int64)
-    w = letters_only(split(pa.array(texts, pa.string()), LETTERS))
     h = w.hashes()
     of = label[np.repeat(np.arange(len(texts)), np.diff(w.at))] if len(texts) else np.zeros(0, np.int64)
 
@@ -197,9 +204,9 @@ def fit(texts: list[str], labels: list[str], settings: Training = Training()) ->
     words = np.array(sorted(held), np.uint64)
     lexicon = (words, np.array([held[x] for x in words.tolist()], np.uint64))
     model = Model(languages, np.zeros((_NONE + 1, k), np.float32), np.zeros((k, k)), np.zeros(k), lexicon)
-    filled = [np.flatnonzero((label == i) & (np.diff(w.at) > 0)) for i in range(k)]
-    if k < 2 or any(len(f) == 0 for f in filled):
+    if k < 2:
         return model
+    filled = [np.flatnonzero(label == i) for i in range(k)]
 
     unique, first, back = np.unique(h, return_index=True, return_inverse=True)
     table = features(Words(w.bytes, w.start[first], w.end[first], w.at), unique, lexicon)
@@ -289,13 +296,13 @@ def held_out(doc_id: Column) -> Column:
 
 
 def sample(docs: DataFrame, settings: Training) -> tuple[list[str], list[str]]:
-    """Texts and labels to learn from: labelled, not held out, at most `per_language` documents of a language.
+    """Texts and labels to learn from: labelled, with letters, not held out, at most `per_language` of a language.
 
     Counts per language come first; a hash threshold then keeps a few times the wanted number, and of these the
     least hashes stay. So no window or collection grows with the corpus.
     """
     usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
-    rows = docs.filter(usable & (F.length("text") <= settings.chars)).select("doc_id", "text", "lang")
+    rows = docs.filter(usable & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
     turn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not counts:
@@ -303,7 +310,9 @@ def sample(docs: DataFrame, settings: Training) -> tuple[list[str], list[str]]:
     wide = {x: min(1 << 30, (3 * settings.per_language << 30) // n + 1) for x, n in counts.items()}
     limit = F.create_map(*[F.lit(x) for pair in wide.items() for x in pair])
     few = rows.withColumn("turn", turn).filter(F.col("turn") < F.element_at(limit, F.col("lang")))
-    got = few.orderBy("lang", "turn", "doc_id", "text").collect()
+    passage = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{settings.chars - 1}}}", 0)
+    short = F.when(F.length("text") <= settings.chars, F.col("text")).otherwise(passage).alias("text")
+    got = few.select("doc_id", short, "lang", "turn").orderBy("lang", "turn", "doc_id", "text").collect()
     texts, labels, taken = [], [], dict.fromkeys(counts, 0)
     for r in got:
         if taken[r["lang"]] < settings.per_language:
