@@ -2,7 +2,9 @@
 
 import zlib
 from collections import Counter
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +66,25 @@ def test_odd_rows(spark):
     assert {(r.size, r.text_crc32) for r in got if r.doc_id == 2} == {(16, 0)}
     assert len({(r.shard, r.slot) for r in got}) == 45
     assert sharding.assign(spark.createDataFrame([], "doc_id long, text string"), 4).count() == 0
+
+
+def test_written_shards(spark, tmp_path):
+    """Whole rows lie in the shards, each once, where assign() puts them; files are ordered by slot."""
+    rows = [(i, f"t{i} é", i * 2, "src") for i in range(500)] + [(7, "t7 é", i, "again") for i in range(30)]
+    rows += [(None, None, None, None), (None, "x", 1, "a"), (3, None, 4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, slot long, shard string")
+    sharding.write_shards(docs, str(tmp_path / "a"), 5, nodes=8)
+    sharded = sharding.read_shards(spark, str(tmp_path / "a"), docs)
+    got = sharded.withColumn("file", F.input_file_name()).collect()
+    assert Counter(tuple(r._doc) for r in got) == Counter(rows)
+    counts = Counter(r.shard for r in got)
+    for s in range(5):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(counts[s]))
+    assert all(f"/shard={r.shard}/" in r.file for r in got)
+    for file in Path(tmp_path / "a").glob("shard=*/*.parquet"):
+        slots = pq.read_table(file, partitioning=None).column("slot").to_pylist()
+        assert slots == sorted(slots)
+    want = sharding.assign(docs, 5, nodes=8).collect()
+    assert Counter(map(tuple, sharding.digests(sharded).collect())) == Counter(map(tuple, want))
+    sharding.write_shards(docs.limit(0), str(tmp_path / "b"), 5)
+    assert sharding.read_shards(spark, str(tmp_path / "b"), docs).count() == 0

@@ -67,9 +67,12 @@ SHARDS = 40
 @query("op2_sharding")
 def _(spark, sf_dir):
     from webtide.llm import sharding
+    from webtide.plans.lineage import Scratch
 
-    placed = sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
-    return placed.select(
+    docs = table(spark, sf_dir, "documents")
+    path = f"{Scratch(spark).base}/shards"
+    sharding.write_shards(docs, path, SHARDS)
+    return sharding.digests(sharding.read_shards(spark, path, docs)).select(
         "*", F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
     )
 
