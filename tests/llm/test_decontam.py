@@ -2,6 +2,7 @@
 
 import random
 import re
+from itertools import combinations
 
 from pyspark.sql import functions as F
 
@@ -74,3 +75,39 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or 0) for r in decontam.clean(docs, bench).collect()) == [0, 1, 2]
     assert decontam.clean(docs, bench.limit(0)).count() == 8
     assert decontam.judge(docs.limit(0), bench).count() == 0
+
+
+def test_masks_reach_every_overlap():
+    seeds = decontam.Seeds()
+    for words in range(1, 40):
+        width = min(words, seeds.window)
+        for changed in range(width + 1):
+            if width - changed < seeds.share * width - 1e-9:
+                break
+            masks = seeds.whole(words) if words < seeds.window else seeds.masks
+            for other in combinations(range(width), changed):
+                free = (all(m[i] == "0" or at + i not in other for i in range(len(m))) for m in masks for at in range(width - len(m) + 1))
+                assert any(free), (words, other)
+
+
+def test_short_items(spark):
+    """Items of 1 to 14 words, verbatim and with all numbers of changed words, at all places of a document."""
+    r = random.Random(8)
+    items = {n: [f"i{n}x{k}" for k in range(n)] for n in range(1, 15)}
+    texts = ["", "none of them"]
+    for n, item in items.items():
+        for changed in range(min(n, 4)):
+            for other in r.sample(list(combinations(range(n), changed)), min(25, len(list(combinations(range(n), changed))))):
+                copy = ["other" if i in other else x for i, x in enumerate(item)]
+                before, after = r.choice([(0, 0), (0, 3), (4, 0), (5, 6)])
+                texts.append(" ".join([*(["pre"] * before), *copy, *(["post"] * after)]))
+        texts.append(" ".join(item[: n // 2]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame([(n, " ".join(x)) for n, x in items.items()] + [(99, "!")], "item_id long, text string")
+    got = {x.doc_id: x for x in decontam.judge(docs, bench).collect()}
+    for i, text in enumerate(texts):
+        want = {n: overlap(text, " ".join(x)) for n, x in items.items()}
+        assert got[i].item_ids == [n for n in items if want[n]], text
+        assert got[i].matched == max(want.values())
+    kept = {x.doc_id for x in decontam.clean(docs, bench).collect()}
+    assert kept == {i for i in got if not got[i].contaminated}

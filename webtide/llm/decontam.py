@@ -7,8 +7,10 @@ their places), along which the words are compared.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from itertools import combinations
+from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,8 @@ from webtide.plans.lineage import Scratch
 class Seeds:
     """An overlap is a run of `window` aligned words (all of a shorter item) of which the `share` agrees.
 
-    Items of fewer words than a mask is wide are never found.
+    The given masks reach every overlap of the given window and share; other ones ask for masks of their own. Items
+    of fewer than `window` words have the masks of `whole`, which reach every overlap whatever window and share are.
     """
 
     masks: tuple[str, ...] = ("1101100101", "1100101011", "1011010011", "1111110000")
@@ -35,6 +38,17 @@ class Seeds:
         if not self.masks or any(set(m) - {"0", "1"} or m[0] != "1" for m in self.masks) or not 0 < self.share <= 1:
             raise ValueError("masks are of 0 and 1 and begin with 1; 0 < share <= 1")
 
+    def whole(self, words: int) -> list[str]:
+        """Masks as wide as an item of so many words. However the changed words lie, one mask has none at its open places.
+
+        The item is cut into more groups than words may change, and each mask leaves out as many groups: up to 12 masks
+        if groups are to be had (with one changed word, each leaves out one word), else one group more than words.
+        """
+        changed = words - ceil(self.share * words - 1e-9)
+        groups = max((g for g in range(changed + 1, words + 1) if comb(g, changed) <= 12), default=changed + 1)
+        of = [i * groups // words for i in range(words)]
+        return ["".join("01"[g not in out] for g in of) for out in combinations(range(groups), changed)]
+
 
 #: Bits of the sieve: a fixed size, whatever the size of the benchmark.
 _SIEVE = 26
@@ -61,8 +75,33 @@ def _probes(seed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return seed >> np.uint64(64 - _SIEVE), seed & np.uint64((1 << _SIEVE) - 1)
 
 
-def _scan(seeds: Seeds, sieve) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """(row, id, key, words, seeds) of each text; words only where the sieve lets a seed through."""
+def _item_seeds(seeds: Seeds, h: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Seeds of items: the masks anywhere in those of `window` words or more, masks as wide as the item in others."""
+    size = np.diff(at)
+    of = np.repeat(size, size)  # words of the item that a place lies in
+    for number, mask in enumerate(seeds.masks):
+        place, seed = _seeded(h, at, mask, number)
+        long = of[place] >= seeds.window
+        yield place[long], seed[long]
+    for words in np.unique(size[(size > 0) & (size < seeds.window)]).tolist():
+        for number, mask in _whole(seeds, words):
+            place, seed = _seeded(h, at, mask, number)
+            all_of_it = of[place] == words
+            yield place[all_of_it], seed[all_of_it]
+
+
+def _whole(seeds: Seeds, words: int) -> list[tuple[int, str]]:
+    """Numbered masks of items of so many words; the numbers are those of no other mask."""
+    first = len(seeds.masks) + sum(len(seeds.whole(n)) for n in range(1, words))
+    return list(enumerate(seeds.whole(words), first))
+
+
+def _scan(seeds: Seeds, sieve, lengths: Sequence[int]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """(row, id, key, words, seeds) of each text; words only where the sieve lets a seed through.
+
+    Without a sieve the texts are items. lengths: numbers of words, under `window`, that items have.
+    """
+    masks = [*enumerate(seeds.masks), *(m for words in lengths for m in _whole(seeds, words))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if sieve is None else np.frombuffer(sieve.value, np.uint8)
@@ -71,14 +110,13 @@ def _scan(seeds: Seeds, sieve) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
             for lo, hi in slices(batch.column("text")):
                 w = split(batch.column("text")[lo:hi], WORDS)
                 h = w.hashes()
-                found = []
-                for number, mask in enumerate(seeds.masks):
+                found = list(_item_seeds(seeds, h, w.at)) if bits is None else []
+                for number, mask in masks if bits is not None else ():
                     place, seed = _seeded(h, w.at, mask, number)
-                    if bits is not None:
-                        for which in range(2):
-                            probe = _probes(seed)[which]
-                            hit = (bits[probe >> np.uint64(3)] >> (probe & np.uint64(7)).astype(np.uint8)) & 1 > 0
-                            place, seed = place[hit], seed[hit]
+                    for which in range(2):
+                        probe = _probes(seed)[which]
+                        hit = (bits[probe >> np.uint64(3)] >> (probe & np.uint64(7)).astype(np.uint8)) & 1 > 0
+                        place, seed = place[hit], seed[hit]
                     found.append((place, seed))
                 place = np.concatenate([p for p, _ in found])
                 order = np.argsort(place, kind="stable")
@@ -114,10 +152,10 @@ def row_key(id_column: str):
     return F.xxhash64(F.col(id_column).cast("bigint"), F.col("text").cast("string"))
 
 
-def _scanned(rows: DataFrame, id_column: str, seeds: Seeds, sieve=None) -> DataFrame:
+def _scanned(rows: DataFrame, id_column: str, seeds: Seeds, sieve=None, lengths: Sequence[int] = ()) -> DataFrame:
     text = F.col("text").cast("string").alias("text")
     plain = rows.select(F.col(id_column).cast("bigint").alias("id"), row_key(id_column).alias("key"), text)
-    return plain.mapInArrow(_scan(seeds, sieve), _SCANNED)
+    return plain.mapInArrow(_scan(seeds, sieve, lengths), _SCANNED)
 
 
 def _sieve(item_seeds: DataFrame) -> bytes:
@@ -175,7 +213,10 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()) -> t
         items.select(F.col("row").alias("item_row"), F.inline("seeds")).withColumnRenamed("place", "item_place"), "item_seeds"
     )
     sieve = spark.sparkContext.broadcast(_sieve(item_seeds))  # 2^26 bits
-    scanned, _ = scratch.save(_scanned(docs, "doc_id", seeds, sieve), "scanned")
+    # fewer than `window` rows: documents are looked through only for the lengths that short items have
+    size = F.size("words").alias("n")
+    lengths = sorted(r.n for r in items.select(size).filter((F.col("n") > 0) & (F.col("n") < seeds.window)).distinct().collect())
+    scanned, _ = scratch.save(_scanned(docs, "doc_id", seeds, sieve, lengths), "scanned")
     hits = scanned.filter(F.size("seeds") > 0).select("row", F.inline("seeds"))
     aligned = hits.join(item_seeds, "seed").select("row", "item_row", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
     ours = items.select(F.col("row").alias("item_row"), F.col("id").alias("item_id"), F.col("words").alias("item_words"))
