@@ -153,3 +153,10 @@ def _(spark, sf_dir):
 
     found = linedup.deletions(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", F.size("deleted").alias("n_deleted"), "deleted", "runs")
+
+
+@query("op12_whitening")
+def _(spark, sf_dir):
+    from webtide.llm import whitening
+
+    return whitening.components_of(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
