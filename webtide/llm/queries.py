@@ -160,3 +160,12 @@ def _(spark, sf_dir):
     from webtide.llm import whitening
 
     return whitening.components_of(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+
+
+@query("op13_substring_dedup")
+def _(spark, sf_dir):
+    from webtide.llm import substrings
+
+    done = substrings.without_copies(table(spark, sf_dir, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return done.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"), "removed")
