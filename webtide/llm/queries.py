@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from webtide.llm import mixing
+from webtide.llm import mixing, turns_sql
 from webtide.llm.mixing import Mix
 
 _SPARK: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,21 @@ def _(spark, sf_dir):
     done = substrings.without_copies(table(spark, sf_dir, "documents"))
     gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
     return done.select("doc_id", "n_words", gone.alias("n_removed"), F.sha2("text", 256).alias("kept_sha256"), "removed")
+
+
+@query("op11_turn_repair", turns_sql.SQL)
+def _(spark, sf_dir):
+    from webtide.llm import turns
+    from webtide.plans.order import match
+
+    given = table(spark, sf_dir, "conversations")
+    audits, repaired = turns.repair(turns_sql.damaged(given))
+    every = given.select("conv_id").distinct()
+    met = match(match(every, audits, ["conv_id"], "left"), turns.digests(repaired), ["conv_id"], "left")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return met.select(
+        "conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
