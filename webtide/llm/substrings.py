@@ -230,11 +230,11 @@ def _text_key() -> Column:
     return F.substring(F.unhex(F.sha2(_text(), 256)), 1, 16)
 
 
-def earlier_windows(docs: DataFrame, sieve_for: int = (1 << _SIEVE_BITS) // _FULL) -> tuple[DataFrame, DataFrame]:
-    """(texts, found): texts (key, first) of every distinct text and its smallest doc_id, found (key, starts).
+def earlier_windows(docs: DataFrame, sieve_for: int = (1 << _SIEVE_BITS) // _FULL) -> DataFrame:
+    """(key, first, starts) of every distinct text of a document that has a doc_id, written; `first` is the smallest.
 
     `starts` are the first words, ascending, of all windows of 13 words that a document with a smaller doc_id than
-    `first` has too; texts without any have no row. Of equal texts only the first document is looked at, which is all
+    `first` has too, null if there is none. Of equal texts only the first document is looked at, which is all
     that others can repeat. Up to `sieve_for` shared anchors are looked up in a sieve of fixed size, whose false
     passes only make windows that meet nobody; more are joined. The results are the same.
     """
@@ -270,10 +270,11 @@ def earlier_windows(docs: DataFrame, sieve_for: int = (1 << _SIEVE_BITS) // _FUL
         starts = later.groupBy("rid").agg(F.array_sort(F.collect_list("place")).alias("starts"))
         # repeated rows of one document say the same
         by_key = starts.join(ours.select("rid", "key"), "rid").groupBy("key").agg(F.min("starts").alias("starts"))
-        found, _ = scratch.save(by_key, "found")
+        # a table of its own, so that the texts' join with it is a plain one, whose hot groups of copies can be split
+        answers, _ = scratch.save(texts.join(by_key, "key", "left"), "answers")
     if sieve is not None:
         sieve.destroy()
-    return texts, found
+    return answers
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -324,8 +325,7 @@ def without_copies(docs: DataFrame, sieve_for: int = (1 << _SIEVE_BITS) // _FULL
     `docs` as they are. Null texts have no words. Rows without doc_id neither lose words nor take any from others; rows
     with one doc_id, equal or not, take nothing from each other. An empty table gives no rows.
     """
-    texts, found = earlier_windows(docs, sieve_for)
-    answers = texts.join(found, "key", "left")
+    answers = earlier_windows(docs, sieve_for)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _text().alias("text"), _text_key().alias("key"))
     joined = rows.join(answers, "key", "left")
     copy = F.coalesce(F.col("doc_id") > F.col("first"), F.lit(False))
