@@ -32,7 +32,7 @@ def _(x):
 HEAD = f"""headed AS (
   SELECT c.url, CASE
       WHEN s.url IS NULL THEN 'update'
-      WHEN h.url IS NULL OR h.error IS NOT NULL OR h.status >= 400 THEN 'unchanged'
+      WHEN h.url IS NULL OR h.error IS NOT NULL OR h.status IS NULL OR h.status >= 400 THEN 'unchanged'
       WHEN h.last_modified IS NULL THEN 'update'
       WHEN {sql_http_epoch('h.last_modified')} > s.last_seen_s THEN 'update'
       ELSE 'unchanged' END AS disposition

@@ -156,7 +156,7 @@ SESSION = f"""RECURSIVE {sql_walk(-1)}, {SITEMAPS}, {_WEBOK}, {sql_page('webok',
   SELECT c.url, c.cached, CASE
       WHEN l.lastmod_s >= 0 AND l.lastmod_s <= s.last_seen_s THEN 'lastmod_skip'
       WHEN s.url IS NULL THEN 'update'
-      WHEN h.url IS NULL OR h.error IS NOT NULL OR h.status >= 400 THEN 'unchanged'
+      WHEN h.url IS NULL OR h.error IS NOT NULL OR h.status IS NULL OR h.status >= 400 THEN 'unchanged'
       WHEN h.last_modified IS NULL THEN 'update'
       WHEN {sql_http_epoch('h.last_modified')} > s.last_seen_s THEN 'update' ELSE 'unchanged' END AS disposition
   FROM cand c LEFT JOIN lastper l ON l.loc = c.url LEFT JOIN kstate s ON s.url = c.url
