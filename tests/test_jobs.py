@@ -6,8 +6,9 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from webtide.operators import content, fetchlog, links, sitemap, sync
+from webtide.operators import content, crawl, fetchlog, links, sitemap, sync
 from webtide.params import Params
+from webtide.plans.lineage import Scratch
 from webtide.plans.order import running, with_global_index
 from webtide.plans.session import Web, run_session
 from webtide.sources.store import CorpusStore, PublishConflict
@@ -321,3 +322,32 @@ def test_latest_capture(spark):
     from webtide.sources.captures import latest
 
     assert sorted(((r.url or ""), r.seq, r.body) for r in latest(df, "seq").collect()) == [("", 1, "u"), ("a", 3, "z"), ("b", None, "n"), ("c", 5, "q")]
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_a_level_moves_only_the_links_that_leave_it(spark, few):
+    """Edges, visited URLs and ends lie in buckets: whatever their size, the one shuffle of a level is over what it met."""
+    scratch = Scratch(spark)
+    rows = [(f"u{i}", f"u{(3 * i + k) % 200}", "root") for i in range(200) for k in range(3)]
+    graph, _ = scratch.add_bucketed(spark.createDataFrame(rows, "src_url string, dst_url string, kind string").repartition(8, "src_url"), "edges", "src_url", 8)
+    ends, _ = scratch.add_bucketed(spark.createDataFrame([(f"u{i}", "scraped") for i in range(200)], "url string, fin string"), "ends", "url", 8)
+    seen = spark.createDataFrame([(f"u{i}", 0, "seed", "scraped") for i in range(20)], "url string, depth int, origin string, disposition string")
+    visited, stats = scratch.add_bucketed(seen, "visited", "url", 8)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frontier = visited.filter("depth = 0").select(F.col("url").alias("src_url"))
+        met = crawl.leaving(frontier, graph, stats["rows"], few)
+        level = crawl._visit(crawl._next_level(met, visited, 1, Params()), ends)
+        plan = level._jdf.queryExecution().executedPlan().toString()
+        got = {r.url for r in level.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plan.count("Exchange ") == 1 and "BroadcastExchange" not in plan
+    assert ("In(src_url" in plan) == bool(few)
+    assert got == {d for s, d, _ in rows if int(s[1:]) < 20} - {f"u{i}" for i in range(20)}
+    # rows added later are read together with those before
+    both, _ = scratch.add_bucketed(level, "visited", "url", 8)
+    assert both.count() == 20 + len(got)
+    assert {r.url for r in both.filter("depth = 1").collect()} == got
+    scratch.forget("edges", "ends", "visited")

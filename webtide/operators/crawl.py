@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from itertools import count
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from webtide.operators import links as L
@@ -15,6 +16,8 @@ from webtide.plans.order import with_global_index
 
 # Order in which one URL's roles rank when it is met more than once in a level.
 _ORIGIN_RANK = {"seed": 0, "link": 1, "pdf": 2, "allowed": 3}
+#: So many pages of a level at most are looked up in the edges by name.
+FEW = 1000
 
 
 def page_states(captures: DataFrame) -> DataFrame:
@@ -43,71 +46,99 @@ def crawl(
     """(url, depth, origin, disposition) of every URL the walk visits.
 
     disposition: scraped, blocked, http_error, failed. Links, and how a visit would end, do not depend on
-    depth, so both are worked out once for the whole corpus; a level is then joins on `url` of narrow tables.
-    Levels are written tables: the plan of a level never contains the levels before it.
+    depth, so both are worked out once for the whole corpus. Edges are written in buckets by source, ends and visited
+    URLs in as many buckets by URL: a level shuffles the links that leave its pages, once, and nothing else. Levels
+    are written tables: the plan of a level never contains the levels before it.
     """
-    scratch = Scratch(seeds.sparkSession)
+    spark = seeds.sparkSession
+    scratch, buckets = Scratch(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
     # written, so that their size is known and decides between broadcast and shuffle
     packed_scope, _ = scratch.save(packed_scope, "scope")
     rules, _ = scratch.save(rules, "rules")
-    starts = seeds.select("url").distinct()
+    starts, _ = scratch.save(seeds.select("url").distinct(), "starts")
     graph, targets = None, starts
     if not params.only_sitemap:
         good = captures.filter((F.col("status") == 200) & F.col("error").isNull())
-        graph, _ = scratch.save(
-            L.edges(L.valid_links(L.extract_hrefs(good), packed_scope, params)), "edges"
-        )
+        links = L.valid_links(L.extract_hrefs(good), packed_scope, params)
+        # by source alone: what is left to do for single edges then moves nothing
+        dealt = L.edges(links.repartition(buckets, "src_url"))
+        graph, _ = scratch.add_bucketed(dealt, "edges", "src_url", buckets)
         linked = graph.filter(F.col("kind") == "root").select(F.col("dst_url").alias("url"))
         targets = starts.unionByName(linked).distinct()
-    ends, _ = scratch.save(visit_ends(targets, captures, rules, params), "ends")
+    ends, _ = scratch.add_bucketed(visit_ends(targets, captures, rules, params), "ends", "url", buckets)
 
     level = starts.select("url", F.lit(0).alias("depth"), F.lit("seed").alias("origin"))
-    names, total = [], 0
-    for depth in count():
-        if params.max_pages != -1:
-            level = _first_pages(level, params.max_pages - total)
-        names.append(f"visited-{depth}")
-        settled, stats = scratch.save(
-            _visit(level, ends),
-            names[-1],
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if((F.col("disposition") == "scraped") & F.col("origin").isin("seed", "link")).alias(
-                "open"
-            ),
-        )
-        total += stats["rows"]
-        visited = scratch.read(settled, *names)
-        full = params.max_pages != -1 and total >= params.max_pages
-        if graph is None or not stats["open"] or full:
-            return visited
-        level = _next_level(settled, graph, visited, depth + 1, params)
+    total = 0
+    with _buckets_kept(spark):
+        for depth in count():
+            if params.max_pages != -1:
+                level = _first_pages(level, params.max_pages - total)
+            visited, stats = scratch.add_bucketed(
+                _visit(level, ends),
+                "visited",
+                "url",
+                buckets,
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(_expanded()).alias("open"),
+            )
+            total += stats["rows"]
+            full = params.max_pages != -1 and total >= params.max_pages
+            if graph is None or not stats["open"] or full:
+                break
+            frontier = visited.filter((F.col("depth") == depth) & _expanded()).select(F.col("url").alias("src_url"))
+            level = _next_level(leaving(frontier, graph, stats["open"]), visited, depth + 1, params)
+    walked = scratch.read(visited, "visited")
+    scratch.forget("edges", "ends", "visited")
+    return walked
+
+
+@contextmanager
+def _buckets_kept(spark: SparkSession):
+    """What is shuffled for a bucketed table stays in as many partitions, so that each task writes one bucket."""
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def _expanded():
+    """Pages whose links are followed."""
+    return (F.col("disposition") == "scraped") & F.col("origin").isin("seed", "link")
 
 
 def _visit(level: DataFrame, ends: DataFrame) -> DataFrame:
     """PDF and single pages are taken as they are, others end as robots and the capture say."""
     taken = F.col("origin").isin("pdf", "allowed")
     disposition = F.when(taken, F.lit("scraped")).otherwise(F.coalesce("fin", F.lit("failed")))
-    return level.join(ends, "url", "left").select(
+    # bucket by bucket at every size
+    return level.join(ends.hint("merge"), "url", "left").select(
         "url", "depth", "origin", disposition.alias("disposition")
     )
 
 
-def _next_level(
-    settled: DataFrame, graph: DataFrame, visited: DataFrame, depth: int, params: Params
-) -> DataFrame:
-    sources = settled.filter(
-        (F.col("disposition") == "scraped") & F.col("origin").isin("seed", "link")
-    ).select(F.col("url").alias("src_url"))
+def leaving(frontier: DataFrame, graph: DataFrame, rows: int, few: int = FEW) -> DataFrame:
+    """Edges that leave the frontier's pages (src_url), of which there are `rows`.
+
+    Up to `few` of them become part of the scan's filter: it reads only their buckets, and there only the ranges where
+    they can be. More meet the edges bucket by bucket.
+    """
+    if rows > few:
+        return graph.join(frontier, "src_url", "left_semi")
+    return graph.filter(F.col("src_url").isin([r.src_url for r in frontier.collect()]))
+
+
+def _next_level(met: DataFrame, visited: DataFrame, depth: int, params: Params) -> DataFrame:
     origin = F.when(F.col("kind") == "root", F.lit("link")).otherwise(F.col("kind"))
-    met = graph.join(sources, "src_url", "left_semi").select(
-        F.col("dst_url").alias("url"), origin.alias("origin")
-    )
+    met = met.select(F.col("dst_url").alias("url"), origin.alias("origin"))
     if params.max_depth != -1 and depth > params.max_depth:
         # only root children are bound by depth
         met = met.filter(F.col("origin") != "link")
     # a page that a third of all links point to is one row per task before the shuffle
     fresh = met.groupBy("url").agg(F.min_by("origin", _rank()).alias("origin"))
-    return fresh.join(visited.select("url"), "url", "left_anti").select(
+    return fresh.join(visited.select("url").hint("merge"), "url", "left_anti").select(
         "url", F.lit(depth).alias("depth"), "origin"
     )
 

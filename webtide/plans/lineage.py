@@ -49,7 +49,8 @@ class Scratch:
 
     def __init__(self, spark: SparkSession) -> None:
         self.spark = spark
-        self.base = f"{shared_dir(spark)}/webtide-{uuid.uuid4().hex}"
+        self._id = uuid.uuid4().hex
+        self.base = f"{shared_dir(spark)}/webtide-{self._id}"
 
     def save(self, df: DataFrame, name: str, *counts) -> tuple[DataFrame, dict]:
         """Write once, count on the way (aggregate Columns in `counts`), read back."""
@@ -62,3 +63,23 @@ class Scratch:
         """Several saved tables of one shape as a single scan."""
         paths = [f"{self.base}/{n}" for n in names]
         return self.spark.read.schema(like.schema).parquet(*paths)
+
+    def add_bucketed(self, df: DataFrame, name: str, key: str, buckets: int, *counts) -> tuple[DataFrame, dict]:
+        """Write rows dealt out and sorted by `key`, to those that `name` has already; read all of them back.
+
+        Tables with as many buckets meet on their keys where they lie: no join on them is a shuffle. To be read as
+        long as `forget` has not been called.
+        """
+        observed = Observation()
+        aggs = counts or (F.count(F.lit(1)).alias("rows"),)
+        writer = df.observe(observed, *aggs).write.mode("append").bucketBy(buckets, key).sortBy(key)
+        writer.option("path", f"{self.base}/{name}").saveAsTable(self._table(name))
+        return self.spark.table(self._table(name)), observed.get
+
+    def _table(self, name: str) -> str:
+        return f"webtide_{self._id}_{name}"
+
+    def forget(self, *names: str) -> None:
+        """Take bucketed tables out of the catalog; their files stay, to be read with `read`."""
+        for name in names:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._table(name)}")
