@@ -11,7 +11,7 @@ from webtide.params import Params
 from webtide.plans.lineage import Scratch
 from webtide.plans.order import running, with_global_index
 from webtide.plans.session import Web, run_session
-from webtide.sources.store import CorpusStore, PublishConflict
+from webtide.sources.store import CorpusStore, Manifest, PublishConflict
 from webtide.streaming.alarms import count_batch, next_carry, start_alarms
 from webtide.streaming.ingest import start_ingest
 
@@ -246,7 +246,7 @@ def test_no_fetch_without_outcome(spark):
 
 def test_two_publishers(spark, tmp_path):
     one, two = CorpusStore(spark, str(tmp_path)), CorpusStore(spark, str(tmp_path))
-    two.version = lambda: 0  # has looked before the other one published
+    two._manifest = lambda: Manifest(buckets=32)  # has looked before the other one published
     empty = one.read_chunks()
     state = lambda u: sync.upsert(one.read_state(), spark.createDataFrame([(u, "h", 1)], "url string, content_hash string, chunk_count int"), "s", F.timestamp_seconds(F.lit(1)))
     one.publish(state("a"), empty, session_id="first")
@@ -351,3 +351,58 @@ def test_a_level_moves_only_the_links_that_leave_it(spark, few):
     assert both.count() == 20 + len(got)
     assert {r.url for r in both.filter("depth = 1").collect()} == got
     scratch.forget("edges", "ends", "visited")
+
+
+def _batch(spark, urls, text, n):
+    state = spark.createDataFrame([(u, text, 1) for u in urls], "url string, content_hash string, chunk_count int")
+    rows = sync.upsert(spark.createDataFrame([], sync.STATE_SCHEMA), state, f"s{n}", F.timestamp_seconds(F.lit(n)))
+    chunks = [(u, 0, text, text, u, f"s{n}") for u in urls]
+    return rows, spark.createDataFrame(chunks, "source string, chunk_ix int, text string, chunk_sha string, url string, session_id string")
+
+
+def test_a_batch_reads_the_buckets_of_its_keys(spark, tmp_path):
+    store = CorpusStore(spark, str(tmp_path), buckets=16)
+    urls = [f"https://e.com/{i}" for i in range(300)]
+    store.publish(*_batch(spark, urls, "old", 1))
+    one = spark.createDataFrame([(urls[7],)], "u string")
+    state, chunks = store.read_state(one), store.read_chunks(one)
+    for df, kind in ((state, "state"), (chunks, "added")):
+        places = {f.split(f"/{kind}/")[1].split("/")[1] for f in df.inputFiles()}
+        assert len(places) == 1 and df.count() == 1
+    assert len({f.split("/")[-2] for f in store.read_state().inputFiles()}) == 16
+    # what a batch writes lies in the buckets of its keys as well
+    store.publish(*_batch(spark, urls[7:8], "new", 2), whole_state=False)
+    assert len(store._manifest().parts["state"]) == 16
+    assert sorted(len(p) for p in store._manifest().parts["state"].values()) == [1] * 15 + [2]
+    assert {r.content_hash for r in store.read_state(one).collect()} == {"new"}
+
+
+def test_a_store_stays_as_large_as_its_content(spark, tmp_path):
+    """Twenty batches on a few pages: parts, manifests and files do not add up, and every read is right."""
+    store = CorpusStore(spark, str(tmp_path), buckets=2, most_parts=3, keep=1)
+    want, files = {}, []
+    gone = lambda u, t: spark.createDataFrame([(u, t)], "source string, chunk_sha string")
+    for n in range(1, 21):
+        url = f"u{n % 3}"
+        state, added = _batch(spark, [url], f"t{n}", n)
+        removed = gone(url, want[url]) if url in want else None
+        forgotten = None
+        if n % 7 == 0 and "u0" in want:
+            forgotten = spark.createDataFrame([("u0",)], "url string")
+            removed = gone("u0", want.pop("u0")) if url != "u0" else removed
+        store.publish(state if url != "u0" or forgotten is None else state.limit(0), added, removed, session_id=f"b{n}", whole_state=False, forgotten=forgotten)
+        want[url] = f"t{n}"
+        if forgotten is not None and url == "u0":
+            want_state = {u: t for u, t in want.items() if u != "u0"}
+        else:
+            want_state = dict(want)
+        chunks = sorted((r.source, r.text) for r in store.read_chunks().collect())
+        assert {c for c in chunks} >= set(want_state.items())
+        assert {r.url: r.content_hash for r in store.read_state().collect()} == want_state
+        if url == "u0" and forgotten is not None:
+            want.pop("u0", None)
+            store.publish(state.limit(0), added.limit(0), gone("u0", f"t{n}"), whole_state=False)
+        files.append(sum(1 for f in tmp_path.rglob("*.parquet")))
+        assert all(len(p) <= 3 for k in store._manifest().parts.values() for p in k.values())
+    assert max(files[8:]) <= 2 * max(files[:8]) and len(list((tmp_path / "published").glob("*.json"))) == 2
+    assert store.has_session("b20") and store.has_session("b1")

@@ -131,7 +131,7 @@ def stale_actions(stale: DataFrame, remove_delay: int) -> DataFrame:
 
 def without_sources(chunks: DataFrame, sources: DataFrame) -> DataFrame:
     """Chunks left after the given sources were deleted."""
-    return chunks.join(_named(sources), "source", "left_anti")
+    return chunks.join(named_sources(sources), "source", "left_anti")
 
 
 def deleted_counts(chunks: DataFrame, sources: DataFrame) -> DataFrame:
@@ -141,13 +141,13 @@ def deleted_counts(chunks: DataFrame, sources: DataFrame) -> DataFrame:
     """
     per_source = chunks.groupBy("source").agg(F.count(F.lit(1)).alias("deleted"))
     return (
-        _named(sources)
+        named_sources(sources)
         .join(per_source, "source", "left")
         .select("source", F.coalesce("deleted", F.lit(0)).cast("bigint").alias("deleted"))
     )
 
 
-def _named(sources: DataFrame) -> DataFrame:
+def named_sources(sources: DataFrame) -> DataFrame:
     return sources.select("source").filter(F.col("source") != "").distinct()
 
 

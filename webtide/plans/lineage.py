@@ -25,14 +25,40 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    files, place = _place(spark, path)
+    return files.exists(place)
+
+
+def _place(spark: SparkSession, path: str):
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what is in a folder; none if there is no such folder."""
+    files, place = _place(spark, path)
+    return [s.getPath().getName() for s in files.listStatus(place)] if files.exists(place) else []
+
+
+def read_file(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    files, place = _place(spark, path)
+    stream = files.open(place)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a file, or a folder with all that is in it; nothing happens if there is none."""
+    files, place = _place(spark, path)
+    files.delete(place, True)
 
 
 def create_file(spark: SparkSession, path: str, text: str) -> bool:
     """Create a small file with this text; False if there is one already, which then stays as it is."""
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files, place = _place(spark, path)
     try:
         out = files.create(place, False)
     except Py4JJavaError:

@@ -14,17 +14,19 @@ from webtide.sources.store import CorpusStore
 def delete_sources(store: CorpusStore, sources: DataFrame, session_id: str = "") -> DataFrame:
     """(source, deleted) for the named sources; their chunks and state rows go in one published version.
 
-    Blank names delete nothing; unknown ones count 0.
+    Only the buckets of these sources are read, and only what changes is written. Blank names delete nothing; unknown ones count 0.
     """
     scratch = Scratch(store.spark)
-    state, chunks = store.read_state(), store.read_chunks()
-    counts, _ = scratch.save(sync.deleted_counts(chunks, sources), "deleted")
-    named = counts.select("source")
+    named, _ = scratch.save(sync.named_sources(sources), "named")
+    chunks = store.read_chunks(named)
+    counts, _ = scratch.save(sync.deleted_counts(chunks, named), "deleted")
     store.publish(
-        sync.delete(state, named.withColumnRenamed("source", "url")),
+        store.spark.createDataFrame([], sync.STATE_SCHEMA),
         chunks.limit(0),
-        chunks.join(named, "source", "left_semi").select("source", "chunk_sha").distinct(),
+        chunks.select("source", "chunk_sha").distinct(),
         session_id=session_id,
+        whole_state=False,
+        forgotten=named.select(F.col("source").alias("url")),
     )
     return counts
 
@@ -36,7 +38,7 @@ def complete_session(store: CorpusStore, session_id: str, params: Params, now: C
     chunks of removed pages go in one published version.
     """
     scratch = Scratch(store.spark)
-    state, chunks = store.read_state(), store.read_chunks()
+    state = store.read_state()
     key = f"{session_id}/complete"
     if store.has_session(key):
         return state.select("url", F.lit("miss").alias("action")).limit(0)
@@ -44,13 +46,14 @@ def complete_session(store: CorpusStore, session_id: str, params: Params, now: C
     missing = sync.stale_urls(state, session_id, state.limit(0))
     actions, _ = scratch.save(sync.stale_actions(missing, params.remove_delay), "actions")
     gone = actions.filter(F.col("action") == "remove").select(F.col("url").alias("source"))
-    full = actions.withColumns(
-        {"content_hash": F.lit(None).cast("string"), "chunk_count": F.lit(None).cast("int")}
-    )
+    missed = sync.no_content(actions.filter(F.col("action") == "miss"), "miss")
+    chunks = store.read_chunks(gone)
     store.publish(
-        sync.transition(state, full, session_id, now),
+        sync.transition(state.join(missed.select("url"), "url", "left_semi"), missed, session_id, now),
         chunks.limit(0),
-        chunks.join(gone, "source", "left_semi").select("source", "chunk_sha").distinct(),
+        chunks.select("source", "chunk_sha").distinct(),
         session_id=key,
+        whole_state=False,
+        forgotten=gone.select(F.col("source").alias("url")),
     )
     return actions

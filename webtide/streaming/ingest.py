@@ -30,14 +30,13 @@ def ingest_batch(
     # the text work is done once; everything below reads its result
     scratch = Scratch(captures.sparkSession)
     made, _ = scratch.save(chunked, "made")
-    known, _ = scratch.save(
-        store.read_state().join(made.select("url"), "url", "left_semi"), "known"
-    )
+    # only the buckets of the batch's pages are read
+    known, _ = scratch.save(store.read_state(made.select("url")), "known")
     pages = sync.decide(made, known)
 
     new = content.chunk_rows(pages.filter(F.col("decision") != "skip"), session_id)
     sources = pages.filter(F.col("decision") == "partial").select(F.col("url").alias("source"))
-    old = store.read_chunks().join(sources, "source", "left_semi")
+    old = store.read_chunks(sources)
     stored = pages.filter(F.col("decision") != "skip").withColumn("action", F.lit("store"))
     touched = sync.no_content(pages.filter(F.col("decision") == "skip"), "touch")
     actions = stored.select("url", "content_hash", "chunk_count", "action").unionByName(touched)
