@@ -1,5 +1,6 @@
 """SimHash groups against brute force."""
 
+import random
 import re
 
 import pytest
@@ -97,7 +98,7 @@ def test_odd_rows(spark):
     docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, node string")
     kept = simhash.keep_one(docs)
     assert kept.columns == docs.columns
-    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, -1, 2, 3]
+    assert sorted((r.doc_id or -1) for r in kept.collect()) == [-1, 2, 3]  # the empty nameless one is linked to 3
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
@@ -108,3 +109,19 @@ def test_components(spark):
     got = {r.node: r.component for r in components.components(df, Scratch(spark)).collect()}
     want = {i: 100 for i in range(100, 161)} | {i: 1000 for i in range(1000, 1200)} | {7: 7, 8: 7, 9: 7}
     assert got == want
+
+
+def test_a_shared_doc_id_links_and_loses_nothing(spark):
+    """Ids 3, 5 (near 3), 5 (another text), 9 and 9 (two other texts), and rows without doc_id."""
+    rng = random.Random(4)
+    said = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    a, others = said(400), [said(60) for _ in range(3)]
+    rows = [(3, a), (5, a + " end"), (5, others[0]), (9, others[1]), (9, others[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one(docs).collect()) == sorted(rows[:1] + rows[2:])
+    got = sorted((r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect())
+    assert got == [(3, 3), (5, 3), (5, 5), (9, 9), (9, 9)]
+    # a row without doc_id belongs to its group, and carries links
+    nameless = spark.createDataFrame([(None, a), (7, a + " end"), (None, others[0])], "doc_id long, text string")
+    assert sorted(repr((r.doc_id, r.component_id)) for r in simhash.near_duplicates(nameless).collect()) == ["(7, 7)", "(None, 7)", "(None, None)"]
+    assert sorted(repr(r.doc_id) for r in simhash.keep_one(nameless).collect()) == ["7", "None"]

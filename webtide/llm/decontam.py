@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from webtide.llm.words import WORDS, mix, slices, split
+from webtide.llm.words import WORDS, mix, row_key, slices, split
 from webtide.plans.lineage import Scratch
 
 
@@ -144,17 +144,14 @@ def _scan(seeds: Seeds, sieve, lengths: Sequence[int]) -> Callable[[Iterator[pa.
     return run
 
 
-_SCANNED = "row BIGINT, id BIGINT, key BIGINT, words ARRAY<BIGINT>, seeds ARRAY<STRUCT<place: INT, seed: BIGINT>>"
-
-
-def row_key(id_column: str):
-    """Tells rows apart by id and text; rows alike in both are decided alike."""
-    return F.xxhash64(F.col(id_column).cast("bigint"), F.col("text").cast("string"))
+_SCANNED = "row BIGINT, id BIGINT, key BINARY, words ARRAY<BIGINT>, seeds ARRAY<STRUCT<place: INT, seed: BIGINT>>"
 
 
 def _scanned(rows: DataFrame, id_column: str, seeds: Seeds, sieve=None, lengths: Sequence[int] = ()) -> DataFrame:
     text = F.col("text").cast("string").alias("text")
-    plain = rows.select(F.col(id_column).cast("bigint").alias("id"), row_key(id_column).alias("key"), text)
+    # items have no key: nothing is done to them
+    key = row_key() if id_column == "doc_id" else F.lit(None).cast("binary")
+    plain = rows.select(F.col(id_column).cast("bigint").alias("id"), key.alias("key"), text)
     return plain.mapInArrow(_scan(seeds, sieve, lengths), _SCANNED)
 
 
@@ -217,6 +214,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()) -> t
     size = F.size("words").alias("n")
     lengths = sorted(r.n for r in items.select(size).filter((F.col("n") > 0) & (F.col("n") < seeds.window)).distinct().collect())
     scanned, _ = scratch.save(_scanned(docs, "doc_id", seeds, sieve, lengths), "scanned")
+    sieve.destroy()
     hits = scanned.filter(F.size("seeds") > 0).select("row", F.inline("seeds"))
     aligned = hits.join(item_seeds, "seed").select("row", "item_row", (F.col("place") - F.col("item_place")).alias("shift")).distinct()
     ours = items.select(F.col("row").alias("item_row"), F.col("id").alias("item_id"), F.col("words").alias("item_words"))
@@ -252,8 +250,11 @@ def judge(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()) -> Data
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, seeds: Seeds = Seeds()) -> DataFrame:
-    """`docs` without contaminated rows, in all columns. Rows with null ids are judged by their text alike."""
+    """`docs` without contaminated rows, in all columns.
+
+    Rows with null ids are judged by their text alike, repeated rows go or stay together; null and empty texts stay.
+    """
     rows, found = overlaps(docs, benchmark, seeds)
     bad = rows.join(found.select("row").distinct(), "row", "left_semi").select("key").distinct()
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), row_key("doc_id").alias("key"))
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), row_key().alias("key"))
     return keyed.join(bad, "key", "left_anti").select("_doc.*")

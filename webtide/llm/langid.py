@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webtide.llm.words import LETTERS, Words, mix, slices, split
+from webtide.llm.words import LETTERS, Words, mix, row_key, slices, split
 
 UNKNOWN = "und"
 
@@ -333,19 +333,25 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     `und` with score 0, and so is every text if there was nothing to learn from. Repeated rows are judged alike. `key`
     is a hash of doc_id and text. The model has a fixed size for a given number of languages.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    return _predicted(docs, docs.sparkSession.sparkContext.broadcast(model))
+
+
+def _predicted(docs: DataFrame, shared) -> DataFrame:
     text = F.col("text").cast("string")
-    key = F.xxhash64(F.col("doc_id").cast("bigint"), text).alias("key")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), key, text.alias("text"))
-    return rows.mapInArrow(_predict(shared), "doc_id BIGINT, key BIGINT, lang_pred STRING, score DOUBLE")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("key"), text.alias("text"))
+    return rows.mapInArrow(_predict(shared), "doc_id BIGINT, key BINARY, lang_pred STRING, score DOUBLE")
 
 
 def accepted(docs: DataFrame, model: Model, least: float = 0.35) -> DataFrame:
-    """`docs` in one known language, in all columns: those that are `und` or score under `least` go."""
+    """`docs` in one known language, in all columns: those that are `und` or score under `least` go.
+
+    Null texts and texts without letters are `und`; repeated rows go or stay together.
+    """
     from webtide.plans.lineage import Scratch
 
-    found, _ = Scratch(docs.sparkSession).save(predict(docs, model), "languages")
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    found, _ = Scratch(docs.sparkSession).save(_predicted(docs, shared), "languages")
+    shared.destroy()
     bad = found.filter((F.col("lang_pred") == UNKNOWN) | (F.col("score") < least)).select("key").distinct()
-    key = F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).alias("key")
-    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), key)
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), row_key().alias("key"))
     return keyed.join(bad, "key", "left_anti").select("_doc.*")

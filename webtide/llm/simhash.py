@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webtide.llm.components import components
+from webtide.llm.words import row_key
 from webtide.plans.lineage import Scratch
 
 MAX_BITS = 4
@@ -48,13 +49,15 @@ def fingerprint(text: bytes, width: int = 4) -> int:
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         fp = [fingerprint(t.as_buffer().to_pybytes()) if t.is_valid else 0 for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.int64())], names=["doc_id", "fp"])
+        columns = [batch.column("doc_id"), batch.column("key"), pa.array(fp, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "key", "fp"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every whole text; a null text has the fingerprint of an empty one, zero."""
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id BIGINT, fp BIGINT")
+    """(doc_id, key, fp) of every whole text; a null text has the fingerprint of an empty one, zero."""
+    text = F.col("text").cast("string").cast("binary")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_key().alias("key"), text.alias("text"))
+    return rows.mapInArrow(_fingerprints, "doc_id BIGINT, key BINARY, fp BIGINT")
 
 
 def _near(a: str, b: str) -> Column:
@@ -157,36 +160,47 @@ def near_links(distinct: DataFrame, scratch: Scratch, pairwise: int = PAIRWISE)
     return two.unionByName(within).unionByName(_around(crowded))
 
 
+def groups(docs: DataFrame, scratch: Scratch, pairwise: int = PAIRWISE) -> DataFrame:
+    """(doc_id, key, fp, component) of every row; component is a fingerprint, the least of those that are linked to it.
+
+    Fingerprints are the nodes, so what rows have for a doc_id, or whether they have one, links or parts nothing.
+    """
+    rows, _ = scratch.save(fingerprints(docs), "fingerprints")
+    distinct, _ = scratch.save(rows.select("fp").distinct(), "distinct")
+    links, _ = scratch.save(near_links(distinct, scratch, pairwise), "links")
+    joined = components(links.select("a", "b"), scratch).select(F.col("node").alias("fp"), "component")
+    known, _ = scratch.save(distinct.join(joined, "fp", "left").select("fp", F.coalesce("component", "fp").alias("component")), "known")
+    return rows.join(known, "fp").select("doc_id", "key", "fp", "component")
+
+
 def near_duplicates(docs: DataFrame, pairwise: int = PAIRWISE) -> DataFrame:
     """(doc_id, fingerprint, component_id) of every row of `docs` (doc_id, text; others are ignored).
 
-    Equal fingerprints are one node, named by its smallest doc_id, before anything is compared. component_id is
-    the smallest doc_id reachable over links. Null and empty texts have fingerprint zero and are linked like any
-    other; repeated rows give repeated rows; a null doc_id never names a component (alone, it has a null one). An
-    empty table gives no rows.
+    Equal fingerprints are one node before anything is compared. component_id is the smallest doc_id reachable over
+    links. Null and empty texts have fingerprint zero and are linked like any other; repeated rows give repeated rows,
+    and rows with one doc_id are each judged by their own text; component_id is null where no row reached has a doc_id.
+    An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
-    rows, _ = scratch.save(fingerprints(docs), "fingerprints")
-    distinct, _ = scratch.save(rows.groupBy("fp").agg(F.min("doc_id").alias("node")), "distinct")
-    links, _ = scratch.save(near_links(distinct.select("fp"), scratch, pairwise), "links")
-    name_of = lambda end: distinct.select(F.col("fp").alias(end), F.col("node").alias(f"{end}_node"))
-    named = links.join(name_of("a"), "a").join(name_of("b"), "b").select("a_node", "b_node")
-    joined = components(named, scratch).withColumnRenamed("component", "joined")
-    known = distinct.join(joined, "node", "left").select("fp", F.coalesce("joined", "node").alias("component_id"))
-    found = rows.join(known, "fp")
-    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    found, _ = scratch.save(groups(docs, scratch, pairwise), "groups")
+    least, _ = scratch.save(found.groupBy("component").agg(F.min("doc_id").alias("component_id")), "least")
+    named = found.join(least, "component")
+    return named.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group of near-duplicates, the one with the smallest doc_id, in all its columns.
+    """One document of each group of near-duplicates, in all its columns: the one with the smallest doc_id.
 
-    Of repeated rows with that doc_id one stays. Rows without doc_id are kept, as nothing can name them.
+    Rows without doc_id come after those with one; of several rows with that doc_id the one whose key is least, and of
+    rows alike in doc_id and text any one. Every row is judged by its own text, whatever doc_id it shares.
     """
     scratch = Scratch(docs.sparkSession)
-    found, _ = scratch.save(near_duplicates(docs), "groups")
-    chosen = found.filter(F.col("doc_id") == F.col("component_id"))
-    counted, _ = scratch.save(chosen.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")), "chosen")
-    alone = docs.join(counted.filter(F.col("n") == 1).select("doc_id"), "doc_id", "left_semi")
-    again = docs.join(counted.filter(F.col("n") > 1).select("doc_id"), "doc_id", "left_semi")
-    nameless = docs.filter(F.col("doc_id").isNull())
-    return alone.unionByName(again.dropDuplicates(["doc_id"])).unionByName(nameless).select(*docs.columns)
+    found = groups(docs, scratch)
+    first = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "key")
+    counted = found.groupBy("component", "doc_id", "key").agg(F.count(F.lit(1)).alias("n"))
+    chosen = counted.groupBy("component").agg(F.min_by(F.struct("key", "n"), first).alias("c")).select("c.*")
+    chosen, _ = scratch.save(chosen, "chosen")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"), row_key().alias("key"))
+    alone = keyed.join(chosen.filter(F.col("n") == 1).select("key"), "key", "left_semi")
+    again = keyed.join(chosen.filter(F.col("n") > 1).select("key"), "key", "left_semi").dropDuplicates(["key"])
+    return alone.unionByName(again).select("_doc.*")

@@ -11,7 +11,6 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from webtide.llm.words import kept
+
 END_ID = 2
 _DATA = "doc_id BIGINT, part INT, local_start BIGINT, n_tokens BIGINT, ids ARRAY<INT>"
 _ARROW = pa.schema(
@@ -117,10 +118,9 @@ class Encoder:
             return array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
 
 
-@lru_cache(maxsize=2)
 def _encoder(tokenizer: bytes) -> Encoder:
-    """One per Python worker; its memory of pieces lasts over tasks."""
-    return Encoder(tokenizer)
+    """One per Python worker; its memory of pieces lasts over tasks, until another operator keeps something there."""
+    return kept(("encoder", tokenizer), lambda: Encoder(tokenizer))
 
 
 def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import Column
+from pyspark.sql import functions as F
 
 #: Bytes of text worked on at a time; a longer text is worked on alone.
-SLICE = 4 << 20
+SLICE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 _MIX = np.uint64(0xD6E8FEB86659FD93)
@@ -22,17 +25,37 @@ _letters[128:] = True
 LETTERS = _letters
 WORDS = _letters | np.isin(np.arange(256), np.arange(ord("0"), ord("9") + 1))
 
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_kept: dict = {}
+
+
+def kept(name, make: Callable[[], Any]) -> Any:
+    """What a Python worker keeps from task to task: one thing, so that a stage does not hold what the one before needed."""
+    if name not in _kept:
+        _kept.clear()
+        _kept[name] = make()
+    return _kept[name]
 
 
 def _power(n: int) -> list[np.ndarray]:
     """Powers of the base and of its inverse, mod 2^64."""
-    if len(_powers[0]) < n:
-        for i, b in enumerate((_BASE, _BACK)):
+    powers = kept("powers", lambda: [np.ones(1, np.uint64), np.ones(1, np.uint64)])
+    if len(powers[0]) < n:
+        made = []
+        for b in (_BASE, _BACK):
             p = np.full(n, b, np.uint64)
             p[0] = 1
-            _powers[i] = np.cumprod(p)
-    return _powers
+            made.append(np.cumprod(p))
+        if n > SLICE + 1:
+            return made  # for one very long text
+        powers[:] = made
+    return powers
+
+
+def row_key() -> Column:
+    """Tells rows apart by doc_id and text: 128 bits of SHA-256, so that no two documents ever share one."""
+    doc_id = F.coalesce(F.col("doc_id").cast("bigint").cast("string"), F.lit("-"))
+    text = F.coalesce(F.concat(F.lit("t"), F.col("text").cast("string")), F.lit(""))
+    return F.substring(F.unhex(F.sha2(F.concat(doc_id, F.lit(":"), text), 256)), 1, 16)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
