@@ -74,7 +74,7 @@ def test_entry_without_llm(tmp_path):
 
 def test_all_registered():
     names = set(queries.queries())
-    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in names} == {f"op{i}" for i in range(1, 14)}
     assert set(queries.oracle_sql()) <= names
 
 
