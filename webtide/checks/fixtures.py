@@ -125,6 +125,11 @@ def _views(d) -> dict[str, str]:
       SELECT dom AS domain, 'root' AS kind, '/en' AS prefix FROM doms WHERE cls IN (0, 2) UNION ALL
       SELECT dom, 'root', '/' FROM doms WHERE cls IN (2, 3) UNION ALL
       SELECT dom, 'allowed', CAST(NULL AS STRING) FROM doms WHERE cls = 1"""
+    # one prefix per page: numbers begin with other numbers
+    v["fx_wide_scope"] = f"""
+      SELECT dom AS domain, 'root' AS kind,
+             '/' || lang || '/' || {i} || CASE WHEN i % 3 = 0 THEN '' ELSE '/only' END AS prefix
+      FROM p"""
 
     sm = "'https://' || auth || '/sitemap-' || " + _text("k") + " || '.xml'"
     t0 = " || ".join([

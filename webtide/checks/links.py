@@ -12,6 +12,7 @@ from webtide.operators import crawl as C
 from webtide.operators import links as L
 from webtide.operators import robots as R
 from webtide.params import SKIP_EXTENSIONS, Params
+from webtide.plans.lineage import Scratch
 from webtide.sources.seeds import pack_scope
 
 PARAMS = Params(user_agent=AGENT, ingest_pdf=True)
@@ -95,7 +96,19 @@ def _(x):
 
 @check("l4_path_scope", f"WITH {_UPTO}, {PATHS} {_SEL} inpath")
 def _(x):
-    return classified(x).transform(L.in_path_scope).select(*_COLS)
+    return classified(x).transform(L.in_path_scope, packed(x)).select(*_COLS)
+
+
+@check(
+    "l4_wide_scope",
+    f"""WITH {HREFS}, {CUT}, {RES} SELECT src_url, href_ix, dst_url, 'root' AS kind FROM res
+        WHERE EXISTS (SELECT 1 FROM fx_wide_scope s WHERE s.domain = res.dst_domain AND starts_with(res.dst_path, s.prefix))""",
+)
+def _(x):
+    """As many prefixes as there are pages."""
+    scope = pack_scope(x.fx_wide_scope).saved(Scratch(x.spark))
+    found = hrefs(x).transform(L.cut_fragments).transform(L.resolve).transform(L.classify, scope)
+    return found.transform(L.in_path_scope, scope).select(*_COLS)
 
 
 @check("l5_query_filter", f"WITH {_UPTO} {_SEL} cls WHERE dst_query = ''")

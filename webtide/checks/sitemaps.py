@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from webtide.checks.registry import check, sql_strip
 from webtide.checks.robots import LINES, SITEMAPS, lines
-from webtide.checks.scalars import sql_iso_epoch, sql_part
+from webtide.checks.scalars import sql_domain, sql_iso_epoch, sql_part, sql_path
 from webtide.operators import robots as R
 from webtide.operators import sitemap as M
+from webtide.sources.seeds import pack_scope
 
 _HOST = sql_part("root_url", 2)
 _BASE = f"({sql_part('root_url', 1)} || '://' || {_HOST})"
@@ -151,3 +152,15 @@ def _(x):
 @check("m6_sitemap_only", "SELECT DISTINCT loc AS url, false AS in_crawl, true AS in_sitemap FROM fx_listed")
 def _(x):
     return M.merge_candidates(x.state, x.fx_listed, only_sitemap=True)
+
+
+@check(
+    "m6_scoped_merge",
+    f"""WITH {MERGED} SELECT url, in_crawl, in_sitemap FROM (
+          SELECT *, {sql_domain(sql_part('url', 2))} AS domain, {sql_path('url')} AS path FROM merged) m
+        WHERE in_crawl OR EXISTS (SELECT 1 FROM fx_scope s WHERE s.domain = m.domain
+          AND CASE WHEN s.kind = 'root' THEN starts_with(m.path, s.prefix)
+                   ELSE NOT EXISTS (SELECT 1 FROM fx_scope r WHERE r.domain = s.domain AND r.kind = 'root') END)""",
+)
+def _(x):
+    return M.in_scope(M.merge_candidates(x.state, x.fx_listed), pack_scope(x.fx_scope))

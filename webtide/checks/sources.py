@@ -39,6 +39,16 @@ def _(x):
     return seeds.scope(seeds.seed_list(x.fx_seeds), seeds.extra_domains(x.fx_seeds))
 
 
+@check(
+    "s2_prefix_cover",
+    """SELECT DISTINCT domain, prefix FROM fx_wide_scope a WHERE NOT EXISTS (
+         SELECT 1 FROM fx_wide_scope b WHERE b.domain = a.domain AND length(b.prefix) < length(a.prefix)
+           AND starts_with(a.prefix, b.prefix))""",
+)
+def _(x):
+    return seeds.prefix_cover(x.fx_wide_scope)
+
+
 @check(
     "s3_captured_pages",
     """SELECT c.url, x.url IS NOT NULL AS captured,

@@ -13,6 +13,7 @@ from webtide.operators import robots as R
 from webtide.params import Params
 from webtide.plans.lineage import Scratch
 from webtide.plans.order import with_global_index
+from webtide.sources.seeds import Scope
 
 # Order in which one URL's roles rank when it is met more than once in a level.
 _ORIGIN_RANK = {"seed": 0, "link": 1, "pdf": 2, "allowed": 3}
@@ -41,7 +42,7 @@ def visit_ends(
 
 
 def crawl(
-    seeds: DataFrame, captures: DataFrame, packed_scope: DataFrame, rules: DataFrame, params: Params
+    seeds: DataFrame, captures: DataFrame, scope: Scope, rules: DataFrame, params: Params
 ) -> DataFrame:
     """(url, depth, origin, disposition) of every URL the walk visits.
 
@@ -53,13 +54,13 @@ def crawl(
     spark = seeds.sparkSession
     scratch, buckets = Scratch(spark), int(spark.conf.get("spark.sql.shuffle.partitions"))
     # written, so that their size is known and decides between broadcast and shuffle
-    packed_scope, _ = scratch.save(packed_scope, "scope")
+    scope = scope.saved(scratch)
     rules, _ = scratch.save(rules, "rules")
     starts, _ = scratch.save(seeds.select("url").distinct(), "starts")
     graph, targets = None, starts
     if not params.only_sitemap:
         good = captures.filter((F.col("status") == 200) & F.col("error").isNull())
-        links = L.valid_links(L.extract_hrefs(good), packed_scope, params)
+        links = L.valid_links(L.extract_hrefs(good), scope, params)
         # by source alone: what is left to do for single edges then moves nothing
         dealt = L.edges(links.repartition(buckets, "src_url"))
         graph, _ = scratch.add_bucketed(dealt, "edges", "src_url", buckets)

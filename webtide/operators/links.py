@@ -11,6 +11,7 @@ from webtide.functions import urls
 from webtide.functions.text import drop_opaque, unescape
 from webtide.params import Params
 from webtide.plans.once import computed
+from webtide.sources.seeds import Scope
 
 # An <a ...> tag up to its href; attribute values are skipped as wholes, so a '>' in quotes does no harm.
 _VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
@@ -50,17 +51,26 @@ def resolve(links: DataFrame) -> DataFrame:
     )
 
 
-def classify(links: DataFrame, packed_scope: DataFrame) -> DataFrame:
-    """Adds kind (root or allowed) and the path prefixes of the domain; other domains drop out."""
-    table = packed_scope.withColumnRenamed("domain", "dst_domain")
-    return links.join(table, "dst_domain")
+def classify(links: DataFrame, scope: Scope) -> DataFrame:
+    """Adds kind (root or allowed) and the lengths of the domain's prefixes; other domains drop out."""
+    return links.join(scope.domains.withColumnRenamed("domain", "dst_domain"), "dst_domain")
 
 
-def in_path_scope(links: DataFrame) -> DataFrame:
-    """Root links must begin with one of their domain's prefixes, letter by letter."""
-    fits = F.exists("prefixes", lambda p: F.startswith(F.col("dst_path"), p))
-    free = (F.col("kind") != "root") | (F.size("prefixes") == 0)
-    return links.filter(free | fits)
+def in_path_scope(links: DataFrame, scope: Scope) -> DataFrame:
+    """Root links must begin with one of their domain's prefixes, letter by letter; a domain without any is free.
+
+    A path's beginnings, of the lengths that the domain's prefixes have, meet the cover by equality. At most one of them
+    is in it, so no link comes out twice. Free links look up their whole path, which spreads them over all tasks.
+    """
+    free = (F.col("kind") != "root") | (F.size("lengths") == 0)
+    cut = F.filter("lengths", lambda n: n <= F.length("dst_path"))
+    begins = F.transform(cut, lambda n: F.left("dst_path", n))
+    probed = links.withColumn("_begin", F.explode(F.when(free, F.array("dst_path")).otherwise(begins)))
+    cover = scope.prefixes.select(
+        F.col("domain").alias("dst_domain"), F.col("prefix").alias("_begin"), F.lit(True).alias("_fits")
+    )
+    met = probed.join(cover, ["dst_domain", "_begin"], "left")
+    return met.filter(free | F.col("_fits")).drop("_begin", "_fits", "lengths")
 
 
 def without_query(links: DataFrame, skip: bool) -> DataFrame:
@@ -89,13 +99,13 @@ def route_pdfs(links: DataFrame, ingest_pdf: bool) -> DataFrame:
     return links.withColumn("kind", F.when(is_pdf, F.lit("pdf")).otherwise(F.col("kind")))
 
 
-def valid_links(hrefs: DataFrame, packed_scope: DataFrame, params: Params) -> DataFrame:
+def valid_links(hrefs: DataFrame, scope: Scope, params: Params) -> DataFrame:
     """(src_url, href_ix, dst_url, kind): the whole filter chain."""
     return (
         hrefs.transform(cut_fragments)
         .transform(resolve)
-        .transform(classify, packed_scope)
-        .transform(in_path_scope)
+        .transform(classify, scope)
+        .transform(in_path_scope, scope)
         .transform(without_query, params.skip_get_params)
         .transform(without_extensions, params.skip_extensions)
         .transform(route_pdfs, params.ingest_pdf)

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from webtide.functions import dates, urls
 from webtide.functions.text import SPACE, strip
+from webtide.operators.links import in_path_scope
 from webtide.plans.lineage import Scratch
+from webtide.plans.once import computed
+from webtide.sources.seeds import Scope
 from webtide.sources.sitemap_docs import fetched_sitemaps
 
 _XML = (
@@ -153,3 +156,13 @@ def merge_candidates(crawled: DataFrame, listed: DataFrame, only_sitemap: bool =
     return both.groupBy("url").agg(
         F.bool_or("c").alias("in_crawl"), F.bool_or("s").alias("in_sitemap")
     )
+
+
+def in_scope(merged: DataFrame, scope: Scope) -> DataFrame:
+    """Listed URLs outside the scope's domains, or outside a root domain's prefixes, go; crawled ones have passed it."""
+    url = F.col("url")
+    keyed = computed(merged, {"dst_domain": urls.normalize_domain(urls.netloc(url)), "dst_path": urls.path(url)})
+    domains = scope.domains.withColumnRenamed("domain", "dst_domain")
+    known = keyed.join(domains, "dst_domain", "left").filter(F.col("in_crawl") | F.col("kind").isNotNull())
+    free = F.when(F.col("in_crawl"), F.lit("crawled")).otherwise(F.col("kind"))
+    return in_path_scope(known.withColumn("kind", free), scope).select(*merged.columns)

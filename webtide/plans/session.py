@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from webtide.functions import urls
 from webtide.operators import content, crawl, fetchlog, freshness, report, robots, sitemap, sync
 from webtide.params import Params
 from webtide.plans.lineage import Scratch
@@ -51,11 +50,11 @@ class Session:
 
 def discover(web: Web, params: Params, rules: DataFrame, lines: DataFrame, scratch: Scratch):
     """(candidates, walked, listed): crawled and listed URLs, merged; `cached` marks pages the walk has read."""
-    packed = pack_scope(web.scope)
+    scope = pack_scope(web.scope)
     if params.only_sitemap:
         walked = web.seeds.limit(0).selectExpr("url", "0 AS depth", "'' AS origin", "'' AS disposition")
     else:
-        walked = crawl.crawl(web.seeds, web.captures, packed, rules, params)
+        walked = crawl.crawl(web.seeds, web.captures, scope, rules, params)
     if params.use_sitemap:
         # where two roots list one page, the later root wins: in seed order if known, else by URL
         rank = F.max("seed_ix" if "seed_ix" in web.seeds.columns else "url")
@@ -68,21 +67,13 @@ def discover(web: Web, params: Params, rules: DataFrame, lines: DataFrame, scrat
     scraped = walked.filter(F.col("disposition") == "scraped")
     merged = sitemap.merge_candidates(scraped, listed, params.only_sitemap)
     if params.scope_sitemap:
-        merged = _in_scope(merged, packed)
+        merged = sitemap.in_scope(merged, scope)
     read = scraped.filter(F.col("origin").isin("seed", "link") & F.lit(params.cache_content))
     cached = read.select("url", F.lit(True).alias("cached"))
     candidates = merged.join(cached, "url", "left").withColumn("cached", F.coalesce("cached", F.lit(False)))
     return candidates, walked, listed
 
 
-def _in_scope(merged: DataFrame, packed: DataFrame) -> DataFrame:
-    """Listed URLs of domains outside the scope go; crawled ones have passed it already."""
-    domain = urls.normalize_domain(urls.netloc(F.col("url")))
-    known = packed.select(F.col("domain").alias("_domain"), F.lit(True).alias("_known"))
-    joined = merged.withColumn("_domain", domain).join(known, "_domain", "left")
-    return joined.filter(F.col("in_crawl") | F.col("_known").isNotNull()).drop("_domain", "_known")
-
-
 def mark(candidates: DataFrame, listed: DataFrame, web: Web, rules: DataFrame, params: Params) -> DataFrame:
     """Adds disposition (lastmod_skip, unchanged or update) and allowed. Page bodies are not touched."""
     first = freshness.lastmod_filter(candidates, listed, web.state)

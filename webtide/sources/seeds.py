@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from webtide.functions import urls
 from webtide.functions.text import strip
+from webtide.plans.lineage import Scratch
 
 
 def seed_list(settings: DataFrame, key: str = "setting", raw: str = "raw") -> DataFrame:
@@ -44,13 +47,49 @@ def scope(seeds: DataFrame, extras: DataFrame | None = None) -> DataFrame:
     )
 
 
-def pack_scope(scope_rows: DataFrame) -> DataFrame:
-    """One row (domain, kind, prefixes) per domain; root wins over allowed.
+@dataclass(frozen=True)
+class Scope:
+    """A job's scope in two tables; none of them holds the prefixes of a domain in one row.
 
-    A scope is a job setting, so the prefixes of one domain fit into one settings value.
+    domains(domain, kind, lengths): one row per domain; `lengths` are the distinct lengths of its prefixes, which are
+    bounded by its longest path, however many prefixes there are. prefixes(domain, prefix): the cover.
     """
-    is_root = F.col("kind") == "root"
-    return scope_rows.groupBy("domain").agg(
-        F.when(F.bool_or(is_root), F.lit("root")).otherwise(F.lit("allowed")).alias("kind"),
-        F.collect_set(F.when(is_root, F.col("prefix"))).alias("prefixes"),
+
+    domains: DataFrame
+    prefixes: DataFrame
+
+    def saved(self, scratch: Scratch) -> Scope:
+        """Both tables written, so that their size is known and decides how they are joined."""
+        return Scope(
+            scratch.save(self.domains, "scope-domains")[0], scratch.save(self.prefixes, "scope-prefixes")[0]
+        )
+
+
+def prefix_cover(scope_rows: DataFrame) -> DataFrame:
+    """(domain, prefix): root prefixes that begin with no other one of their domain.
+
+    A prefix looks up its own beginnings, of the lengths that its domain has, by equality: none is compared with all
+    others. A path begins with at most one prefix of the cover, and with one exactly if it does with one of all.
+    """
+    is_root = (F.col("kind") == "root") & F.col("prefix").isNotNull()
+    roots = scope_rows.filter(is_root).select("domain", "prefix").distinct()
+    shorter = F.filter("lengths", lambda n: n < F.length("prefix"))
+    starts = roots.join(_lengths(roots), "domain").select(
+        "domain", "prefix", F.explode(shorter).alias("n")
     )
+    told = starts.select("domain", F.col("prefix").alias("covered"), F.left("prefix", "n").alias("prefix"))
+    covered = told.join(roots, ["domain", "prefix"], "left_semi")
+    return roots.join(covered.select("domain", F.col("covered").alias("prefix")), ["domain", "prefix"], "left_anti")
+
+
+def _lengths(prefixes: DataFrame) -> DataFrame:
+    return prefixes.groupBy("domain").agg(F.sort_array(F.collect_set(F.length("prefix"))).alias("lengths"))
+
+
+def pack_scope(scope_rows: DataFrame) -> Scope:
+    """Domains, where root wins over allowed, and the cover of their prefixes."""
+    cover = prefix_cover(scope_rows)
+    kind = F.when(F.bool_or(F.col("kind") == "root"), F.lit("root")).otherwise(F.lit("allowed"))
+    domains = scope_rows.groupBy("domain").agg(kind.alias("kind")).join(_lengths(cover), "domain", "left")
+    none = F.array().cast("array<int>")
+    return Scope(domains.withColumn("lengths", F.coalesce("lengths", none)), cover)
