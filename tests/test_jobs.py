@@ -6,7 +6,8 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from webtide.operators import content, crawl, fetchlog, links, sitemap, sync
+from webtide.functions import text
+from webtide.operators import content, crawl, fetchlog, links, report, sitemap, sync
 from webtide.params import Params
 from webtide.plans.lineage import Scratch
 from webtide.plans.order import running, with_global_index
@@ -14,6 +15,7 @@ from webtide.plans.session import Web, run_session
 from webtide.sources.store import CorpusStore, Manifest, PublishConflict
 from webtide.streaming.alarms import count_batch, next_carry, start_alarms
 from webtide.streaming.ingest import start_ingest
+from webtide.streaming.logroll import closed_rollup, open_windows, start_rollup
 
 
 def test_global_index(spark):
@@ -406,3 +408,83 @@ def test_a_store_stays_as_large_as_its_content(spark, tmp_path):
         assert all(len(p) <= 3 for k in store._manifest().parts.values() for p in k.values())
     assert max(files[8:]) <= 2 * max(files[:8]) and len(list((tmp_path / "published").glob("*.json"))) == 2
     assert store.has_session("b20") and store.has_session("b1")
+
+
+PLAIN = "  a <b and c> d &amp; e\n\n" + "kept   as it is <p> " * 12
+PAGED = "\f".join(f"page {k} " + f"w{k} " * 40 for k in range(3))
+
+
+def test_page_kind(spark):
+    cases = [
+        ("text/plain", "u.pdf", "plain"), (" Text/Plain ; charset=x", "u", "plain"), ("application/pdf", "u", "paged"),
+        ("text/html; charset=utf-8", "u.pdf", "html"), (None, "u.PDF", "paged"), ("application/octet-stream", "u.pdf", "paged"),
+        (None, "u.txt", "plain"), ("", "u", "html"), (None, None, "html"), ("image/png", "u.md", "plain"),
+    ]
+    rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t string, u string, want string")
+    got = rows.select("want", text.page_kind(F.col("t"), F.col("u")).alias("kind"), F.col("t"), F.col("u")).collect()
+    assert [(r.t, r.u, r.kind) for r in got] == cases
+
+
+def test_bodies_are_read_by_their_type(spark):
+    """Plain text keeps what looks like tags, pages of a document are cut one by one, nothing crashes on nulls."""
+    rows = [("h", "text/html", PLAIN), ("t", "text/plain", PLAIN), ("d", "application/pdf", PAGED), ("n", None, None), ("e", "text/plain", ""), ("d2.pdf", None, PAGED + "\f\f")]
+    pages = spark.createDataFrame(rows, "url string, content_type string, body string")
+    params = Params(chunk_size=100, chunk_overlap=20, min_chunk_length=1)
+    texts = content.page_texts(pages, replace(params, ignore_display_none=True))
+    by = {r.url: r for r in texts.collect()}
+    assert by["t"].text == PLAIN and "<b" not in by["h"].text and by["d"].text == PAGED
+    assert [u for u, r in by.items() if r.paged] == ["d", "d2.pdf"] and set(texts.columns) == {"url", "text", "paged"}
+    made = {r.url: r for r in content.page_chunks(texts, params).collect()}
+    each = [p[k:k + 100] for p in PAGED.split("\f") for k in range(0, max(len(p) - 20, 1), 80)]
+    assert made["d"].chunks == each and made["d2.pdf"].chunks == each and made["e"].chunks == []
+    assert not any("\f" in c for c in made["d"].chunks)
+
+
+def test_types_reach_session_and_stream(spark, tmp_path):
+    """Plain text comes unchanged through a whole session and through the stream."""
+    base = "https://e.com"
+    bodies = {base: ("text/html", page(WORDS, [f"{base}/t", f"{base}/d"])), f"{base}/t": ("text/plain", PLAIN), f"{base}/d": ("application/pdf", PAGED)}
+    big = replace(PARAMS, chunk_size=4000)
+    store = CorpusStore(spark, str(tmp_path / "batch"))
+    one = web(spark, {u: (200, None, b) for u, (_, b) in bodies.items()}, store.read_state(), store.read_chunks())
+    types = spark.createDataFrame([(u, t) for u, (t, _) in bodies.items()], "url string, content_type string")
+    added = run_session(replace(one, captures=one.captures.join(types, "url")), big, "s1", F.timestamp_seconds(F.lit(1))).added
+    texts = lambda rows: {u: [r.text for r in sorted(rows, key=lambda r: r.chunk_ix) if r.source == u] for u in bodies}
+    want = texts(added.collect())
+    assert want[f"{base}/t"] == [PLAIN] and want[f"{base}/d"] == PAGED.split("\f")
+    assert "<p>" not in want[base][0]
+
+    rows = [(u, k, 200, None, t, b) for k, (u, (t, b)) in enumerate(bodies.items())]
+    frame = spark.createDataFrame(rows, "url string, seq bigint, status int, error string, content_type string, body string")
+    frame.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(frame.schema).parquet(str(tmp_path / "in"))
+    live = CorpusStore(spark, str(tmp_path / "live"))
+    start_ingest(stream, live, big, "s1", F.timestamp_seconds(F.lit(1)), str(tmp_path / "cp")).awaitTermination()
+    assert texts(live.read_chunks().collect()) == want
+
+
+def test_rollup_is_closed_after_every_run(spark, tmp_path):
+    """Appended and open windows together are the batch counts, each window once, also after a restart."""
+    at = lambda name: str(tmp_path / name)
+    lines = spark.range(400).select(
+        F.timestamp_seconds(F.lit(1706745600) + F.col("id") * 97).alias("ts"),
+        F.when(F.col("id") % 5 > 0, F.lit("info")).alias("level"),
+        F.concat(F.lit("e"), (F.col("id") % 3).cast("string")).alias("event"),
+        "id",
+    )
+    assert closed_rollup(spark, at("out"), at("cp")).count() == 0
+    order = lambda rows: sorted(rows, key=repr)
+    for run, (low, high) in enumerate([(0, 30), (30, 250), (250, 400)]):
+        lines.filter(F.col("id").between(low, high - 1)).drop("id").write.mode("append").parquet(at("in"))
+        stream = spark.readStream.schema(lines.drop("id").schema).parquet(at("in"))
+        start_rollup(stream, "1 hour", "10 minutes", at("out"), at("cp")).awaitTermination()
+        want = report.log_rollup(lines.filter(F.col("id") < high), "1 hour").collect()
+        assert order(closed_rollup(spark, at("out"), at("cp")).collect()) == order(want)
+        assert spark.read.parquet(at("out")).count() < len(want)
+    still = open_windows(spark, at("cp")).count()
+    # a batch that appended windows but did not record its end: they count once
+    log = tmp_path / "cp" / "commits"
+    last = max(int(n.name) for n in log.iterdir() if n.name.isdigit())
+    (log / str(last)).rename(tmp_path / "commit")
+    assert open_windows(spark, at("cp")).count() > still
+    assert order(closed_rollup(spark, at("out"), at("cp")).collect()) == order(want)

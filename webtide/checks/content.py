@@ -40,12 +40,24 @@ def sql_good(chunk: str, source: str, min_len: int) -> str:
     )
 
 
-def sql_page(relation: str, body: str, size: int = 1024, overlap: int = 256, min_len: int = 50, url: str = "url", keep: str = "url", name: str = "page") -> str:
+def sql_kind(ctype: str, url: str) -> str:
+    name = f"lower({sql_strip(f'split_part({ctype}, {chr(39)};{chr(39)}, 1)')})"
+    return f"""CASE WHEN {name} = 'application/pdf' THEN 'paged' WHEN {name} IN ('text/plain', 'text/markdown') THEN 'plain'
+      WHEN {name} IN ('text/html', 'application/xhtml+xml') THEN 'html' WHEN lower({url}) LIKE '%.pdf' THEN 'paged'
+      WHEN lower({url}) LIKE '%.txt' OR lower({url}) LIKE '%.md' THEN 'plain' ELSE 'html' END"""
+
+
+def sql_paged_chunks(text: str, size: int, overlap: int) -> str:
+    return f"flatten(list_transform(string_split({text}, chr(12)), lambda t: {sql_chunk_list('t', size, overlap)}))"
+
+
+def sql_page(relation: str, body: str, size: int = 1024, overlap: int = 256, min_len: int = 50, url: str = "url", keep: str = "url", name: str = "page", ctype: str = "CAST(NULL AS STRING)") -> str:
     """CTEs ending in `<name>c`: url, kept chunks, hash and count of every page of `relation`."""
-    return f"""{name}text AS (SELECT {keep}, {sql_text(body)} AS text FROM {relation}),
+    return f"""{name}kind AS (SELECT {keep}, {body} AS body, {sql_kind(ctype, url)} AS kind FROM {relation}),
+     {name}text AS (SELECT {keep}, kind, CASE WHEN kind = 'html' THEN {sql_text('body')} ELSE body END AS text FROM {name}kind),
      {name}k AS (
-      SELECT {keep}, list_filter({sql_chunk_list('text', size, overlap)},
-               lambda c: {sql_good('c', url, min_len)}) AS chunks FROM {name}text),
+      SELECT {keep}, list_filter(CASE WHEN kind = 'paged' THEN {sql_paged_chunks('text', size, overlap)}
+               ELSE {sql_chunk_list('text', size, overlap)} END, lambda c: {sql_good('c', url, min_len)}) AS chunks FROM {name}text),
      {name}c AS (
       SELECT *, sha256(array_to_string(chunks, chr(10))) AS content_hash, CAST(len(chunks) AS INT) AS chunk_count
       FROM {name}k)"""
@@ -61,6 +73,27 @@ def _(x):
     return x.fx_html.select("page_id", T.html_to_text(F.col("html")).alias("text"))
 
 
+@check(
+    "h2_routed_text",
+    f"""WITH {sql_page('fx_captures', 'body', keep='i, url', ctype='content_type')}
+        SELECT i, kind, sha256(text) AS text_sha FROM pagetext""",
+)
+def _(x):
+    """Pages, plain texts and paged documents, each read as its type or address says."""
+    captures = x.fx_captures.withColumn("kind", T.page_kind(F.col("content_type"), F.col("url")))
+    return O.page_texts(captures, PARAMS).select("i", "kind", F.sha2("text", 256).alias("text_sha"))
+
+
+@check(
+    "h6_routed_chunks",
+    f"""WITH {sql_page('fx_captures', 'body', keep='i, url', ctype='content_type')}
+        SELECT i, content_hash, chunk_count FROM pagec""",
+)
+def _(x):
+    made = O.page_chunks(O.page_texts(x.fx_captures, PARAMS), PARAMS)
+    return made.select("i", "content_hash", "chunk_count")
+
+
 @check(
     "h3_chunks",
     f"""SELECT doc_id, CAST(u.ix - 1 AS INT) AS chunk_ix, u.c AS chunk FROM (
@@ -92,7 +125,7 @@ def _(x):
 
 
 _DOCK = f"""dock AS (
-  SELECT doc_id, list_filter({sql_chunk_list('text', 512, 128)},
+  SELECT doc_id, list_filter({sql_paged_chunks('text', 512, 128)},
            lambda c: {sql_good('c', "source || '.pdf'", 50)}) AS kept FROM docs)"""
 
 

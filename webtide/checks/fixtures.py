@@ -232,7 +232,7 @@ def _views(d) -> dict[str, str]:
     status = "CASE WHEN i % 17 = 5 THEN 429 WHEN i % 23 = 7 THEN 404 ELSE 200 END"
     error = """CASE WHEN i % 37 = 9 THEN 'Read timed out' WHEN i % 41 = 11 THEN 'HTTP 429: Too Many Requests'
                     ELSE CAST(NULL AS STRING) END"""
-    ctype = "CASE WHEN i % 3 = 0 THEN 'text/html; charset=utf-8' WHEN i % 3 = 1 THEN 'text/plain' ELSE CAST(NULL AS STRING) END"
+    ctype = "CASE WHEN i % 3 = 0 THEN 'text/html; charset=utf-8' WHEN i % 3 = 1 THEN 'text/plain' WHEN i % 6 = 2 THEN ' Application/PDF;v=1' ELSE CAST(NULL AS STRING) END"
     modified = f"""CASE WHEN i % 6 = 0 THEN CAST(NULL AS STRING) WHEN i % 13 = 3 THEN 'garbage'
                         ELSE 'Mon, ' || {day} || ' Jan 2024 00:00:00 GMT' END"""
     v["fx_captures"] = f"""
@@ -240,6 +240,7 @@ def _views(d) -> dict[str, str]:
              CASE WHEN i % 53 <> 7 THEN {status} END AS status, {ctype} AS content_type, {modified} AS last_modified, {error} AS error,
              CASE WHEN i % 29 = 13 THEN substr(html, 1, 60)
                   WHEN i % 31 = 17 THEN '<html><body>please solve this CAPTCHA ' || anchors || '</body></html>'
+                  WHEN i % 6 = 2 THEN replace(replace(html, '<p', chr(12) || '<p'), '</body>', anchors || '</body>')
                   WHEN i % 3 = 0 THEN replace(html, '</body>', anchors || {hidden} || '</body>')
                   ELSE replace(html, '</body>', anchors || '</body>') END AS body
       FROM linked"""

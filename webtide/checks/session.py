@@ -27,7 +27,7 @@ NOW_SESSION = "s2"
 
 def known_pages(x):
     """Content of every good capture as the last session left it, with marks of change by page number."""
-    good = x.fx_captures.filter((F.col("status") == 200) & F.col("error").isNull()).select("i", "url", "body")
+    good = x.fx_captures.filter((F.col("status") == 200) & F.col("error").isNull()).select("i", "url", "content_type", "body")
     made = content.page_chunks(content.page_texts(good, PARAMS), PARAMS)
     return made.filter(F.col("i") % 10 != 9)
 
@@ -92,7 +92,7 @@ def session(x) -> Session:
 
 # --- SQL --------------------------------------------------------------------------------------------
 
-_WEBOK = "webok AS (SELECT url, body FROM fx_web WHERE status = 200 AND error IS NULL)"
+_WEBOK = "webok AS (SELECT url, content_type, body FROM fx_web WHERE status = 200 AND error IS NULL)"
 KNOWN = f"""kp AS (
   SELECT c.i, g.* FROM pagec g JOIN fx_captures c ON c.url = g.url WHERE c.i % 10 <> 9),
  kstate AS (
@@ -112,14 +112,14 @@ _DECIDE = """CASE WHEN s.url IS NULL THEN 'full'
 
 @check(
     "ingest_decisions",
-    f"""WITH {_WEBOK}, {sql_page('webok', 'body')}, {KNOWN}
+    f"""WITH {_WEBOK}, {sql_page('webok', 'body', ctype='content_type')}, {KNOWN}
         SELECT decision, count(*) AS urls, CAST(sum(chunk_count) AS BIGINT) AS chunks FROM (
           SELECT n.chunk_count, {_DECIDE} AS decision
           FROM (SELECT g.* FROM pagec g JOIN fx_captures c ON c.url = g.url) n LEFT JOIN kstate s ON s.url = n.url)
         GROUP BY decision""",
 )
 def ingest_decisions(x):
-    good = x.fx_captures.filter((F.col("status") == 200) & F.col("error").isNull()).select("url", "body")
+    good = x.fx_captures.filter((F.col("status") == 200) & F.col("error").isNull()).select("url", "content_type", "body")
     pages = content.page_chunks(content.page_texts(good, PARAMS), PARAMS)
     decided = sync.decide(pages.drop("chunks"), known_state(x))
     return decided.groupBy("decision").agg(
@@ -128,7 +128,7 @@ def ingest_decisions(x):
 
 
 _HOST = sql_part("url", 2)
-SESSION = f"""RECURSIVE {sql_walk(-1)}, {SITEMAPS}, {_WEBOK}, {sql_page('webok', 'body')}, {KNOWN},
+SESSION = f"""RECURSIVE {sql_walk(-1)}, {SITEMAPS}, {_WEBOK}, {sql_page('webok', 'body', ctype='content_type')}, {KNOWN},
  stops AS (
   SELECT r.url AS root_ix, [coalesce(d.line_no, 0)] AS ord, CASE WHEN d.sitemap IS NULL THEN base || '/sitemap.xml'
       WHEN d.sitemap LIKE 'http%' THEN d.sitemap WHEN d.sitemap LIKE '/%' THEN base || d.sitemap

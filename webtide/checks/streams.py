@@ -18,7 +18,7 @@ from webtide.sources import logs
 from webtide.sources.store import CorpusStore
 from webtide.streaming.alarms import start_alarms
 from webtide.streaming.ingest import start_ingest
-from webtide.streaming.logroll import start_rollup
+from webtide.streaming.logroll import closed_rollup, start_rollup
 
 _PARTS = 4
 
@@ -40,8 +40,8 @@ _NEWC = f"""okcap AS (
   SELECT url, body FROM fx_captures WHERE status = 200 AND error IS NULL AND NOT {SQL_EMPTY})"""
 
 
-_INGESTED = f"""WITH webok AS (SELECT url, body FROM fx_captures WHERE status = 200 AND error IS NULL),
-        {_NEWC}, {sql_page('webok', 'body')}, {KNOWN},
+_INGESTED = f"""WITH webok AS (SELECT url, content_type, body FROM fx_captures WHERE status = 200 AND error IS NULL),
+        {_NEWC}, {sql_page('webok', 'body', ctype='content_type')}, {KNOWN},
         done AS (SELECT n.*, {_DECIDE} AS decision FROM pagec n JOIN okcap USING (url) LEFT JOIN kstate s ON s.url = n.url)
         SELECT coalesce(s.url, d.url) AS url,
           CASE WHEN d.decision IN ('full', 'partial') THEN d.content_hash ELSE s.content_hash END AS content_hash,
@@ -78,7 +78,7 @@ def ingested(x) -> CorpusStore:
     base = Scratch(x.spark).base
     store = CorpusStore(x.spark, f"{base}/store")
     store.publish(known_state(x), known_chunks(x), session_id="s0")
-    captures = x.fx_captures.select("url", "seq", "status", "error", "body")
+    captures = x.fx_captures.select("url", "seq", "status", "error", "content_type", "body")
     now = F.timestamp_seconds(F.lit(NOW_TS))
     stream = arriving(x, captures, "seq", base)
     start_ingest(stream, store, PARAMS, NOW_SESSION, now, f"{base}/cp").awaitTermination()
@@ -87,8 +87,8 @@ def ingested(x) -> CorpusStore:
 
 @check(
     "st1_stream_chunks",
-    f"""WITH webok AS (SELECT url, body FROM fx_captures WHERE status = 200 AND error IS NULL),
-        {_NEWC}, {sql_page('webok', 'body')}, {KNOWN},
+    f"""WITH webok AS (SELECT url, content_type, body FROM fx_captures WHERE status = 200 AND error IS NULL),
+        {_NEWC}, {sql_page('webok', 'body', ctype='content_type')}, {KNOWN},
         now_c AS (SELECT url AS source, unnest(chunks) AS text FROM pagec JOIN okcap USING (url))
         SELECT source, sha256(text) AS chunk_sha, count(*) AS copies FROM (
           SELECT source, text FROM now_c UNION ALL
@@ -123,10 +123,26 @@ _HOUR = DuckDialect().epoch("time_bucket(INTERVAL '1 hour', ts)")
         WHERE {_HOUR} + 3600 <= (SELECT epoch(max(ts)) - 600 FROM parsed) GROUP BY ALL""",
 )
 def _(x):
+    base = rolled_up(x)
+    rolled = x.spark.read.parquet(f"{base}/out")
+    return rolled.select("level", "event", F.unix_seconds("window_start").alias("window_s"), "lines")
+
+
+@check(
+    "st3_closed_rollup",
+    f"WITH {_PARSED} SELECT level, event, {_HOUR} AS window_s, count(*) AS lines FROM parsed GROUP BY ALL",
+)
+def _(x):
+    """All lines, those of windows still open at the end included."""
+    base = rolled_up(x)
+    rolled = closed_rollup(x.spark, f"{base}/out", f"{base}/cp")
+    return rolled.select("level", "event", F.unix_seconds("window_start").alias("window_s"), "lines")
+
+
+def rolled_up(x) -> str:
     base = Scratch(x.spark).base
     lines = x.fx_log.select("event_id", F.col("ts").cast("timestamp").alias("ts"), "level", "line")
     lines.write.parquet(f"{base}/in")
     stream = x.spark.readStream.schema(lines.schema).parquet(f"{base}/in")
     start_rollup(logs.parse_log(stream), "1 hour", "10 minutes", f"{base}/out", f"{base}/cp").awaitTermination()
-    rolled = x.spark.read.parquet(f"{base}/out")
-    return rolled.select("level", "event", F.unix_seconds("window_start").alias("window_s"), "lines")
+    return base

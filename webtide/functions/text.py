@@ -116,6 +116,26 @@ def html_to_text(html: Column) -> Column:
     return strip(F.regexp_replace(unescape(bare), _TO_COLLAPSE, " "))
 
 
+# Types and address endings that say how a body is read; all else is HTML.
+_KINDS = {
+    "paged": (("application/pdf",), (".pdf",)),
+    "plain": (("text/plain", "text/markdown"), (".txt", ".md")),
+    "html": (("text/html", "application/xhtml+xml"), ()),
+}
+
+
+def page_kind(content_type: Column, url: Column) -> Column:
+    """html, plain or paged: a type that says so decides, else the address; never NULL."""
+    name = F.lower(strip(F.split_part(content_type, F.lit(";"), F.lit(1))))
+    kind = F.when(F.lit(False), "")
+    for k, (types, _) in _KINDS.items():
+        kind = kind.when(name.isin(*types), k)
+    for k, (_, endings) in _KINDS.items():
+        for e in endings:
+            kind = kind.when(F.endswith(F.lower(url), F.lit(e)), k)
+    return kind.otherwise("html")
+
+
 # Every character of a page falls into exactly one of these tokens, so token lengths give positions.
 _TOKEN = (
     r"(?is)<!--.*?(?:-->|\z)"
@@ -230,6 +250,11 @@ def chunks(text: Column, size: int, overlap: int) -> Column:
     return F.when(n == 0, F.array().cast("array<string>")).otherwise(many)
 
 
+def paged_chunks(text: Column, size: int, overlap: int) -> Column:
+    """Windows of each page on its own; a form feed ends a page."""
+    return F.flatten(F.transform(F.split(text, "\f"), lambda page: chunks(page, size, overlap)))
+
+
 # Two glyph placeholders of a PDF reader in a row.
 _CID_RUN = rf"\(cid:\p{{Nd}}++\){SPACE}*+\(cid:\p{{Nd}}++\)"
 # One character only; gives up at the first other one.

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from webtide.operators import content, crawl, fetchlog, freshness, report, robots, sitemap, sync
 from webtide.params import Params
 from webtide.plans.lineage import Scratch
+from webtide.sources.captures import typed
 from webtide.sources.robots_files import pick_robots
 from webtide.sources.seeds import pack_scope
 
@@ -23,8 +24,8 @@ class Web:
     """The captured web and what is known from before.
 
     seeds(url), scope(domain, kind, prefix), robots(domain, proto, status, text), sitemaps(sitemap_url,
-    status, text), captures(url, status, error, body; one row per URL, see `captures.latest`), heads(url, status, last_modified, error),
-    attempts(url, attempt, error, body), state and chunks as `CorpusStore` keeps them.
+    status, text), captures(url, status, error, body and, if known, content_type; one row per URL, see `captures.latest`), heads(url, status, last_modified, error),
+    attempts(url, attempt, error, body and, if known, content_type), state and chunks as `CorpusStore` keeps them.
     """
 
     seeds: DataFrame
@@ -90,12 +91,13 @@ def fetch(wanted: DataFrame, captures: DataFrame) -> DataFrame:
 
     An inner join, so that few wanted pages can be broadcast or filter the captures before bodies move.
     """
-    got = captures.select("url", "status", "error", "body")
+    got = typed(captures).select("url", "status", "error", "content_type", "body")
     judged = fetchlog.classify(wanted.join(got, "url"))
     return judged.select(
         "url",
         F.when(F.col("cached"), F.lit("ok")).otherwise(F.col("outcome")).alias("outcome"),
         F.when(~F.col("cached"), F.col("reason")).alias("reason"),
+        "content_type",
         "body",
     )
 
@@ -239,8 +241,8 @@ def _one_per_url(*ranked: tuple[int, DataFrame]) -> DataFrame:
 
 def _recovered_pages(recovered: DataFrame, web: Web, params: Params) -> DataFrame:
     """Content of the attempt that brought each page in."""
-    success = web.attempts.select("url", F.col("attempt").alias("attempts"), "body")
-    got = recovered.join(success, ["url", "attempts"]).select("url", "body")
+    success = typed(web.attempts).select("url", F.col("attempt").alias("attempts"), "content_type", "body")
+    got = recovered.join(success, ["url", "attempts"]).select("url", "content_type", "body")
     return content.page_chunks(content.page_texts(got, params), params)
 
 

@@ -12,6 +12,13 @@ def content_type(df: DataFrame) -> DataFrame:
     return df.withColumn("content_type", F.split_part(header, F.lit(";"), F.lit(1)))
 
 
+def typed(captures: DataFrame) -> DataFrame:
+    """With a content_type: NULL where captures do not say."""
+    if "content_type" in captures.columns:
+        return captures
+    return captures.withColumn("content_type", F.lit(None).cast("string"))
+
+
 def latest(captures: DataFrame, *order: str) -> DataFrame:
     """Last capture per URL. Which one that is comes from narrow rows; bodies are joined to it, never sorted in groups.
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 from webtide.operators import content, fetchlog, sync
 from webtide.params import Params
 from webtide.plans.lineage import Scratch
-from webtide.sources.captures import latest
+from webtide.sources.captures import latest, typed
 from webtide.sources.store import CorpusStore
 from webtide.streaming.batches import start_batches
 
@@ -24,8 +24,8 @@ def ingest_batch(
     """
     if store.has_session(batch_key):
         return
-    last = latest(captures, "seq").withColumn("allowed", F.lit(True))
-    good = fetchlog.classify(last).filter(F.col("outcome") == "ok").select("url", "body")
+    last = latest(typed(captures), "seq").withColumn("allowed", F.lit(True))
+    good = fetchlog.classify(last).filter(F.col("outcome") == "ok").select("url", "content_type", "body")
     chunked = content.page_chunks(content.page_texts(good, params), params)
     # the text work is done once; everything below reads its result
     scratch = Scratch(captures.sparkSession)
