@@ -14,6 +14,7 @@ from webtide.plans.order import running, with_global_index
 from webtide.plans.session import Web, run_session
 from webtide.sources.store import CorpusStore, Manifest, PublishConflict
 from webtide.streaming.alarms import count_batch, next_carry, start_alarms
+from webtide.streaming.carry import KeyedCarry
 from webtide.streaming.ingest import start_ingest
 from webtide.streaming.logroll import closed_rollup, open_windows, start_rollup
 
@@ -488,3 +489,58 @@ def test_rollup_is_closed_after_every_run(spark, tmp_path):
     (log / str(last)).rename(tmp_path / "commit")
     assert open_windows(spark, at("cp")).count() > still
     assert order(closed_rollup(spark, at("out"), at("cp")).collect()) == order(want)
+
+
+def test_carry_follows_the_keys_of_a_batch(spark, tmp_path):
+    """A batch writes the buckets of its keys, a batch that runs again the same ones, and what nobody can ask for goes."""
+    base = tmp_path / "carry"
+    carry = KeyedCarry(spark, str(base), "host string, open_fails bigint", ["host"], buckets=16)
+    make = lambda rows: spark.createDataFrame(rows, "host string, open_fails bigint")
+    want, before = {}, {}
+
+    def step(n, changed):
+        rows = make(list(changed.items()))
+        touched = carry.buckets_of(rows.select("host"), n)
+        found = carry.read(n, touched)
+        before.setdefault(n, dict(want))
+        assert all(before[n][r.host] == r.open_fails for r in found.collect())
+        named = rows.select("host", F.col("open_fails").alias("_new"))
+        same = found["host"].eqNullSafe(named["host"])
+        kept = found.join(named, same, "left_anti").unionByName(rows).filter("open_fails > 0")
+        carry.write(n, kept, touched)
+        want.update(changed)
+        for k in [k for k, v in want.items() if not v]:
+            del want[k]
+        assert {r.host: r.open_fails for r in carry.read(n + 1).collect()} == want
+        return sorted(p.name for p in (base / f"part={n}").glob("bucket=*"))
+
+    assert len(step(0, {f"h{i}": 1 for i in range(400)} | {None: 2})) == 16
+    for n in range(1, 12):
+        changed = {f"h{n % 3}": n + 1}
+        wrote = step(n, changed)
+        assert len(wrote) == 1 and step(n, changed) == wrote
+    assert step(12, {f"h{i}": 0 for i in range(400)} | {None: 0}) == [] and want == {}
+    step(13, {"a": 1})
+    step(14, {"a": 2})
+    assert sorted(p.name for p in base.iterdir() if not p.name.startswith(".")) == ["13.json", "14.json", "part=13", "part=14"]
+
+
+def test_alarms_of_many_batches(spark, tmp_path):
+    """Batches of few keys: the counts are those of one run over everything, and the carry stays as large as its keys."""
+    rng = random.Random(9)
+    rows = [(rng.choice([None, *(f"h{k}" for k in range(30))]), i, rng.choice(["ok", "failed", "failed"]), "timeout") for i in range(200)]
+    schema = "host string, seq long, outcome string, reason string"
+    for k in range(8):
+        part = spark.createDataFrame(rows[25 * k:25 * k + 25], schema)
+        part.coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(schema).parquet(f"{tmp_path}/in")
+        start_alarms(stream, str(tmp_path), Params(), ["host"], f"{tmp_path}/cp").awaitTermination()
+    want, run = [], {}
+    for host, seq, outcome, _ in rows:
+        run[host] = run.get(host, 0) + 1 if outcome == "failed" else 0
+        want += [(seq, run[host])] if outcome == "failed" else []
+    got = spark.read.parquet(f"{tmp_path}/alarms/*").select("seq", "fails").collect()
+    assert sorted(map(tuple, got)) == want
+    carry = next((tmp_path / "carry").iterdir())
+    assert sorted(p.name for p in carry.glob("*.json")) == ["6.json", "7.json"]
+    assert len(list(carry.glob("part=*/bucket=*"))) <= 2 * 8

@@ -1,6 +1,7 @@
 """Failure alarms over a stream of fetch outcomes.
 
-Between micro-batches only one number per key is carried: the length of the failure run that is still open.
+Between micro-batches only one number per key is carried: the length of the failure run that is still open. It lies in
+buckets by key, and a batch reads and writes those of its keys.
 Inside a micro-batch the running totals of the batch job do the counting, in blocks, so a host that causes a
 third of all fetches is not counted by a single task.
 """
@@ -17,6 +18,7 @@ from webtide.operators.fetchlog import waits
 from webtide.params import Params
 from webtide.plans.order import match, running
 from webtide.streaming.batches import start_batches
+from webtide.streaming.carry import KeyedCarry
 
 
 def count_batch(batch: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -37,11 +39,10 @@ def count_batch(batch: DataFrame, carried: DataFrame, keys: Sequence[str]) -> Da
 
 
 def next_carry(counted: DataFrame, carried: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """(keys, open_fails) after the batch; keys it did not touch keep their number."""
+    """(keys, open_fails) after the batch, of runs that are open; keys it did not touch keep their number."""
     ends = counted.groupBy(*keys).agg(F.max_by("fails", "seq").alias("_end"))
-    return match(carried, ends, keys, "full").select(
-        *keys, F.coalesce("_end", "open_fails").alias("open_fails")
-    )
+    after = match(carried, ends, keys, "full").select(*keys, F.coalesce("_end", "open_fails").alias("open_fails"))
+    return after.filter(F.col("open_fails") > 0)
 
 
 def start_alarms(
@@ -56,17 +57,15 @@ def start_alarms(
     schema = ", ".join([f"{k} {stream.schema[k].dataType.simpleString()}" for k in keys])
 
     def each(batch: DataFrame, query_id: str, batch_id: int) -> None:
-        carry_schema = f"{schema}, open_fails bigint"
-        at = lambda kind, n: f"{path}/{kind}/{query_id}-{n}"
-        if batch_id:
-            carried = spark.read.schema(carry_schema).parquet(at("carry", batch_id - 1))
-        else:
-            carried = spark.createDataFrame([], carry_schema)
+        carry = KeyedCarry(spark, f"{path}/carry/{query_id}", f"{schema}, open_fails bigint", keys)
+        touched = carry.buckets_of(batch, batch_id)
+        carried = carry.read(batch_id, touched)
         counted = count_batch(batch, carried, keys).persist()
         try:
             failed = counted.filter(F.col("outcome") == "failed")
-            failed.select("*", *waits(params)).write.mode("overwrite").parquet(at("alarms", batch_id))
-            next_carry(counted, carried, keys).write.mode("overwrite").parquet(at("carry", batch_id))
+            alarms = f"{path}/alarms/{query_id}-{batch_id}"
+            failed.select("*", *waits(params)).write.mode("overwrite").parquet(alarms)
+            carry.write(batch_id, next_carry(counted, carried, keys), touched)
         finally:
             counted.unpersist()
 
