@@ -10,6 +10,7 @@ from webtide.functions import text
 from webtide.operators import content, crawl, fetchlog, links, report, sitemap, sync
 from webtide.params import Params
 from webtide.plans.lineage import Scratch
+from webtide.plans import politeness
 from webtide.plans.order import running, with_global_index
 from webtide.plans.session import Web, run_session
 from webtide.sources.store import CorpusStore, Manifest, PublishConflict
@@ -544,3 +545,36 @@ def test_alarms_of_many_batches(spark, tmp_path):
     carry = next((tmp_path / "carry").iterdir())
     assert sorted(p.name for p in carry.glob("*.json")) == ["6.json", "7.json"]
     assert len(list(carry.glob("part=*/bucket=*"))) <= 2 * 8
+
+
+@pytest.mark.parametrize("obey", [True, False])
+def test_fetch_plan(spark, obey):
+    """Against planning page by page: a hot domain, a slow one, single ones, repeated and missing URLs."""
+    rng = random.Random(4)
+    addresses = [f"https://www.hot.com/{i}" for i in range(300)] + [f"https://slow.com/{i}" for i in range(9)] + [f"https://d{i}.com/" for i in range(40)]
+    rows = [(u,) for u in addresses + addresses[:50] + [None, "no address"]]
+    rng.shuffle(rows)
+    given = {"slow.com": 7.5, "d1.com": 0.1, "d2.com": None}
+    delays = spark.createDataFrame(list(given.items()), "domain string, crawl_delay double")
+    params = Params(request_delay=0.3, obey_crawl_delay=obey, batch_size=7)
+    plan = politeness.fetch_plan(spark.createDataFrame(rows, "url string"), delays, params)
+    got = sorted(plan.collect(), key=lambda r: (r.batch_no, r.seq))
+
+    host = lambda u: u.split("/")[2].removeprefix("www.") if "//" in u else ""
+    want, seen = [], {}
+    for u in sorted({u for (u,) in rows if u}):
+        wait = max(0.3, (given.get(host(u)) or 0.0) if obey else 0.0)
+        want.append((seen.get(host(u), 0) * wait, host(u), u, wait))
+        seen[host(u)] = seen.get(host(u), 0) + 1
+    want.sort()
+    assert [(r.start_s, r.domain, r.url, r.delay_s, r.batch_no, r.seq) for r in got] == [
+        (*w, k // 7 + 1, k % 7 + 1) for k, w in enumerate(want)
+    ]
+    times = sorted(politeness.batch_times(plan).collect())
+    assert [t.pages for t in times] == [7] * (len(want) // 7) + [len(want) % 7] * (len(want) % 7 > 0)
+    assert all(t.domains == len({r.domain for r in got if r.batch_no == t.batch_no}) for t in times)
+    results = spark.createDataFrame([(u, "failed" if k % 3 else "ingested") for k, (_, _, u, _) in enumerate(want[:-5])], "url string, result string")
+    last = max(politeness.progress(plan, results, "r").collect(), key=lambda r: r.batch_no)
+    assert last.ingested + last.failed == len(want) - 5 and last.batch_no == times[-1].batch_no
+    none = politeness.fetch_plan(spark.createDataFrame([], "url string"), delays, params)
+    assert none.count() == 0

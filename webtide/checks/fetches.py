@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from webtide.checks.fixtures import AGENT
 from webtide.checks.registry import check
-from webtide.checks.robots import GATE, LINES, RULES, lines
-from webtide.checks.scalars import SQL_EMPTY
+from webtide.checks.robots import DELAYS, GATE, LINES, RULES, lines
+from webtide.checks.scalars import SQL_EMPTY, sql_domain, sql_part
 from webtide.operators import fetchlog as L
 from webtide.operators import robots as R
 from webtide.params import Params
+from webtide.plans import politeness
+from webtide.plans.lineage import Scratch
 
 _TESTED = "tested AS (SELECT i, 0 AS k, url AS u FROM p)"
 _LIMITED = "(contains(lower(error), '429') OR contains(lower(error), 'too many'))"
@@ -72,3 +74,54 @@ def _(x):
 )
 def _(x):
     return L.retry_rounds(x.fx_attempts, 3)
+
+
+# a batch size that gives many batches at every scale
+POLITE = Params(user_agent=AGENT, request_delay=0.75, batch_size=16)
+PLAN = f"""{LINES}, {DELAYS}, {RULES}, {_TESTED}, {GATE},
+ due AS (
+  SELECT url, {sql_domain(sql_part('url', 2))} AS domain FROM (
+    SELECT DISTINCT url FROM p JOIN gate g ON g.i = p.i AND g.allowed)),
+ timed AS (
+  SELECT url, d.domain, greatest(0.75, coalesce(crawl_delay, 0.75))::DOUBLE AS delay_s,
+         row_number() OVER (PARTITION BY d.domain ORDER BY url) - 1 AS before
+  FROM due d LEFT JOIN delays USING (domain)),
+ plan AS (
+  SELECT url, domain, delay_s, start_s, CAST(floor((n - 1) / 16) AS BIGINT) + 1 AS batch_no, (n - 1) % 16 + 1 AS seq
+  FROM (SELECT *, row_number() OVER (ORDER BY start_s, domain, url) AS n
+        FROM (SELECT *, before * delay_s AS start_s FROM timed)))"""
+
+
+def fetch_plan(x):
+    due = R.gate(x.sql("SELECT url FROM p"), R.rule_tables(lines(x), AGENT)).filter("allowed")
+    return politeness.fetch_plan(due, R.crawl_delays(lines(x), AGENT), POLITE)
+
+
+@check("c3_fetch_plan", f"WITH {PLAN} SELECT url, domain, delay_s, start_s, batch_no, seq FROM plan")
+def _(x):
+    return fetch_plan(x)
+
+
+@check(
+    "c3_batch_times",
+    f"""WITH {PLAN} SELECT batch_no, count(*) AS pages, count(DISTINCT domain) AS domains, min(start_s) AS from_s,
+          max(start_s + delay_s) AS until_s FROM plan GROUP BY batch_no""",
+)
+def _(x):
+    return politeness.batch_times(fetch_plan(x))
+
+
+@check(
+    "g3_planned_progress",
+    f"""WITH {PLAN}, got AS (
+          SELECT url, CASE WHEN {REASON.replace('NOT allowed', 'false')} IS NULL THEN 'ingested' ELSE 'failed' END AS result FROM fx_captures),
+        b AS (SELECT batch_no, count(*) FILTER (result = 'ingested') AS i, count(*) FILTER (result = 'failed') AS f
+              FROM plan LEFT JOIN got USING (url) GROUP BY batch_no)
+        SELECT 'r' AS run_id, batch_no, CAST(sum(i) OVER w AS BIGINT) AS ingested, CAST(0 AS BIGINT) AS skipped,
+          CAST(sum(f) OVER w AS BIGINT) AS failed FROM b WINDOW w AS (ORDER BY batch_no)""",
+)
+def _(x):
+    judged = L.classify(x.fx_captures.withColumn("allowed", F.lit(True)))
+    result = F.when(F.col("outcome") == "ok", F.lit("ingested")).otherwise(F.lit("failed"))
+    plan, _ = Scratch(x.spark).save(fetch_plan(x), "plan")
+    return politeness.progress(plan, judged.select("url", result.alias("result")), "r")

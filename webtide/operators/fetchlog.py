@@ -80,11 +80,11 @@ def waits(params: Params) -> tuple[Column, Column]:
     return wait.alias("wait_s"), (failed & (F.col("fails") >= params.backoff_threshold)).alias("alarm")
 
 
-def number_batches(candidates: DataFrame, batch_size: int, order: str = "url") -> DataFrame:
-    """Adds batch_no (from 1) and seq (from 1 in the batch): consecutive slices of the ordered list."""
+def number_batches(candidates: DataFrame, batch_size: int, *order: str) -> DataFrame:
+    """Adds batch_no (from 1) and seq (from 1 in the batch): consecutive slices of the list, ordered by URL if not told."""
     ix = F.col("ix") - 1
     return (
-        with_global_index(candidates, [order])
+        with_global_index(candidates, list(order) or ["url"])
         .withColumn("batch_no", F.floor(ix / F.lit(batch_size)) + 1)
         .withColumn("seq", ix % batch_size + 1)
         .drop("ix")
