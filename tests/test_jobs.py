@@ -2,18 +2,19 @@
 
 import random
 from dataclasses import replace
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from webtide.functions import text
-from webtide.operators import content, crawl, fetchlog, links, report, sitemap, sync
+from webtide.operators import content, crawl, fetchlog, freshness, links, report, sitemap, sync
 from webtide.params import Params
 from webtide.plans.lineage import Scratch
 from webtide.plans import politeness
 from webtide.plans.order import running, with_global_index
 from webtide.plans.session import Web, run_session
-from webtide.sources.store import CorpusStore, Manifest, PublishConflict
+from webtide.sources.store import CHUNK_SCHEMA, CorpusStore, Manifest, PublishConflict
 from webtide.streaming.alarms import count_batch, next_carry, start_alarms
 from webtide.streaming.carry import KeyedCarry
 from webtide.streaming.ingest import start_ingest
@@ -206,6 +207,64 @@ def test_diff_keeps_copies(spark):
     assert rows(sync.chunks_to_delete(old.filter("source = 's'"), new)) == [("s", 2, "b")]
 
 
+def test_chunk_changes(spark):
+    """Copies are counted per side; NULL is a key like any other; nothing comes or goes without a difference."""
+    schema = "source string, chunk_ix int, chunk_sha string"
+    old = spark.createDataFrame([("s", 0, "a"), ("s", 1, "a"), ("s", 2, "b"), ("s", 3, "b"), (None, 0, "n"), (None, 1, "o")], schema)
+    new = spark.createDataFrame([("s", 0, "a"), ("s", 1, "c"), ("s", 2, "c"), ("t", 0, "a"), (None, 0, "n"), (None, 1, "p")], schema)
+    changes = sync.chunk_changes(old, new)
+    got = sorted((str(r.source), r.chunk_sha, r.n_old, r.n_new) for r in changes.collect())
+    assert got == [("None", "o", 1, 0), ("None", "p", 0, 1), ("s", "b", 2, 0), ("s", "c", 0, 2), ("t", "a", 0, 1)]
+    rows = lambda df: sorted(tuple(str(v) for v in r) for r in df.collect())
+    assert rows(sync.coming(new, changes)) == [("None", "1", "p"), ("s", "1", "c"), ("s", "2", "c"), ("t", "0", "a")]
+    assert rows(sync.going(changes)) == [("None", "o"), ("s", "b")]
+    none = old.limit(0)
+    assert sync.chunk_changes(none, none).count() == 0
+    assert rows(sync.coming(old, sync.chunk_changes(none, old))) == rows(old)
+    plan = sync.chunk_changes(old, new)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_state_is_scanned_once_before_pages_are_read(spark, tmp_path):
+    """Listed dates, headers and decisions share one scan; candidates are shuffled by url once."""
+    state = spark.createDataFrame([("u", "h", 1, None, "s", 0)], sync.STATE_SCHEMA)
+    state.write.parquet(f"{tmp_path}/state")
+    state = spark.read.parquet(f"{tmp_path}/state")
+    frame = lambda schema: spark.createDataFrame([], schema)
+    listed, heads = frame("loc string, lastmod timestamp"), frame("url string, status int, last_modified string, error string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        met = freshness.meet(frame("url string"), listed, heads, state)
+        plan = met._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange hashpartitioning") == 4
+
+
+def test_stale_pages_of_visited_sites(spark):
+    """Pages of other sites, and of no site, are neither missed nor removed."""
+    urls = ["https://www.A.com/x", "https://a.com/kept", "https://b.com/x", "no address"]
+    state = spark.createDataFrame([(u, "h", 1, None, "s0", 0) for u in urls] + [("https://a.com/now", "h", 1, None, "s1", 0)], sync.STATE_SCHEMA)
+    keep = spark.createDataFrame([("https://a.com/kept",)], "url string")
+    sites = spark.createDataFrame([("a.com",), ("a.com",), ("",), (None,)], "domain string")
+    got = sync.stale_urls(state, "s1", keep, sites)
+    assert got.columns == state.columns and [r.url for r in got.collect()] == ["https://www.A.com/x"]
+    assert {r.url for r in sync.stale_urls(state, "s1", keep).collect()} == set(urls) - {"https://a.com/kept"}
+    assert sync.stale_urls(state, "s1", keep, sites.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("in_sites", [False, True])
+def test_session_over_one_site(spark, in_sites):
+    """A session that visits one site removes pages of the others only if it is told to look at all."""
+    base = "https://e.com"
+    state = spark.createDataFrame(
+        [(u, "h", 1, datetime(2024, 1, 1), "s0", 0) for u in (f"{base}/gone", "https://other.com/")], sync.STATE_SCHEMA
+    )
+    chunks = spark.createDataFrame([], CHUNK_SCHEMA)
+    s = run_session(web(spark, {base: (200, None, page(WORDS))}, state, chunks), replace(PARAMS, remove_delay=0, stale_in_sites=in_sites), "s1", F.timestamp_seconds(F.lit(1706745600)))
+    assert {r.url for r in s.state.collect()} == {base} | ({"https://other.com/"} if in_sites else set())
+
+
 def test_hrefs(spark):
     body = """<a href="/1">x</a><A title='a>b' HREF='/2&amp;3'>y</A><a href=/4>z</a><a name=q>n</a>
       <!-- <a href="/5"> --><script>"<a href='/6'>"</script><abbr href="/7"><a data-href="/8"><a

@@ -56,6 +56,17 @@ def _(x):
     )
 
 
+@check(
+    "f3_meeting",
+    f"""WITH {_CAND}, {LASTMOD}, {HEAD} SELECT m.url, CASE WHEN m.disposition = 'lastmod_skip' THEN m.disposition
+          ELSE h.disposition END AS disposition, s.content_hash AS known_hash, s.chunk_count AS known_count
+        FROM marked m JOIN headed h ON h.url = m.url LEFT JOIN fx_state s ON s.url = m.url""",
+)
+def _(x):
+    """Both tests and what decisions compare, in one meeting with the state."""
+    return W.meet(candidates(x), x.listed, x.fx_heads, x.state)
+
+
 @check(
     "f4_recrawl_due",
     f"""WITH {LINES}, {HINTS}, {REFRESH} SELECT s.url, coalesce(w.wait_s, -1) AS wait_s,

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from webtide.checks.fixtures import NOW_TS
 from webtide.checks.registry import check
+from webtide.checks.scalars import sql_domain, sql_part
 from webtide.operators import sync as S
 from webtide.plans.lineage import Scratch
 from webtide.plans.upkeep import delete_sources
@@ -58,6 +59,28 @@ def _(x):
     return S.chunks_to_add(x.fx_chunks_old, x.fx_chunks_new).select("source", "chunk_ix", "chunk_sha")
 
 
+@check(
+    "d2_chunk_changes",
+    """SELECT source, chunk_sha, CAST(sum(1 - v) AS BIGINT) AS n_old, CAST(sum(v) AS BIGINT) AS n_new FROM (
+         SELECT source, chunk_sha, 0 AS v FROM fx_chunks_old UNION ALL SELECT source, chunk_sha, 1 FROM fx_chunks_new)
+       GROUP BY ALL HAVING min(v) = max(v)""",
+)
+def _(x):
+    return S.chunk_changes(x.fx_chunks_old, x.fx_chunks_new)
+
+
+@check(
+    "d2_changed_rows",
+    f"""SELECT source, chunk_sha, chunk_ix FROM fx_chunks_new y WHERE NOT {_IN.format('fx_chunks_old')} UNION ALL
+        SELECT DISTINCT source, chunk_sha, CAST(-1 AS INT) FROM fx_chunks_old y WHERE NOT {_IN.format('fx_chunks_new')}""",
+)
+def _(x):
+    """What a session makes of the changes: rows that come, and the keys that go with place -1."""
+    changes, _ = Scratch(x.spark).save(S.chunk_changes(x.fx_chunks_old, x.fx_chunks_new), "changes")
+    coming = S.coming(x.fx_chunks_new, changes).select("source", "chunk_sha", F.col("chunk_ix").cast("int").alias("chunk_ix"))
+    return coming.unionByName(S.going(changes).withColumn("chunk_ix", F.lit(-1)))
+
+
 @check(
     "d2_chunk_diff_result",
     f"""SELECT source, chunk_ix, text FROM fx_chunks_old y WHERE {_IN.format('fx_chunks_new')} UNION ALL
@@ -145,6 +168,37 @@ def _(x):
     return out_rows
 
 
+# pages that no sitemap dates are missing; those of other sites than the scope's are not looked at
+_SITE_STALE = f"""stale AS (
+  SELECT url, miss_count FROM fx_state WHERE session_id <> 's1'
+    AND url NOT IN (SELECT loc FROM fx_listed WHERE lastmod_s IS NOT NULL)
+    AND {sql_domain(sql_part('url', 2))} IN (SELECT domain FROM fx_scope))"""
+
+
+def stale_in_sites(x):
+    keep = x.fx_listed.filter("lastmod_s IS NOT NULL").select(F.col("loc").alias("url"))
+    return S.stale_urls(x.state, "s1", keep, x.fx_scope)
+
+
+@check("d8_stale_in_sites", f"WITH {_SITE_STALE} SELECT url FROM stale")
+def _(x):
+    return stale_in_sites(x).select("url")
+
+
+@check(
+    "d9_cleanup_in_sites",
+    f"""WITH {_SITE_STALE}, acted AS (SELECT url, CASE WHEN miss_count + 1 >= 2 THEN 'remove' ELSE 'miss' END AS action FROM stale)
+        SELECT s.url, s.session_id, CAST(s.miss_count + CASE WHEN a.action = 'miss' THEN 1 ELSE 0 END AS INT) AS miss_count
+        FROM fx_state s LEFT JOIN acted a ON a.url = s.url WHERE coalesce(a.action, '') <> 'remove'""",
+)
+def _(x):
+    """The state after the cleanup: pages of sites that the session did not visit are left as they were."""
+    acted = S.stale_actions(stale_in_sites(x), 2).withColumns(
+        {"content_hash": F.lit(None).cast("string"), "chunk_count": F.lit(None).cast("int")}
+    )
+    return S.transition(x.state, acted, "s2", now()).select("url", "session_id", "miss_count")
+
+
 _SRC = """SELECT CASE WHEN doc_id % 5 = 0 THEN '' ELSE 'd' || CAST(doc_id * 2 AS STRING) END AS source FROM documents"""
 
 

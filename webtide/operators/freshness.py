@@ -17,24 +17,45 @@ def lastmod_filter(candidates: DataFrame, listed: DataFrame, state: DataFrame) -
     met = candidates.join(
         listed.select(F.col("loc").alias("url"), "lastmod"), "url", "left"
     ).join(_seen(state), "url", "left")
-    skip = F.col("lastmod") <= F.col("last_seen")
     return met.withColumn(
-        "disposition", F.when(skip, F.lit("lastmod_skip")).otherwise(F.lit("continue"))
+        "disposition", F.when(_listed_as_old(), F.lit("lastmod_skip")).otherwise(F.lit("continue"))
     ).drop("lastmod", "last_seen")
 
 
+def _listed_as_old() -> Column:
+    return F.col("lastmod") <= F.col("last_seen")
+
+
 def head_filter(candidates: DataFrame, heads: DataFrame, state: DataFrame) -> DataFrame:
     """Adds disposition 'update' or 'unchanged' from the captured headers.
 
     New URLs are updated, failing known ones left alone; a date decides where there is one, and without a
     header the page is fetched.
     """
-    met = candidates.join(_seen(state), "url", "left").join(
-        heads.select("url", F.lit(True).alias("_answered"), "status", "last_modified", "error"), "url", "left"
-    )
-    return met.withColumn("disposition", _head_rule()).drop(
-        "last_seen", "_answered", "status", "last_modified", "error"
+    met = candidates.join(_seen(state), "url", "left").join(_answers(heads), "url", "left")
+    return met.withColumn("disposition", _head_rule()).drop("last_seen", *_ANSWER)
+
+
+_ANSWER = ("_answered", "status", "last_modified", "error")
+
+
+def _answers(heads: DataFrame) -> DataFrame:
+    return heads.select("url", F.lit(True).alias("_answered"), *_ANSWER[1:])
+
+
+def meet(candidates: DataFrame, listed: DataFrame, heads: DataFrame, state: DataFrame) -> DataFrame:
+    """Adds disposition (lastmod_skip, unchanged or update), known_hash and known_count.
+
+    All rules that ask what is known, with one scan of the state: the sitemap's date first, then the header, and what
+    `sync.decision` compares later goes along. All four tables meet on `url`, so candidates are shuffled once.
+    """
+    known = state.select(
+        "url", "last_seen", F.col("content_hash").alias("known_hash"), F.col("chunk_count").alias("known_count")
     )
+    dates_of = listed.select(F.col("loc").alias("url"), "lastmod")
+    met = candidates.join(dates_of, "url", "left").join(_answers(heads), "url", "left").join(known, "url", "left")
+    rule = F.when(_listed_as_old(), F.lit("lastmod_skip")).otherwise(_head_rule())
+    return met.withColumn("disposition", rule).drop("lastmod", "last_seen", *_ANSWER)
 
 
 def _head_rule() -> Column:

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from webtide.functions import urls
+from webtide.plans.once import computed
+
 RETRIED = "retried"  # stands for the hash of a page that a retry brought in
 
 STATE_SCHEMA = (
@@ -20,16 +23,19 @@ def lookup(keys: DataFrame, state: DataFrame) -> DataFrame:
 
 def decide(pages: DataFrame, state: DataFrame) -> DataFrame:
     """Adds decision: full (unknown URL), skip (same hash and chunk count) or partial."""
-    known = state.select(
-        "url", F.col("content_hash").alias("_hash"), F.col("chunk_count").alias("_count")
-    )
-    same = (F.col("_hash") == F.col("content_hash")) & (F.col("_count") == F.col("chunk_count"))
-    decision = (
-        F.when(F.col("_hash").isNull(), F.lit("full"))
+    known = state.select("url", F.col("content_hash").alias("known_hash"), F.col("chunk_count").alias("known_count"))
+    met = pages.join(known, "url", "left")
+    return met.withColumn("decision", decision()).drop("known_hash", "known_count")
+
+
+def decision() -> Column:
+    """The rule of `decide` where a page carries what the state knows of it: known_hash and known_count."""
+    same = (F.col("known_hash") == F.col("content_hash")) & (F.col("known_count") == F.col("chunk_count"))
+    return (
+        F.when(F.col("known_hash").isNull(), F.lit("full"))
         .when(same, F.lit("skip"))
         .otherwise(F.lit("partial"))
     )
-    return pages.join(known, "url", "left").withColumn("decision", decision).drop("_hash", "_count")
 
 
 _CHUNK_KEY = ["source", "chunk_sha"]
@@ -49,6 +55,30 @@ def chunks_to_add(old: DataFrame, new: DataFrame) -> DataFrame:
     return new.join(old.select(*_CHUNK_KEY), _CHUNK_KEY, "left_anti")
 
 
+def chunk_changes(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(source, chunk_sha, n_old, n_new): texts that one version of a source has and the other has not, with their copies.
+
+    One aggregation over the keys of both sides answers what goes and what comes. Tasks count before the shuffle, so
+    a text stored very often is a few rows by then, and no text moves.
+    """
+    side = lambda df, is_new: df.select(*_CHUNK_KEY, F.lit(is_new).alias("_new"))
+    both = side(old, False).unionByName(side(new, True)).groupBy(*_CHUNK_KEY)
+    counted = both.agg(F.count_if(~F.col("_new")).alias("n_old"), F.count_if("_new").alias("n_new"))
+    return counted.filter((F.col("n_old") == 0) | (F.col("n_new") == 0))
+
+
+def coming(new: DataFrame, changes: DataFrame) -> DataFrame:
+    """Rows of `new` that `chunk_changes` calls new, every copy; with few changes no row of `new` is shuffled."""
+    wanted = changes.filter("n_old = 0").select(F.col("source").alias("_source"), F.col("chunk_sha").alias("_sha"))
+    same = F.col("source").eqNullSafe(F.col("_source")) & F.col("chunk_sha").eqNullSafe(F.col("_sha"))
+    return new.join(wanted, same, "left_semi")
+
+
+def going(changes: DataFrame) -> DataFrame:
+    """Keys of stored chunks that `chunk_changes` found in no new version, each once."""
+    return changes.filter("n_new = 0").select(*_CHUNK_KEY)
+
+
 def apply_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """Stored chunks after the difference: old ones still wanted plus genuinely new ones."""
     kept = old.join(new.select(*_CHUNK_KEY), _CHUNK_KEY, "left_semi")
@@ -118,9 +148,22 @@ def keep_set(*url_tables: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def stale_urls(state: DataFrame, session_id: str, keep: DataFrame) -> DataFrame:
-    """State rows of other sessions that are not in the keep set - of all sites."""
-    return state.filter(F.col("session_id") != session_id).join(keep.select("url"), "url", "left_anti")
+def site(url: Column) -> Column:
+    """The domain that a URL belongs to, as scopes name it."""
+    return urls.normalize_domain(urls.netloc(url))
+
+
+def stale_urls(state: DataFrame, session_id: str, keep: DataFrame, sites: DataFrame | None = None) -> DataFrame:
+    """State rows of other sessions that are not in the keep set: of all sites, or of those in `sites` (domain) only.
+
+    Without the sites, a session over some of them counts a miss for every page of the others. A URL without a
+    domain belongs to none.
+    """
+    others = state.filter(F.col("session_id") != session_id)
+    if sites is not None:
+        named = sites.select(F.col("domain").alias("_site")).filter(F.col("_site") != "").distinct()
+        others = computed(others, {"_site": site(F.col("url"))}).join(named, "_site", "left_semi").select(*state.columns)
+    return others.join(keep.select("url"), "url", "left_anti")
 
 
 def stale_actions(stale: DataFrame, remove_delay: int) -> DataFrame:

@@ -31,6 +31,7 @@ class Params:
     ignore_display_none: bool = False
     min_chunk_length: int = 50
     remove_delay: int = 0
+    stale_in_sites: bool = False
     retry_failed_urls: bool = True
     max_retry_attempts: int = 3
     batch_size: int = 50

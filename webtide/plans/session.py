@@ -76,13 +76,8 @@ def discover(web: Web, params: Params, rules: DataFrame, lines: DataFrame, scrat
 
 
 def mark(candidates: DataFrame, listed: DataFrame, web: Web, rules: DataFrame, params: Params) -> DataFrame:
-    """Adds disposition (lastmod_skip, unchanged or update) and allowed. Page bodies are not touched."""
-    first = freshness.lastmod_filter(candidates, listed, web.state)
-    tested = freshness.head_filter(first.withColumnRenamed("disposition", "_first"), web.heads, web.state)
-    skip = F.col("_first") == "lastmod_skip"
-    marked = tested.withColumn(
-        "disposition", F.when(skip, F.col("_first")).otherwise(F.col("disposition"))
-    ).drop("_first")
+    """Adds disposition (lastmod_skip, unchanged or update), what is known of a page, and allowed. Bodies are not touched."""
+    marked = freshness.meet(candidates, listed, web.heads, web.state)
     return robots.gate(marked, rules, params.follow_robots_txt)
 
 
@@ -97,6 +92,8 @@ def fetch(wanted: DataFrame, captures: DataFrame) -> DataFrame:
         "url",
         F.when(F.col("cached"), F.lit("ok")).otherwise(F.col("outcome")).alias("outcome"),
         F.when(~F.col("cached"), F.col("reason")).alias("reason"),
+        "known_hash",
+        "known_count",
         "content_type",
         "body",
     )
@@ -112,18 +109,17 @@ def not_captured(wanted: DataFrame, captures: DataFrame) -> DataFrame:
     )
 
 
-def ingest(fetched: DataFrame, state: DataFrame, params: Params) -> DataFrame:
+def ingest(fetched: DataFrame, params: Params) -> DataFrame:
     """Every fetched page with outcome and, where it is ok, hash, count and decision; chunks only if needed.
 
-    One pass: bodies are shuffled by `url` once, when they meet the candidates; cutting text moves nothing,
-    and the state is joined on the same key. Bodies and unchanged chunks are never written.
+    One pass: bodies are shuffled by `url` once, when they meet the candidates; cutting text moves nothing, and
+    pages carry what the state knows of them. Bodies and unchanged chunks are never written.
     """
     good = F.col("outcome") == "ok"
     texts = content.page_texts(fetched.withColumn("body", F.when(good, F.col("body"))), params)
-    decided = sync.decide(content.page_chunks(texts, params), state)
-    decision = F.when(good, F.col("decision"))
-    wanted = decision.isin("full", "partial")
-    return decided.withColumn("chunks", F.when(wanted, F.col("chunks"))).withColumn("decision", decision)
+    chunked = content.page_chunks(texts, params).withColumn("decision", F.when(good, sync.decision()))
+    wanted = F.col("decision").isin("full", "partial")
+    return chunked.withColumn("chunks", F.when(wanted, F.col("chunks"))).drop("known_hash", "known_count")
 
 
 def retry(failed: DataFrame, web: Web, params: Params) -> DataFrame:
@@ -166,8 +162,10 @@ def run_session(
         one = marked.agg(F.count(F.lit(1)).alias("n")).select(text.alias("message"))
         return _stop_early(web, one, sync.touch(web.state, touched, session_id, now))
 
-    wanted = marked.filter(F.col("disposition") == "update").select("url", "cached", "allowed")
-    tested, _ = scratch.save(ingest(fetch(wanted, web.captures), web.state, params), "pages")
+    wanted = marked.filter(F.col("disposition") == "update").select(
+        "url", "cached", "allowed", "known_hash", "known_count"
+    )
+    tested, _ = scratch.save(ingest(fetch(wanted, web.captures), params), "pages")
     pages = tested.filter(F.col("outcome") == "ok")
     lost = not_captured(wanted, web.captures)
     failed = (
@@ -187,24 +185,23 @@ def run_session(
     partial = with_decision("partial")
     old = web.chunks.join(partial.select(F.col("url").alias("source")), "source", "left_semi")
     new = content.chunk_rows(partial, session_id)
-    differing, _ = scratch.save(sync.chunks_to_add(old, new), "differing")
+    changes, _ = scratch.save(sync.chunk_changes(old, new), "changes")
     back = _recovered_pages(recovered, web, params)
     added = (
         content.chunk_rows(with_decision("full"), session_id)
-        .unionByName(differing)
+        .unionByName(sync.coming(new, changes))
         .unionByName(content.chunk_rows(back, session_id))
     )
 
     keep = sync.keep_set(marked, recovered, still)
-    stale, _ = scratch.save(
-        sync.stale_actions(sync.stale_urls(web.state, session_id, keep), params.remove_delay), "stale"
-    )
+    sites = web.seeds.select(sync.site(F.col("url")).alias("domain")) if params.stale_in_sites else None
+    missing = sync.stale_urls(web.state, session_id, keep, sites)
+    stale, _ = scratch.save(sync.stale_actions(missing, params.remove_delay), "stale")
     gone = stale.filter(F.col("action") == "remove").select(F.col("url").alias("source"))
     dropped_sources = gone.unionByName(recovered.select(F.col("url").alias("source"))).distinct()
     key = ["source", "chunk_sha"]
     removed = (
-        sync.chunks_to_delete(old, new)
-        .select(*key)
+        sync.going(changes)
         .unionByName(web.chunks.join(dropped_sources, "source", "left_semi").select(*key))
         .distinct()
     )
@@ -222,7 +219,7 @@ def run_session(
         )),
     )
     state = sync.transition(web.state, actions, session_id, now)
-    summary = _summary(pages, differing, tried, stale, minutes)
+    summary = _summary(pages, changes, tried, stale, minutes)
     return Session(state, added, removed, summary)
 
 
@@ -247,10 +244,10 @@ def _recovered_pages(recovered: DataFrame, web: Web, params: Params) -> DataFram
 
 
 def _summary(
-    pages: DataFrame, differing: DataFrame, tried: DataFrame, stale: DataFrame, minutes: str
+    pages: DataFrame, changes: DataFrame, tried: DataFrame, stale: DataFrame, minutes: str
 ) -> DataFrame:
     """One row of counts and text. A partial update that adds no chunk counts as skipped."""
-    changed = differing.select(F.col("source").alias("url")).distinct().withColumn("_new", F.lit(True))
+    changed = changes.filter("n_old = 0").select(F.col("source").alias("url")).distinct().withColumn("_new", F.lit(True))
     done = pages.select("url", "decision").join(changed, "url", "left")
     kind = F.when(
         (F.col("decision") == "full") | F.col("_new").isNotNull(), F.lit("ingested")

@@ -31,9 +31,13 @@ def delete_sources(store: CorpusStore, sources: DataFrame, session_id: str = "")
     return counts
 
 
-def complete_session(store: CorpusStore, session_id: str, params: Params, now: Column) -> DataFrame:
+def complete_session(
+    store: CorpusStore, session_id: str, params: Params, now: Column, sites: DataFrame | None = None
+) -> DataFrame:
     """(url, action) of pages that no micro-batch of the session has met: a miss, or removal when it is due.
 
+    With `sites` (domain) only pages of these are looked at.
+
     To be called once all sources of a streamed session have been read; a second call changes nothing. State and
     chunks of removed pages go in one published version.
     """
@@ -43,7 +47,7 @@ def complete_session(store: CorpusStore, session_id: str, params: Params, now: C
     if store.has_session(key):
         return state.select("url", F.lit("miss").alias("action")).limit(0)
     # what the batches met carries the session's id already
-    missing = sync.stale_urls(state, session_id, state.limit(0))
+    missing = sync.stale_urls(state, session_id, state.limit(0), sites)
     actions, _ = scratch.save(sync.stale_actions(missing, params.remove_delay), "actions")
     gone = actions.filter(F.col("action") == "remove").select(F.col("url").alias("source"))
     missed = sync.no_content(actions.filter(F.col("action") == "miss"), "miss")

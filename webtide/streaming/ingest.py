@@ -34,16 +34,18 @@ def ingest_batch(
     known, _ = scratch.save(store.read_state(made.select("url")), "known")
     pages = sync.decide(made, known)
 
-    new = content.chunk_rows(pages.filter(F.col("decision") != "skip"), session_id)
-    sources = pages.filter(F.col("decision") == "partial").select(F.col("url").alias("source"))
-    old = store.read_chunks(sources)
+    partial = pages.filter(F.col("decision") == "partial")
+    new = content.chunk_rows(partial, session_id)
+    old = store.read_chunks(partial.select(F.col("url").alias("source")))
+    changes, _ = scratch.save(sync.chunk_changes(old, new), "changes")
+    whole = content.chunk_rows(pages.filter(F.col("decision") == "full"), session_id)
     stored = pages.filter(F.col("decision") != "skip").withColumn("action", F.lit("store"))
     touched = sync.no_content(pages.filter(F.col("decision") == "skip"), "touch")
     actions = stored.select("url", "content_hash", "chunk_count", "action").unionByName(touched)
     store.publish(
         sync.transition(known, actions, session_id, now),
-        sync.chunks_to_add(old, new),
-        sync.chunks_to_delete(old, new).select("source", "chunk_sha").distinct(),
+        whole.unionByName(sync.coming(new, changes)),
+        sync.going(changes),
         session_id=batch_key,
         whole_state=False,
     )
