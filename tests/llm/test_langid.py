@@ -99,8 +99,8 @@ def test_label_without_words(spark, docs, model):
     got = langid.learn(more, SMALL)
     assert got.languages == model.languages and np.array_equal(got.weights, model.weights) and model.weights.any()
     texts, labels = langid.sample(docs, SMALL)
-    got = langid.fit([*texts, "12"], [*labels, "zxx"], SMALL)
-    assert got.languages == model.languages and np.array_equal(got.weights, model.weights)
+    plain, got = langid.fit(texts, labels, SMALL), langid.fit([*texts, "12"], [*labels, "zxx"], SMALL)
+    assert got.languages == plain.languages and np.array_equal(got.weights, plain.weights)
 
 
 def test_long_labelled_texts(spark):
@@ -113,3 +113,64 @@ def test_long_labelled_texts(spark):
     assert all(x.startswith("kuru") for x, y in zip(texts, labels) if y == "xa")
     got = langid.predict(rows, langid.fit(texts, labels, settings)).collect()
     assert all(r.lang_pred == ("xa" if r.doc_id < 100 else "xb") for r in got)
+
+
+def test_pieces_hold_every_byte():
+    """Long words are cut between characters; whatever is in them counts, also behind the first bytes."""
+    import pyarrow as pa
+    from webtide.llm.words import LETTERS, split
+
+    texts = ["", "short words", "長い文章は空白なしで書かれています" * 40, "x" * 1000, "й" * 13 + " й", "ภาษาไทยไม่มีช่องว่าง" * 9, "a" * 24, "𝒳" * 31]
+    w = langid.pieces(split(pa.array(texts), LETTERS))
+    assert len(w.start) == w.at[-1] and (w.end - w.start).max() <= langid._SPAN and (w.end > w.start).all()
+    for i, text in enumerate(texts):
+        got = [w.bytes[a:b].tobytes().decode() for a, b in zip(w.start[w.at[i] : w.at[i + 1]], w.end[w.at[i] : w.at[i + 1]])]
+        assert "".join(got) == text.lower().replace(" ", "")
+        assert len(text.encode()) > 24 or got == text.split()
+
+
+def test_unspaced_scripts(spark):
+    """Texts that differ only behind a long common beginning without spaces are told apart."""
+    same = "語" * 40
+    rows = [(i, same + ("山川" if i % 2 else "かな") * 30, "xa" if i % 2 else "xb") for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = langid.predict(docs, langid.learn(docs, langid.Training(per_language=30, steps=40))).collect()
+    assert all(r.lang_pred == ("xa" if r.doc_id % 2 else "xb") for r in got)
+
+
+def test_hot_id_and_dirty_labels(spark, docs):
+    """20,000 rows under one doc_id, alike or not, and 10,000 labels: the sample stays bounded and no language is lost."""
+    clean = docs.select("doc_id", "text", "lang")
+    hot = next(i for i in range(10**7, 10**7 + 9) if zlib.crc32(str(i).encode()) % 4 != 2)
+    many = clean.filter("lang = 'en'").limit(20).selectExpr(f"{hot}L AS doc_id", "explode(transform(sequence(1, 1000), i -> concat(text, ' ', i))) AS text", "lang")
+    alike = spark.range(20_000).selectExpr(f"{hot}L AS doc_id", "'the very same text' AS text", "'fr' AS lang")
+    dirty = spark.range(10_000).selectExpr("id + 20000000 AS doc_id", "'kuru sani' AS text", "concat('l', id) AS lang")
+    settings = langid.Training(languages=12, per_language=60, steps=60)
+    texts, labels = langid.sample(clean.unionByName(many).unionByName(alike).unionByName(dirty), settings)
+    known = {r.lang for r in clean.filter("lang IS NOT NULL").select("lang").distinct().collect()}
+    assert len(set(labels)) == 12 and known <= set(labels)
+    assert labels.count("en") == 60 and labels.count("fr") == 60 and texts.count("the very same text") <= 1
+
+
+def test_lexicons_count_all_documents(spark):
+    """Equal to plain counts over all documents that may be learned from, ties by hash, and held-out ones have no say."""
+    import pyarrow as pa
+    from webtide.llm.words import LETTERS, split
+
+    rng = np.random.default_rng(5)
+    names = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    rows = [(i, " ".join(rng.choice(names, 12)), ["xa", "xb", None][i % 3]) for i in range(200)] + [(900, None, "xa"), (901, "12 !", "xa"), (None, "wzz", "xa")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    hashed = dict(zip(names, split(pa.array(names), LETTERS).hashes().tolist()))
+    for size in (1, 7, 1000):
+        got = langid.lexicons(docs, ["xa", "xb"], size)
+        for lang in ("xa", "xb"):
+            n = {}
+            for i, text, x in rows:
+                if x == lang and text and i is not None and zlib.crc32(str(i).encode()) % 4 != 2:
+                    for word in text.split():
+                        if word in hashed:
+                            n[hashed[word]] = n.get(hashed[word], 0) + 1
+            signed = lambda v: v - (1 << 64) if v >> 63 else v
+            assert set(got[lang]) == set(sorted(n, key=lambda v: (-n[v], signed(v)))[:size])
+    assert langid.lexicons(docs.limit(0), ["xa"], 5) == {"xa": []} and langid.lexicons(docs, [], 5) == {}

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from webtide.llm.words import LETTERS, Words, mix, row_key, slices, split
@@ -24,11 +24,13 @@ UNKNOWN = "und"
 class Training:
     """Bounds of the sample and of the fit.
 
-    per_language: documents of each language in the sample, taken by hash of doc_id; chars: of longer ones so many
-    characters are learned from, from the first letter on, so the sample has a fixed size. lexicon: most frequent words
-    of each language.
+    languages: the labels with the most documents, ties by name; rarer ones are not learned. per_language: documents
+    of each language in the sample, taken by hash of doc_id and text; chars: of longer ones so many characters are
+    learned from, from the first letter on, so the sample has a fixed size. lexicon: most frequent words of each
+    language, counted over all documents that may be learned from.
     """
 
+    languages: int = 200
     per_language: int = 150
     chars: int = 20_000
     lexicon: int = 400
@@ -41,8 +43,8 @@ class Training:
 
 _BITS = 16
 _NONE = 1 << _BITS  # row of zeros
-#: Bytes of a word that n-grams are taken from; affixes and the lexicon see all of it.
-_SPAN = 16
+#: Longest word in bytes. What is longer, as sentences of scripts without spaces are, is read in pieces.
+_SPAN = 24
 _BLOCK = 32
 
 
@@ -168,8 +170,23 @@ def posteriors(model: Model, scores: np.ndarray, at: np.ndarray) -> np.ndarray:
     return out
 
 
+def pieces(w: Words) -> Words:
+    """The same bytes in words of at most `_SPAN`: longer ones are cut between characters, evenly but for those."""
+    step = _SPAN - 3  # a cut moves back by up to three bytes
+    size = w.end - w.start
+    n = np.where(size > _SPAN, -(-size // step), 1)
+    ends = np.cumsum(n)
+    word = np.repeat(np.arange(len(n)), n)
+    start = w.start[word] + (np.arange(len(word)) - np.repeat(ends - n, n)) * step
+    for _ in range(3):
+        start = start - ((w.bytes[start] & 0xC0) == 0x80)
+    end = np.append(start[1:], 0)[: len(start)]
+    end[ends - 1] = w.end
+    return Words(w.bytes, start, end, np.concatenate([[0], ends])[w.at])
+
+
 def letters_only(w: Words) -> Words:
-    """Words that have a letter: those without an ASCII one are looked at as text."""
+    """Words that have a letter, in pieces: those without an ASCII letter are looked at as text."""
     ascii_before = np.concatenate([[0], np.cumsum(w.bytes < 128)])
     plain = ascii_before[w.end] > ascii_before[w.start]
     keep = plain.copy()
@@ -177,30 +194,39 @@ def letters_only(w: Words) -> Words:
         word = w.bytes[w.start[i] : w.end[i]].tobytes().decode("utf-8", "replace")
         keep[i] = any(c.isalpha() for c in word)
     before = np.concatenate([[0], np.cumsum(keep)])
-    return Words(w.bytes, w.start[keep], w.end[keep], before[w.at])
+    return pieces(Words(w.bytes, w.start[keep], w.end[keep], before[w.at]))
 
 
-def fit(texts: list[str], labels: list[str], settings: Training = Training()) -> Model:
+def fit(
+    texts: list[str], labels: list[str], settings: Training = Training(), frequent: dict[str, list[int]] | None = None
+) -> Model:
     """Model from labelled texts: averaged gradients of the likelihood of code-switched sequences, AdaGrad steps.
 
-    Texts without words teach nothing; a label that has no others is not among the languages.
+    Texts without words teach nothing; a label that has no others is not among the languages. `frequent` has the hashes
+    of each language's lexicon; without it the most frequent words of these texts are taken.
     """
     rng = np.random.default_rng(settings.seed)
     w = letters_only(split(pa.array(texts, pa.string()), LETTERS))
     worded = np.flatnonzero(np.diff(w.at) > 0).tolist()
     if len(worded) < len(texts):
-        return fit([texts[i] for i in worded], [labels[i] for i in worded], settings)
+        return fit([texts[i] for i in worded], [labels[i] for i in worded], settings, frequent)
     languages = sorted(set(labels))
     k = len(languages)
     label = np.array([languages.index(x) for x in labels], np.int64)
     h = w.hashes()
     of = label[np.repeat(np.arange(len(texts)), np.diff(w.at))] if len(texts) else np.zeros(0, np.int64)
 
+    # a word's mark stands for the set of languages whose lexicons hold it
+    one = mix(np.arange(1, k + 1, dtype=np.uint64)).tolist()
     held: dict[int, int] = {}
     for i in range(k):
-        word, n = np.unique(h[of == i], return_counts=True)
-        for x in word[np.argsort(-n, kind="stable")[: settings.lexicon]].tolist():
-            held[x] = held.get(x, 0) | (1 << i)
+        if frequent is None:
+            word, n = np.unique(h[of == i], return_counts=True)
+            most = word[np.argsort(-n, kind="stable")[: settings.lexicon]].tolist()
+        else:
+            most = frequent.get(languages[i], [])
+        for x in most:
+            held[x] = (held.get(x, 0) + one[i]) % (1 << 64)
     words = np.array(sorted(held), np.uint64)
     lexicon = (words, np.array([held[x] for x in words.tolist()], np.uint64))
     model = Model(languages, np.zeros((_NONE + 1, k), np.float32), np.zeros((k, k)), np.zeros(k), lexicon)
@@ -295,26 +321,34 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def _teachers(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, lang) of documents that may be learned from: labelled, with letters, not held out."""
+    usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
+    return docs.filter(usable & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
+
+
 def sample(docs: DataFrame, settings: Training) -> tuple[list[str], list[str]]:
-    """Texts and labels to learn from: labelled, with letters, not held out, at most `per_language` of a language.
+    """Texts and labels to learn from, at most `per_language` of each of the `languages` with the most documents.
 
-    Counts per language come first; a hash threshold then keeps a few times the wanted number, and of these the
-    least hashes stay. So no window or collection grows with the corpus.
+    Documents are counted per language by doc_id and text, so that a row repeated very often is one; a hash threshold
+    then keeps a few times the wanted number, and of these the least hashes stay. So no window or collection grows with
+    the corpus, whatever ids repeat and however many labels there are.
     """
-    usable = F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
-    rows = docs.filter(usable & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
-    turn = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = _teachers(docs)
+    turn = F.xxhash64("doc_id", "text")
+    per = rows.groupBy("lang").agg(F.approx_count_distinct(turn).alias("n"))
+    counts = {r["lang"]: r["n"] for r in per.orderBy(F.desc("n"), "lang").limit(settings.languages).collect()}
     if not counts:
         return [], []
-    wide = {x: min(1 << 30, (3 * settings.per_language << 30) // n + 1) for x, n in counts.items()}
+    low = -(1 << 63)
+    wide = {x: min((1 << 63) - 1, low + (3 * settings.per_language << 64) // max(n, 1)) for x, n in counts.items()}
     limit = F.create_map(*[F.lit(x) for pair in wide.items() for x in pair])
-    few = rows.withColumn("turn", turn).filter(F.col("turn") < F.element_at(limit, F.col("lang")))
+    few = rows.withColumn("turn", turn).filter(F.col("lang").isin(*counts) & (F.col("turn") <= F.element_at(limit, F.col("lang"))))
     passage = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{settings.chars - 1}}}", 0)
-    short = F.when(F.length("text") <= settings.chars, F.col("text")).otherwise(passage).alias("text")
-    got = few.select("doc_id", short, "lang", "turn").orderBy("lang", "turn", "doc_id", "text").collect()
+    short = F.when(F.length("text") <= settings.chars, F.col("text")).otherwise(passage)
+    once = few.groupBy("lang", "turn").agg(F.min(short).alias("text"))
     texts, labels, taken = [], [], dict.fromkeys(counts, 0)
-    for r in got:
+    for r in once.orderBy("lang", "turn").collect():
         if taken[r["lang"]] < settings.per_language:
             taken[r["lang"]] += 1
             texts.append(r["text"])
@@ -322,8 +356,44 @@ def sample(docs: DataFrame, settings: Training) -> tuple[list[str], list[str]]:
     return texts, labels
 
 
+def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, word, n) of the words in each slice of texts."""
+    for batch in batches:
+        for lo, hi in slices(batch.column("text")):
+            w = letters_only(split(batch.column("text")[lo:hi], LETTERS))
+            labels = batch.column("lang")[lo:hi].dictionary_encode()
+            of = np.repeat(labels.indices.to_numpy(), np.diff(w.at))
+            h = w.hashes()
+            # by language, then by word
+            order = np.lexsort((h, of))
+            h, of = h[order], of[order]
+            first = np.flatnonzero(np.append(True, (h[1:] != h[:-1]) | (of[1:] != of[:-1]))) if len(h) else np.zeros(0, np.int64)
+            n = np.diff(np.append(first, len(h)))
+            names = labels.dictionary.take(pa.array(of[first]))
+            columns = [names, pa.array(h[first].view(np.int64)), pa.array(n.astype(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "word", "n"])
+
+
+def lexicons(docs: DataFrame, languages: list[str], size: int) -> dict[str, list[int]]:
+    """Hashes of the `size` most frequent words of each language over all documents that may be learned from, ties by hash.
+
+    Words are counted per slice and per task before the shuffle, and each task ranks its own before `size` words per
+    language meet.
+    """
+    if not languages or size < 1:
+        return {}
+    rows = _teachers(docs).filter(F.col("lang").isin(*languages)).select("lang", "text")
+    counted = rows.mapInArrow(_word_counts, "lang STRING, word BIGINT, n BIGINT").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
+    out: dict[str, list[int]] = {x: [] for x in languages}
+    for r in counted.withColumn("place", place).filter(F.col("place") <= size).collect():
+        out[r["lang"]].append(r["word"] % (1 << 64))
+    return out
+
+
 def learn(docs: DataFrame, settings: Training = Training()) -> Model:
-    return fit(*sample(docs, settings), settings)
+    texts, labels = sample(docs, settings)
+    return fit(texts, labels, settings, lexicons(docs, sorted(set(labels)), settings.lexicon))
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
