@@ -45,6 +45,28 @@ def _mod97(match: Column) -> Column:
     return F.aggregate(F.split(turned, ""), F.lit(0), lambda acc, c: F.when(c == "", acc).otherwise(step(acc, c))) == 1
 
 
+#: How keys of some services begin, as these document them.
+_PREFIXED = (
+    r"(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|github_pat_[A-Za-z0-9_]{22,}+|xox[abprs]-[A-Za-z0-9-]{10,}+"
+    r"|AIza[A-Za-z0-9_-]{35}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}+|glpat-[A-Za-z0-9_-]{20}|hf_[A-Za-z0-9]{34})"
+)
+
+
+def _distinct(match: Column, least: int) -> Column:
+    return F.size(F.array_distinct(F.split(match, ""))) > least  # one part is empty
+
+
+def _random(match: Column) -> Column:
+    """Looks drawn by chance: many different signs, digits among them, and hex or letters of both cases."""
+    shape = match.rlike(r"\A(?:[0-9a-f]++|[0-9A-F]++)\z") | (match.rlike("[a-z]") & match.rlike("[A-Z]"))
+    return shape & match.rlike("[A-Za-z]") & (F.length(_digits(match)) >= 3) & _distinct(match, 9) & ~match.rlike(_PREFIXED)
+
+
+def _ssn(match: Column) -> Column:
+    """Numbers that can have been issued: no area 000, 666 or from 900 on, no group 00, no serial 0000."""
+    return ~match.rlike(r"\A(?:000|666|9)|-00-|0000\z")
+
+
 @dataclass(frozen=True)
 class Kind:
     """score: of a confirmed span; `words` nearby add 0.4. Spans under the threshold are dropped, but not base ones."""
@@ -67,9 +89,14 @@ KINDS = (
          ("phone", "tel", "call", "mobile"), needs="+"),
     Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", _mod97, 0.8,
          ("iban", "account", "bank"), base=False),
-    # nothing confirms this one but the words around it
-    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", None, 0.2,
+    # these two count only with words around them
+    Kind("ssn", r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", _ssn, 0.2,
          ("ssn", "social security"), base=False, needs="-"),
+    Kind("secret", r"(?<![A-Za-z0-9_+/-])(?=[A-Za-z_+/-]*+[0-9])[A-Za-z0-9_+/-]{20,}+", _random, 0.2,
+         ("[a-z0-9_-]*(?:secret|token|password|passwd|credential)", "[a-z0-9_-]*api[ _-]?key", "[a-z0-9]*(?:access|private|auth)[ _-]?key", "bearer"),
+         base=False),
+    Kind("key", r"(?<![A-Za-z0-9_+/-])" + _PREFIXED + r"(?![A-Za-z0-9_])", lambda m: _distinct(m, 9), 0.7,
+         ("key", "secret", "token"), base=False),
 )
 THRESHOLD = 0.5
 
@@ -150,7 +177,7 @@ def listed(spans: Column) -> Column:
 
 
 def digest(found: DataFrame) -> DataFrame:
-    """Counts of base kinds, checksum of base spans, and all spans as text."""
+    """Counts of base kinds and of all spans, checksum of base spans, and all spans and their scores as text."""
     count = lambda name: F.size(F.filter("spans", lambda s: s["kind"] == name)).cast("bigint")
     counts = {f"n_{k.name}": count(k.name) for k in KINDS if k.base}
     base = listed(F.filter("spans", lambda s: s["base"]))
@@ -159,4 +186,6 @@ def digest(found: DataFrame) -> DataFrame:
         *[c.alias(n) for n, c in counts.items()],
         F.sha2(base, 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.array_join(F.transform("spans", lambda s: F.format_number(s["score"], 1)), ",").alias("scores"),
     )
