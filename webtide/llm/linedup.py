@@ -20,11 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from webtide.llm.words import row_key, slices
 from webtide.plans.lineage import Scratch
 from webtide.plans.order import with_global_index
 
 MIN_WORDS = 50
-_LINES = "key BIGINT, doc_id BIGINT, seq INT, line INT, id BIGINT, ahead INT, behind INT"
+_LINES = "key BINARY, doc_id BIGINT, seq INT, line INT, id BIGINT, ahead INT, behind INT"
 
 
 def _cut(min_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -46,8 +47,8 @@ def _cut(min_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(0, len(batch), 200):
-                part = batch.slice(i, 200)
+            for lo, hi in slices(batch.column("text")):
+                part = batch.slice(lo, hi - lo)
                 found = [one(t or "") for t in part.column("text").to_pylist()]
                 size = np.array([len(f[0]) for f in found], np.int64)
                 repeated = lambda c: part.column(c).take(pa.array(np.repeat(np.arange(len(part)), size)))
@@ -58,11 +59,6 @@ def _cut(min_words: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
     return run
 
 
-def row_key():
-    """Rows alike in doc_id and text are one document."""
-    return F.xxhash64(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-
-
 def _next_ranks(ranks: DataFrame, step: int, scratch: Scratch, name: str) -> tuple[DataFrame, int]:
     """(key, seq, rank) by twice as many lines, of places whose rank somebody shares."""
     further = ranks.select("key", (F.col("seq") - step).alias("seq"), F.col("rank").alias("then"))
@@ -120,8 +116,8 @@ def deletions(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     n_lines: lines with words. deleted: numbers of deleted lines, counted from 0 over all lines. runs: the maximal
     runs they form (first, last), blank lines between them included. Order is by doc_id (null last), then by a hash
     of doc_id and text, then by place; a run may copy an earlier one of its own document. Lines are compared
-    without white space at their ends. Null texts have no lines; rows alike in doc_id and text get the same result and
-    do not copy each other; an empty table gives no rows.
+    without white space at their ends. Null texts have no lines; rows alike in doc_id and text are one document: they get the
+    same result and do not copy each other; an empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
     lines, later = repeated_windows(docs, min_words, scratch)
