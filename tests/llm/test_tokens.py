@@ -117,3 +117,49 @@ def test_files_are_pruned(spark, tmp_path):
     firsts = [orc.ORCFile(f).read(columns=["doc_id"])[0][0].as_py() for f in files if orc.ORCFile(f).nrows]
     assert firsts == sorted(firsts)
     assert orc.ORCFile(files[0]).row_index_stride == 1000
+
+
+_ODD_LETTERS = "abZé÷×ÿȿɀß 09²\n\n\n\t\r\x0b\x1c\x85\xa0\u1680\u2003\u2028\u3000'’s“.,!|_\x00\x7f漢ж́\U0001f600"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.text(alphabet=st.sampled_from(_ODD_LETTERS + "    "), max_size=30)), min_size=1, max_size=6))
+def test_many_texts_at_once_give_whole_ids(texts):
+    import pyarrow as pa
+
+    with open(PATH, "rb") as f:
+        encoder = _shared(f.read())
+    # a slice of a longer array, as batches are cut
+    got = encoder.lists(pa.array(["before it", *texts, "after it"])[1:-1], [2])
+    assert [np.array(x, "<u4").tobytes() for x in got.to_pylist()] == [_ids(_model(), t) + np.array([2], "<u4").tobytes() for t in texts]
+
+
+def test_many_texts_with_a_small_memory(whole, monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokens, "_CACHE", 5)
+    with open(PATH, "rb") as f:
+        small = tokens.Encoder(f.read())
+    texts = [f"word{i} and don't\n\nsay <|endoftext|>" if i % 7 == 0 else f"word{i} été |a{i % 3}  b" if i % 5 == 0 else f"n{i}, so" for i in range(60)]
+    for some in (texts[:30], texts[20:], texts[:1], [""], [None, ""], texts):
+        assert [np.array(x, "<u4").tobytes() for x in small.lists(pa.array(some, pa.string()), []).to_pylist()] == [_ids(whole, t) for t in some]
+        assert len(small._after_space) <= 5
+
+
+def test_new_words_go_through_the_model_together(whole):
+    """One call of the model for each new word took most of the time."""
+    with open(PATH, "rb") as f:
+        encoder = tokens.Encoder(f.read())
+    model, calls = encoder._model, []
+    encoder._model = lambda form: calls.append(form) or model(form)
+    text = " ".join(f"qua{a}{b}{c}t" for a in "aeiouy" for b in "bcdfgh" for c in "lmnrs")
+    assert encoder(text) == _ids(whole, text) and len(calls) <= 10
+    assert encoder(text) == _ids(whole, text) and len(calls) <= 10
+
+
+def test_a_tokenizer_without_a_byte_to_put_between(whole):
+    with open(PATH, "rb") as f:
+        encoder = tokens.Encoder(f.read())
+    encoder._together = 1
+    text = "one word at a time, été and don't\n\nnew“ones”"
+    assert encoder(text) == _ids(whole, text)

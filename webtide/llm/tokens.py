@@ -9,7 +9,6 @@ document starts at base + local_start, so no running total ever crosses a task.
 from __future__ import annotations
 
 import os
-from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -32,53 +31,104 @@ _ARROW = pa.schema(
         ("ids", pa.list_(pa.int32())),
     ]
 )
-#: Bytes of text encoded at a time; half the number of pieces that a worker remembers.
-_SLICE, _CACHE = 4 << 20, 400_000
-_STOPS = (".", ",", "!", "?", ";", ":")
-
+#: Bytes of text encoded at a time; words that a worker remembers.
+_SLICE, _CACHE = 4 << 20, 1 << 18
+#: Words that go through the model together.
+_TOGETHER = 32
+_IDS = pa.list_(pa.int32())
+#: Kinds of bytes: the edge of a text, blanks, ends of lines, letters, digits, marks, and all else.
+_EDGE, _BLANK, _LINE, _LETTER, _DIGIT, _MARK, _ELSE = range(7)
+_KIND = np.full(256, _ELSE, np.uint8)
+_KIND[33:127] = _MARK
+_KIND[ord("'")] = _ELSE
+_KIND[ord(" ")], _KIND[ord("\n")], _KIND[ord("0") : ord("9") + 1] = _BLANK, _LINE, _DIGIT
+_KIND[ord("A") : ord("Z") + 1] = _KIND[ord("a") : ord("z") + 1] = _LETTER
+# U+00C0 to U+023F in UTF-8; two of them are no letters. A character that begins with another byte is of kind _ELSE
+_KIND[0x80:0xC0] = _KIND[0xC3:0xC9] = _LETTER
+_NO_LETTERS = (0x97, 0xB7)
+_LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u023f"
+#: One word of the pre-tokenizer, if nothing of kind _ELSE is in it.
+_WORD = rf"^(?: ?(?:[{_LATIN}]+|[0-9]+|[!-&(-/:-@\[-`{{-~]+)|\n+)$"
+#: A space before white space (Unicode's or str.isspace's) or at the end.
+_ODD = (
+    r"^ (?:[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
+)
 
-class _Odd(Exception):
-    """A space before white space or at the end: the text has to be encoded in one go."""
 
+def _lists(ends: np.ndarray, values: np.ndarray | pa.Array) -> pa.ListArray:
+    """Lists that lie one after another in `values` and stop at `ends`."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values, pa.int32()))
 
-class _Pieces(dict):
-    """Ids of " " + piece, worked out when first asked for. Holds the pieces of late and, in `old`, of before."""
 
-    def __init__(self, ids_of: Callable[[str], bytes]) -> None:
-        super().__init__()
-        self.ids_of, self.old = ids_of, {}
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
 
-    def __missing__(self, piece: str) -> bytes:
-        if not piece or piece[0].isspace():
-            raise _Odd
-        ids = self.old.pop(piece, None)
-        if ids is None:
-            ids = self.ids_of(piece)
-        if len(self) >= _CACHE:
-            self.old = dict(self)
-            self.clear()
-        self[piece] = ids
-        return ids
 
+def _parts(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where strings (large ones, none null) begin and end in their bytes, and these."""
+    _, offsets, data = strings.buffers()
+    edge = np.frombuffer(offsets, np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    raw = np.frombuffer(data, np.uint8)[edge[0] : edge[-1]] if data is not None else np.zeros(0, np.uint8)
+    return edge - edge[0], raw
 
-class _Mapped(dict):
-    """The byte-level form of a character, asked of the tokenizer once."""
 
-    def __init__(self, cut: Callable) -> None:
-        super().__init__()
-        self.cut = cut
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of all texts one after another, each with the space in front of it, and where each text's words begin.
 
-    def __missing__(self, char: str) -> str:
-        self[char] = form = "".join(word for word, _ in self.cut(char))
-        return form
+    Texts are cut at spaces, and pieces without a character of kind _ELSE as the pre-tokenizer cuts: where the kind
+    changes, and in front of the last of several ends of lines that something follows.
+    """
+    edge, raw = _parts(texts)
+    kind = _KIND[raw]
+    odd = np.flatnonzero(raw[:-1] == 0xC3)
+    kind[odd[np.isin(raw[odd + 1], _NO_LETTERS)]] = _ELSE
+    before, after = np.full_like(kind, _EDGE), np.full_like(kind, _EDGE)
+    before[1:], after[:-1] = kind[:-1], kind[1:]
+    before[edge[:-1][edge[:-1] < len(raw)]] = _EDGE
+    after[edge[1:][edge[1:] > 0] - 1] = _EDGE
+    starts = (kind == _BLANK) | ((kind != before) & (before != _BLANK)) | ((kind == _LINE) & (after >= _LETTER))
+    start, others = np.flatnonzero(starts), np.flatnonzero(kind == _ELSE)
+    if len(others):
+        first = (kind[start] == _BLANK) | (before[start] == _EDGE)
+        uncut = np.zeros(np.count_nonzero(first), bool)
+        uncut[np.searchsorted(start[first], others, "right") - 1] = True
+        start = start[first | ~uncut[np.cumsum(first) - 1]]
+    ends = pa.py_buffer(np.append(start, len(raw)).astype(np.int64))
+    return pa.LargeStringArray.from_buffers(len(start), ends, pa.py_buffer(raw)), np.searchsorted(start, edge)
+
+
+class _Known:
+    """Ids of strings, worked out when first asked for. Of more than `_CACHE` some of those asked for last stay."""
+
+    def __init__(self, ids_of: Callable[[pa.Array], pa.ListArray]) -> None:
+        self.ids_of, self.keys, self.ids = ids_of, pa.array([], pa.large_string()), pa.array([], _IDS)
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def of(self, asked: pa.Array) -> pa.ListArray:
+        """Ids of each of the strings, which are distinct."""
+        at = pc.index_in(asked, value_set=self.keys)
+        new = asked.filter(at.is_null())
+        ids = pa.concat_arrays([self.ids, self.ids_of(new)]) if len(new) else self.ids
+        place = at.fill_null(-1).to_numpy().copy()
+        place[place < 0] = len(self.keys) + np.arange(len(new))
+        found = ids.take(pa.array(place))
+        if len(ids) > _CACHE:
+            stay = pa.array(np.arange(min(len(asked), _CACHE)))
+            self.keys, self.ids = asked.take(stay), found.take(stay)
+        elif len(new):
+            self.keys, self.ids = pa.concat_arrays([self.keys, new]), ids
+        return found
 
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, which works out each distinct piece between spaces once.
+    """Ids of whole texts by the tokenizers library, which works out each distinct word once.
 
-    A byte-level BPE never joins across a space that a non-space follows, so texts are cut at such spaces; the
-    ids of the pieces, one after another, are the ids of the text. Texts with other spaces or with an added
-    token of the tokenizer are encoded in one go. How many pieces are remembered changes time, not results.
+    A byte-level BPE never joins across a space that a non-space follows, nor across words of its pre-tokenizer, so
+    the ids of the words (see `_words`), one after another, are the ids of the text. Distinct words go through the
+    model some at a time, with a byte between that no token has beside others. Texts with other spaces or with an
+    added token of the tokenizer are encoded in one go. How many words are remembered changes time, not results.
     """
 
     def __init__(self, tokenizer: bytes) -> None:
@@ -91,31 +141,69 @@ class Encoder:
             raise ValueError("a byte-level BPE without normalizer is needed")
         self._cut, self._model = self._whole.pre_tokenizer.pre_tokenize_str, self._whole.model.tokenize
         self._added = [t.content for t in self._whole.get_added_tokens_decoder().values()]
-        self._after_space, self._mapped = _Pieces(self._spaced), _Mapped(self._cut)
-        self._stops = {s: self._ids(s) for s in _STOPS}
-
-    def _ids(self, piece: str) -> bytes:
-        return array("I", [t.id for word, _ in self._cut(piece) for t in self._model(word)]).tobytes()
-
-    def _spaced(self, piece: str) -> bytes:
-        """Ids of " " + piece. Latin letters, with a stop or not, are words by themselves; their space is "Ġ"."""
-        word, stop = piece[:-1], piece[-1]
-        if stop in self._stops and word.isalpha() and (word.isascii() or max(word) < "\u0250"):
-            return self._after_space[word] + self._stops[stop]
-        if piece.isalpha() and (piece.isascii() or max(piece) < "\u0250"):
-            form = piece if piece.isascii() else "".join(map(self._mapped.__getitem__, piece))
-            return array("I", [t.id for t in self._model("Ġ" + form)]).tobytes()
-        return self._ids(" " + piece)
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        self._forms = np.zeros(256, "<u4")
+        self._forms[shown] = shown
+        self._forms[self._forms == 0] = 256 + np.arange(256 - len(shown))
+        # UTF-8 has no byte 255, so tokens have it alone, if at all
+        self._between = self._whole.token_to_id("\xff")
+        alone = sum("\xff" in token for token in self._whole.get_vocab(with_added_tokens=False)) == 1
+        self._together = _TOGETHER if alone and self._between is not None else 1
+        self._after_space = _Known(self._ids)
+
+    def _word_ids(self, words: pa.Array) -> pa.ListArray:
+        """Ids of the pre-tokenizer's words."""
+        edge, raw = _parts(words)
+        forms = self._forms[np.insert(raw, edge[1:], 255)].tobytes().decode("utf-32-le")
+        stops = (edge[1:] + np.arange(len(words)))[self._together - 1 : -1 : self._together].tolist() + [len(forms) - 1]
+        ids, begin, between = [], 0, self._between if self._together > 1 else -1
+        for stop in stops:
+            ids += [t.id for t in self._model(forms[begin:stop])]
+            ids.append(between)
+            begin = stop + 1
+        flat = np.array(ids, np.int32)
+        return _lists(np.flatnonzero(flat == between) - np.arange(len(words)), flat[flat != between])
+
+    def _ids(self, pieces: pa.Array) -> pa.ListArray:
+        """Ids of words, or of pieces that the pre-tokenizer still has to cut."""
+        single = pc.match_substring_regex(pieces, _WORD)
+        words, ends = [], []
+        for piece in _strings(pieces.filter(pc.invert(single))):
+            words += [piece[a:b] for _, (a, b) in self._cut(piece)]
+            ends.append(len(words))
+        ids = self._word_ids(pa.concat_arrays([pa.array(words, pa.large_string()), pieces.filter(single)]))
+        ends = np.concatenate([ends, len(words) + np.arange(1, len(pieces) - len(ends) + 1)]).astype(np.int64)
+        is_single = single.to_numpy(zero_copy_only=False)
+        place = np.where(is_single, np.count_nonzero(~is_single) + np.cumsum(is_single), np.cumsum(~is_single)) - 1
+        return _lists(ids.offsets.to_numpy()[ends], ids.flatten()).take(pa.array(place))
+
+    def lists(self, texts: pa.Array, end: list[int]) -> pa.ListArray:
+        """Ids of each text (a null one: none), then `end`."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        words, at = _words(texts)
+        coded = words.dictionary_encode()
+        index, n = coded.indices.to_numpy().astype(np.int64), np.diff(at)
+        odd = pc.match_substring_regex(coded.dictionary, _ODD).to_numpy(zero_copy_only=False)
+        whole = np.zeros(len(texts), bool)
+        if odd.any():
+            whole[np.searchsorted(at, np.flatnonzero(odd[index]), "right") - 1] = True
+        for token in self._added:
+            whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
+        one_go = [self._whole.encode(t, add_special_tokens=False).ids for t in _strings(texts.filter(pa.array(whole)))]
+        if one_go:
+            # the first word stands for the text
+            stays = ~np.repeat(whole, n)
+            stays[at[:-1][whole]] = True
+            index[at[:-1][whole]] = len(coded.dictionary) + np.arange(len(one_go))
+            index, n = index[stays], np.where(whole, 1, n)
+        stops = np.cumsum(n)
+        pool = pa.concat_arrays([self._after_space.of(coded.dictionary), pa.array(one_go, _IDS), pa.array([end], _IDS)])
+        ids = pool.take(pa.array(np.insert(index, stops, len(pool) - 1)))
+        return _lists(ids.offsets.to_numpy()[stops + np.arange(1, len(stops) + 1)], ids.flatten())
 
     def __call__(self, text: str) -> bytes:
         """Unsigned 32-bit ids of the text, least byte first."""
-        first, *rest = text.split(" ")
-        try:
-            if any(a in text for a in self._added):
-                raise _Odd
-            return (self._ids(first) if first else b"") + b"".join(map(self._after_space.__getitem__, rest))
-        except _Odd:
-            return array("I", self._whole.encode(text, add_special_tokens=False).ids).tobytes()
+        return self.lists(pa.array([text]), []).flatten().to_numpy().astype("<i4").tobytes()
 
 
 def _encoder(tokenizer: bytes) -> Encoder:
@@ -135,19 +223,15 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def _encode(tokenizer: bytes, end_id: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    end = np.array([end_id], "<u4").tobytes()
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, start = _encoder(tokenizer), TaskContext.get().partitionId(), 0
         for batch in batches:
             doc_id, text = batch.column("doc_id"), batch.column("text")
             for lo, hi in _slices(text):
-                ids = [encode(t or "") + end for t in text[lo:hi].to_pylist()]
-                n = np.array([len(x) // 4 for x in ids], np.int64)
-                ends = np.cumsum(n)
-                flat = np.frombuffer(b"".join(ids), "<i4")
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat))
-                columns = [doc_id[lo:hi], pa.array(np.full(hi - lo, part, np.int32)), pa.array(start + ends - n), pa.array(n), lists]
+                lists = encode.lists(text[lo:hi], [end_id])
+                ends = lists.offsets.to_numpy().astype(np.int64)
+                n = np.diff(ends)
+                columns = [doc_id[lo:hi], pa.array(np.full(hi - lo, part, np.int32)), pa.array(start + ends[:-1]), pa.array(n), lists]
                 yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
                 start += int(ends[-1])
 
