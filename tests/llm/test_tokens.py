@@ -163,3 +163,11 @@ def test_a_tokenizer_without_a_byte_to_put_between(whole):
     encoder._together = 1
     text = "one word at a time, été and don't\n\nnew“ones”"
     assert encoder(text) == _ids(whole, text)
+
+
+def test_runs_of_spaces_do_not_send_whole_texts_through(whole):
+    with open(PATH, "rb") as f:
+        encoder = tokens.Encoder(f.read())
+    text = "One sentence.  Another one. \n Then  　 more\n\n end  "
+    encoder._whole = None
+    assert encoder(text) == _ids(whole, text)

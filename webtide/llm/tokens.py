@@ -31,10 +31,10 @@ _ARROW = pa.schema(
         ("ids", pa.list_(pa.int32())),
     ]
 )
-#: Bytes of text encoded at a time; words that a worker remembers.
-_SLICE, _CACHE = 4 << 20, 1 << 18
-#: Words that go through the model together.
-_TOGETHER = 32
+#: Bytes of text encoded at a time; words that a worker remembers, and bytes of them.
+_SLICE, _CACHE, _CACHE_BYTES = 4 << 20, 1 << 18, 16 << 20
+#: Bytes of words that go through the model together.
+_TOGETHER = 256
 _IDS = pa.list_(pa.int32())
 #: Kinds of bytes: the edge of a text, blanks, ends of lines, letters, digits, marks, and all else.
 _EDGE, _BLANK, _LINE, _LETTER, _DIGIT, _MARK, _ELSE = range(7)
@@ -49,10 +49,8 @@ _NO_LETTERS = (0x97, 0xB7)
 _LATIN = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u023f"
 #: One word of the pre-tokenizer, if nothing of kind _ELSE is in it.
 _WORD = rf"^(?: ?(?:[{_LATIN}]+|[0-9]+|[!-&(-/:-@\[-`{{-~]+)|\n+)$"
-#: A space before white space (Unicode's or str.isspace's) or at the end.
-_ODD = (
-    r"^ (?:[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|$)"
-)
+#: Bytes of white space beyond ASCII (Unicode's).
+_WHITE = np.array([int.from_bytes(chr(c).encode()) for c in (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)])
 
 
 def _lists(ends: np.ndarray, values: np.ndarray | pa.Array) -> pa.ListArray:
@@ -75,17 +73,25 @@ def _parts(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words of all texts one after another, each with the space in front of it, and where each text's words begin.
 
-    Texts are cut at spaces, and pieces without a character of kind _ELSE as the pre-tokenizer cuts: where the kind
-    changes, and in front of the last of several ends of lines that something follows.
+    Texts are cut at spaces that no white space follows, and pieces without a character of kind _ELSE or another space
+    as the pre-tokenizer cuts: where the kind changes, and in front of the last of several ends of lines that
+    something follows.
     """
     edge, raw = _parts(texts)
     kind = _KIND[raw]
     odd = np.flatnonzero(raw[:-1] == 0xC3)
     kind[odd[np.isin(raw[odd + 1], _NO_LETTERS)]] = _ELSE
-    before, after = np.full_like(kind, _EDGE), np.full_like(kind, _EDGE)
-    before[1:], after[:-1] = kind[:-1], kind[1:]
-    before[edge[:-1][edge[:-1] < len(raw)]] = _EDGE
+    after = np.full_like(kind, _EDGE)
+    after[:-1] = kind[1:]
     after[edge[1:][edge[1:] > 0] - 1] = _EDGE
+    blank = np.flatnonzero(kind == _BLANK)
+    unclear = blank[after[blank] == _ELSE]
+    one, two, three = (raw[np.minimum(unclear + i, len(raw) - 1)].astype(np.int64) for i in (1, 2, 3))
+    white = (one < 32) | np.isin(one << 8 | two, _WHITE) | np.isin(one << 16 | two << 8 | three, _WHITE)
+    kind[np.concatenate([blank[after[blank] <= _LINE], unclear[white]])] = _ELSE
+    before = np.full_like(kind, _EDGE)
+    before[1:] = kind[:-1]
+    before[edge[:-1][edge[:-1] < len(raw)]] = _EDGE
     starts = (kind == _BLANK) | ((kind != before) & (before != _BLANK)) | ((kind == _LINE) & (after >= _LETTER))
     start, others = np.flatnonzero(starts), np.flatnonzero(kind == _ELSE)
     if len(others):
@@ -98,7 +104,7 @@ def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
 
 
 class _Known:
-    """Ids of strings, worked out when first asked for. Of more than `_CACHE` some of those asked for last stay."""
+    """Ids of strings, worked out when first asked for. Of too many, at most `_CACHE` of those asked for last stay."""
 
     def __init__(self, ids_of: Callable[[pa.Array], pa.ListArray]) -> None:
         self.ids_of, self.keys, self.ids = ids_of, pa.array([], pa.large_string()), pa.array([], _IDS)
@@ -114,7 +120,7 @@ class _Known:
         place = at.fill_null(-1).to_numpy().copy()
         place[place < 0] = len(self.keys) + np.arange(len(new))
         found = ids.take(pa.array(place))
-        if len(ids) > _CACHE:
+        if len(ids) > _CACHE or self.keys.nbytes + new.nbytes > _CACHE_BYTES:
             stay = pa.array(np.arange(min(len(asked), _CACHE)))
             self.keys, self.ids = asked.take(stay), found.take(stay)
         elif len(new):
@@ -127,8 +133,8 @@ class Encoder:
 
     A byte-level BPE never joins across a space that a non-space follows, nor across words of its pre-tokenizer, so
     the ids of the words (see `_words`), one after another, are the ids of the text. Distinct words go through the
-    model some at a time, with a byte between that no token has beside others. Texts with other spaces or with an
-    added token of the tokenizer are encoded in one go. How many words are remembered changes time, not results.
+    model some at a time, with a byte between that no token has beside others. Texts with an added token of the
+    tokenizer are encoded in one go. How many words are remembered changes time, not results.
     """
 
     def __init__(self, tokenizer: bytes) -> None:
@@ -155,9 +161,10 @@ class Encoder:
         """Ids of the pre-tokenizer's words."""
         edge, raw = _parts(words)
         forms = self._forms[np.insert(raw, edge[1:], 255)].tobytes().decode("utf-32-le")
-        stops = (edge[1:] + np.arange(len(words)))[self._together - 1 : -1 : self._together].tolist() + [len(forms) - 1]
+        ends = edge[1:] + np.arange(len(words))
+        last = np.append(np.flatnonzero(np.diff(ends // self._together)), len(words) - 1)
         ids, begin, between = [], 0, self._between if self._together > 1 else -1
-        for stop in stops:
+        for stop in ends[last].tolist():
             ids += [t.id for t in self._model(forms[begin:stop])]
             ids.append(between)
             begin = stop + 1
@@ -183,16 +190,13 @@ class Encoder:
         words, at = _words(texts)
         coded = words.dictionary_encode()
         index, n = coded.indices.to_numpy().astype(np.int64), np.diff(at)
-        odd = pc.match_substring_regex(coded.dictionary, _ODD).to_numpy(zero_copy_only=False)
         whole = np.zeros(len(texts), bool)
-        if odd.any():
-            whole[np.searchsorted(at, np.flatnonzero(odd[index]), "right") - 1] = True
         for token in self._added:
             whole |= pc.match_substring(texts, token).to_numpy(zero_copy_only=False)
         one_go = [self._whole.encode(t, add_special_tokens=False).ids for t in _strings(texts.filter(pa.array(whole)))]
         if one_go:
             # the first word stands for the text
-            stays = ~np.repeat(whole, n)
+            stays = np.repeat(~whole, n)
             stays[at[:-1][whole]] = True
             index[at[:-1][whole]] = len(coded.dictionary) + np.arange(len(one_go))
             index, n = index[stays], np.where(whole, 1, n)
