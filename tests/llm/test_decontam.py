@@ -111,3 +111,22 @@ def test_short_items(spark):
         assert got[i].matched == max(want.values())
     kept = {x.doc_id for x in decontam.clean(docs, bench).collect()}
     assert kept == {i for i in got if not got[i].contaminated}
+
+
+def test_sieve_comes_as_columns(spark):
+    """The sieve's words reach the driver as numbers, not as rows, and have the bits of every seed."""
+    import tracemalloc
+
+    import numpy as np
+
+    seeds = spark.range(150_000).select(F.xxhash64("id").alias("seed"))
+    tracemalloc.start()
+    sieve = decontam._sieve(seeds)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 3 * len(sieve)
+    bits = np.frombuffer(sieve, np.uint8)
+    want = np.zeros_like(bits)
+    for probe in decontam._probes(np.array([r.seed for r in seeds.collect()]).view(np.uint64)):
+        np.bitwise_or.at(want, probe >> np.uint64(3), np.uint8(1) << (probe & np.uint64(7)).astype(np.uint8))
+    assert (bits == want).all()

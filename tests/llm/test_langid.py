@@ -174,3 +174,23 @@ def test_lexicons_count_all_documents(spark):
             signed = lambda v: v - (1 << 64) if v >> 63 else v
             assert set(got[lang]) == set(sorted(n, key=lambda v: (-n[v], signed(v)))[:size])
     assert langid.lexicons(docs.limit(0), ["xa"], 5) == {"xa": []} and langid.lexicons(docs, [], 5) == {}
+
+
+def test_driver_holds_little_more_than_the_texts(docs, monkeypatch):
+    """Only the documents learned from come to the driver, and fitting holds no numbers per byte or features of all words."""
+    import tracemalloc
+
+    came, collect = [], type(docs).collect
+    with monkeypatch.context() as m:
+        m.setattr(type(docs), "collect", lambda df: (rows := collect(df), came.append(len(rows)))[0])
+        _, labels = langid.sample(docs, langid.Training(per_language=5))
+    assert max(came) == len(labels) == 5 * len(set(labels))
+
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{chr(97 + c % 26)}x{chr(97 + c // 26 % 26)}{chr(97 + c // 676 % 26)}" for c in rng.integers(17_576, size=6000).tolist()) for _ in range(160)]
+    size = sum(map(len, texts))
+    tracemalloc.start()
+    langid.fit(texts, ["xa", "xb"] * 80, langid.Training(steps=1, lexicon=10), {"xa": [], "xb": []})
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 20 * size + (70 << 20)  # so much for a slice and the model

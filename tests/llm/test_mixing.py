@@ -73,3 +73,12 @@ def test_odd_rows(spark):
     assert out.filter("doc_id = 4").count() == 4 and out.filter("doc_id = 3").count() == 2
     assert mixing.mixed(docs.limit(0), F.col("source"), Mix()).count() == 0
     assert mixing.mixed(docs, F.col("source"), Mix(share=0)).count() == 0
+
+
+def test_plan_grows_with_the_levels_not_with_their_power(spark):
+    """Budgets read each level's nodes once: a plan that doubles with each level fills the driver's memory."""
+    leaves = spark.createDataFrame([("web", "en", "a", 10), ("web", "de", "b", 0)], "domain string, lang string, source string, tokens long")
+    mix = Mix(share=300, weights={"lang": {"en": 2, "de": 0}})
+    plan = mixing.budgets(leaves, mix)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") <= 2 + 1 + len(mixing.LEVELS)  # the leaves, all tokens, and each level's nodes
+    assert [r.budget for r in mixing.budgets(leaves, mix).orderBy("source").collect()] == [3, 0]

@@ -163,8 +163,8 @@ def _sieve(item_seeds: DataFrame) -> bytes:
         F.bit_or(F.expr("shiftleft(1L, int(p & 63))")).alias("bits")
     )
     out = np.zeros(1 << (_SIEVE - 6), "<i8")
-    got = words.collect()  # 2^20 rows at most
-    out[[r.w for r in got]] = [r.bits for r in got]
+    got = words.toArrow()  # 2^20 rows at most, as two columns: rows of Python would take many times the sieve
+    out[got.column("w").to_numpy()] = got.column("bits").to_numpy()
     return out.tobytes()
 
 

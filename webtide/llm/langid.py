@@ -197,6 +197,19 @@ def letters_only(w: Words) -> Words:
     return pieces(Words(w.bytes, w.start[keep], w.end[keep], before[w.at]))
 
 
+def _read(texts: pa.Array) -> tuple[Words, np.ndarray]:
+    """Words that have a letter, and their hashes. Read in slices: numbers per byte are held for one slice only."""
+    parts, hashed, n = [], [np.zeros(0, np.uint64)], 0
+    for lo, hi in slices(texts):
+        w = letters_only(split(texts[lo:hi], LETTERS))
+        hashed.append(w.hashes())
+        parts.append((w.bytes, w.start + n, w.end + n, np.diff(w.at)))
+        n += len(w.bytes)
+    kinds = (np.uint8, np.int64, np.int64, np.int64)
+    columns = [np.concatenate([np.zeros(0, kind), *(p[i] for p in parts)]) for i, kind in enumerate(kinds)]
+    return Words(*columns[:3], np.concatenate([[0], np.cumsum(columns[3])])), np.concatenate(hashed)
+
+
 def fit(
     texts: list[str], labels: list[str], settings: Training = Training(), frequent: dict[str, list[int]] | None = None
 ) -> Model:
@@ -206,19 +219,18 @@ def fit(
     of each language's lexicon; without it the most frequent words of these texts are taken.
     """
     rng = np.random.default_rng(settings.seed)
-    w = letters_only(split(pa.array(texts, pa.string()), LETTERS))
+    w, h = _read(pa.array(texts, pa.string()))
     worded = np.flatnonzero(np.diff(w.at) > 0).tolist()
     if len(worded) < len(texts):
         return fit([texts[i] for i in worded], [labels[i] for i in worded], settings, frequent)
     languages = sorted(set(labels))
     k = len(languages)
     label = np.array([languages.index(x) for x in labels], np.int64)
-    h = w.hashes()
-    of = label[np.repeat(np.arange(len(texts)), np.diff(w.at))] if len(texts) else np.zeros(0, np.int64)
 
     # a word's mark stands for the set of languages whose lexicons hold it
     one = mix(np.arange(1, k + 1, dtype=np.uint64)).tolist()
     held: dict[int, int] = {}
+    of = np.repeat(label, np.diff(w.at)) if frequent is None else None
     for i in range(k):
         if frequent is None:
             word, n = np.unique(h[of == i], return_counts=True)
@@ -234,14 +246,18 @@ def fit(
         return model
     filled = [np.flatnonzero(label == i) for i in range(k)]
 
-    unique, first, back = np.unique(h, return_index=True, return_inverse=True)
-    table = features(Words(w.bytes, w.start[first], w.end[first], w.at), unique, lexicon)
     size, t_max = settings.batch, settings.length
     g_w, g_t, g_s = np.full_like(model.weights, 1e-6), np.full((k, k), 1e-6), np.full(k, 1e-6)
     for _ in range(settings.steps):
         pick, truth = _sequences(rng, filled, w.at, size, t_max)
-        rows = table[back[pick]]  # (batch, length, features)
-        scores = model.weights[rows].sum(axis=2).astype(np.float64)
+        # features of the words picked for this step only: those of all words would be many times the texts
+        unique, first, back = np.unique(h[pick], return_index=True, return_inverse=True)
+        picked = pick.reshape(-1)[first]
+        rows = features(Words(w.bytes, w.start[picked], w.end[picked], w.at), unique, lexicon)[back.reshape(pick.shape)]  # (batch, length, features)
+        scores = np.zeros((size, t_max, k), np.float32)
+        for i in range(rows.shape[2]):
+            scores += model.weights[rows[..., i]]
+        scores = scores.astype(np.float64)
         flat = scores.reshape(-1, k)
         at = np.arange(0, size * t_max + 1, t_max)
         gamma = posteriors(model, flat, at).reshape(size, t_max, k)
@@ -331,8 +347,8 @@ def sample(docs: DataFrame, settings: Training) -> tuple[list[str], list[str]]:
     """Texts and labels to learn from, at most `per_language` of each of the `languages` with the most documents.
 
     Documents are counted per language by doc_id and text, so that a row repeated very often is one; a hash threshold
-    then keeps a few times the wanted number, and of these the least hashes stay. So no window or collection grows with
-    the corpus, whatever ids repeat and however many labels there are.
+    then keeps a few times the wanted number, and of these the least hashes stay; only their texts come to the driver. So
+    no window or collection grows with the corpus, whatever ids repeat and however many labels there are.
     """
     rows = _teachers(docs)
     turn = F.xxhash64("doc_id", "text")
@@ -347,13 +363,10 @@ def sample(docs: DataFrame, settings: Training) -> tuple[list[str], list[str]]:
     passage = F.regexp_extract("text", rf"(?s)\p{{L}}.{{0,{settings.chars - 1}}}", 0)
     short = F.when(F.length("text") <= settings.chars, F.col("text")).otherwise(passage)
     once = few.groupBy("lang", "turn").agg(F.min(short).alias("text"))
-    texts, labels, taken = [], [], dict.fromkeys(counts, 0)
-    for r in once.orderBy("lang", "turn").collect():
-        if taken[r["lang"]] < settings.per_language:
-            taken[r["lang"]] += 1
-            texts.append(r["text"])
-            labels.append(r["lang"])
-    return texts, labels
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("turn"))
+    taken = once.withColumn("place", place).filter(F.col("place") <= settings.per_language)
+    got = taken.select("lang", "turn", "text").orderBy("lang", "turn").collect()
+    return [r["text"] for r in got], [r["lang"] for r in got]
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -56,23 +56,24 @@ def divide(children: DataFrame, parent: list[str], child: str) -> DataFrame:
     Siblings in order of supply / weight: each is full if its supply is at most its part of what the full ones
     before it leave. The others share the rest, rounded down. All in integers; weight 0 gets nothing.
     """
-    live = children.filter(F.col("weight") > 0)
-    order = [F.col("supply") / F.col("weight"), F.col(child)]
+    # siblings without weight stay in the same pass and count for nothing: apart from it, each level would double the plan
+    live = F.col("weight") > 0
+    weight, supply = (F.when(live, F.col(c)).otherwise(0) for c in ("weight", "supply"))
+    order = [F.when(live, F.col("supply") / F.col("weight")), F.col(child)]
     siblings = Window.partitionBy(*parent)
     before = siblings.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    others = F.sum("weight").over(siblings) - F.coalesce(F.sum("weight").over(before), F.lit(0))
-    rest = F.col("total") - F.coalesce(F.sum("supply").over(before), F.lit(0))
-    full = F.col("supply") * others <= rest * F.col("weight")
-    marked = live.withColumn("full", full)
+    others = F.sum(weight).over(siblings) - F.coalesce(F.sum(weight).over(before), F.lit(0))
+    rest = F.col("total") - F.coalesce(F.sum(supply).over(before), F.lit(0))
+    full = live & (F.col("supply") * others <= rest * F.col("weight"))
+    marked = children.filter(F.col("weight").isNotNull()).withColumn("full", full)
     marked = marked.withColumns(
         {
             "left": F.col("total") - F.sum(F.when(F.col("full"), F.col("supply")).otherwise(0)).over(siblings),
-            "over": F.sum(F.when(F.col("full"), 0).otherwise(F.col("weight"))).over(siblings),
+            "over": F.sum(F.when(F.col("full"), 0).otherwise(weight)).over(siblings),
         }
     )
-    part = F.when(F.col("full"), F.col("supply")).otherwise(F.expr("left * weight div over"))
-    got = marked.withColumn("budget", part).drop("full", "left", "over")
-    return got.unionByName(children.filter(F.col("weight") <= 0).withColumn("budget", F.lit(0).cast("bigint")))
+    part = F.when(F.col("full"), F.col("supply")).when(live, F.expr("left * weight div over")).otherwise(0)
+    return marked.withColumn("budget", part.cast("bigint")).drop("full", "left", "over")
 
 
 def budgets(leaves: DataFrame, mix: Mix) -> DataFrame:
@@ -119,7 +120,8 @@ def choose(docs: DataFrame, domain: Column, mix: Mix, tokens: Column | None = No
         (words(F.col("text")) if tokens is None else tokens).cast("bigint").alias("tokens"),
     )
     narrow, _ = scratch.save(docs.select(leaf.alias("l")).select("l.*"), "leaves")
-    sums = narrow.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
+    # one row per leaf, written because every level reads it
+    sums, _ = scratch.save(narrow.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens")), "sums")
     plan = budgets(sums, mix).select(
         *LEVELS,
         F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(F.lit(0)).alias("whole"),
