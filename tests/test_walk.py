@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from webtide.checks import session as checks
 from webtide.checks.fixtures import Inputs
-from webtide.functions import urls
+from webtide.functions import text, urls
 from webtide.operators import crawl, links, sitemap
 from webtide.params import Params
 from webtide.sources.seeds import pack_scope
@@ -134,6 +134,18 @@ def test_pieces_of_addresses(spark):
     assert all(r.p == (None if r.c is None else r.five) for r in got)
 
 
+@pytest.mark.parametrize("size, overlap", [(10, 3), (7, 0), (1024, 256)])
+def test_windows_of_one_byte_and_other_characters(spark, size, overlap):
+    """Text of one-byte characters is cut by bytes, other text by characters: both as slices do."""
+    texts = [("abcdefghij" * 3001)[:n] for n in (0, 1, 9, 10, 11, 17, 18, 160, 161, 1025, 30010)]
+    texts += [t.replace("c", "\u00e9").replace("d", "\U0001f600") for t in texts]
+    df = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    step = size - overlap
+    for r in df.select("t", text.chunks(F.col("t"), size, overlap).alias("c")).collect():
+        starts = range(0, max(1, len(r.t) - overlap), step) if r.t else ()
+        assert r.c == ([None] if r.t is None else [r.t[k : k + size] for k in starts])
+
+
 def test_an_address_is_cut_up_once_a_link(spark):
     rows = spark.createDataFrame([("https://e.com/a", 0, "b")], "src_url string, href_ix int, href string")
     plan = links.resolve(rows)._jdf.queryExecution().optimizedPlan().toString()
